@@ -175,3 +175,82 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", "at shop.Main").alias("stack_trace")))
     cut = F.when(F.col("user_id") == 13, F.substring(line, 1, 40)).otherwise(line)
     return table(spark, sf_dir, "events").select("event_id", ts.alias("ingested_at"), cut.alias("line"))
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dense send log: one attempt per event, twenty seconds apart."""
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("A"), "event_id").alias("attempt_id"), "user_id",
+        (F.get_json_object("props", "$.k").cast("bigint") % 10).alias("product_id"),
+        F.when(F.col("event_type") == "purchase", "PRICE_DROP").when(F.col("event_type") == "click", "BACK_IN_STOCK")
+         .otherwise("RECOMMENDATION").alias("notification_type"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("event_id") * 20).alias("ts"),
+        F.col("event_id").alias("seq"))
+
+
+def notifications_of(events: DataFrame) -> DataFrame:
+    """One notification per event; two consecutive events share an id, errors ask for an unknown channel."""
+    def channels(*names):
+        return F.array(*[F.lit(n) for n in names])
+
+    return events.select(
+        F.concat(F.lit("N"), F.call_function("div", F.col("event_id"), F.lit(2))).alias("notification_id"),
+        "event_id", "user_id", F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
+        F.when(F.col("event_type") == "purchase", "PRICE_DROP").when(F.col("event_type") == "click", "BACK_IN_STOCK")
+         .otherwise("RECOMMENDATION").alias("notification_type"),
+        F.when(F.col("event_type") == "error", channels("FAX"))
+         .when(F.col("event_type") == "click", channels("PUSH", "SMS")).otherwise(channels("PUSH", "IN_APP")).alias("channels"),
+        F.col("ts").cast("timestamp").alias("ts"))
+
+
+def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notifications_of(table(spark, sf_dir, "events"))
+
+
+def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored findings and bookmarks: slow, failed or purchase events."""
+    e = table(spark, sf_dir, "events")
+    ts = F.col("ts").cast("timestamp")
+    return e.select(
+        F.concat(F.lit("TR"), F.call_function("div", F.col("event_id"), F.lit(SPANS_PER_TRACE))).alias("trace_id"),
+        "event_id",
+        F.when(F.col("event_type") == "error", "ERROR_SPAN").when(F.col("value") > 250, "SLOW_TRACE")
+         .otherwise("unheard-of").alias("type"),
+        F.when(F.col("event_type") == "error", "ERROR").otherwise("odd").alias("severity"),
+        F.concat("event_type", F.lit("-service")).alias("service_name"),
+        (F.col("event_type") == "signup").alias("is_bookmark"),
+        F.floor("value").cast("bigint").alias("duration_ms"),
+        F.concat(F.lit("note "), F.col("event_id") % 7).alias("note"),
+        ts.alias("detected_at"), ts.alias("created_at"))
+
+
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load run per day of events with its final metrics."""
+    k = F.get_json_object("props", "$.k").cast("double")
+    day = F.to_date(F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").groupBy(day.alias("day")).agg(
+        F.max(k).alias("kafkaConsumerLag"),
+        (F.count("*") / 86400).alias("kafkaProcessedRate"),
+        (F.count_if(F.col("event_type") == "purchase") / 86400).alias("esBulkSuccessRate"),
+        F.min("value").alias("recApiP50Ms"), (F.max("value") * 0.75).alias("recApiP95Ms"),
+        F.max("value").alias("recApiP99Ms"),
+        F.count("*").alias("totalRequestsSent"), F.count_if(F.col("event_type") == "error").alias("totalErrors"),
+        F.round(F.avg("value"), 6).alias("avgLatencyMs"),
+    ).withColumn("id", F.concat(F.lit("lt-"), F.col("day").cast("string")))
+
+
+def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert signals per event type and ten-minute scrape, from the counts of that scrape."""
+    per = table(spark, sf_dir, "events").groupBy(
+        F.col("event_type").alias("label"),
+        F.timestamp_seconds(F.call_function("div", F.unix_seconds(F.col("ts").cast("timestamp")), F.lit(600)) * 600).alias("ts"),
+    ).agg(F.count("*").alias("n"), F.max("value").alias("top"))
+    n, top = F.col("n").cast("double"), F.col("top")
+    values = {
+        "up": F.when(top > 450, 0.0).otherwise(1.0), "consumer_lag": n * top * 100, "dlq_increase": F.greatest(n - 1, F.lit(0.0)),
+        "recommendation_p99_sec": top / 1000, "knn_failed_rate": n / 2, "cluster_red": F.when(top < 1, 1.0).otherwise(0.0),
+        "bulk_failed_rate": F.greatest(n - 2, F.lit(0.0)), "redis_memory_ratio": top / 100, "jvm_heap_ratio": top / 490,
+    }
+    return per.select("label", "ts", F.explode(F.array(*[
+        F.struct(F.lit(s).alias("signal"), v.alias("value")) for s, v in values.items()])).alias("s")).select(
+        F.col("s.signal").alias("signal"), "label", "ts", F.col("s.value").alias("value"))
