@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def events_by_user(actions: DataFrame) -> DataFrame:
-    """Actions of a user together and in arrival order, for rules that read them in sequence."""
-    return actions.repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")
+    """Actions of a user together and in arrival order; a user with very many is laid over neighbouring partitions."""
+    order = ["user_id", "ts", "event_id"]
+    return actions.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def exists_count(df: DataFrame, condition: Column) -> DataFrame:

@@ -1 +1,147 @@
-"""Queries."""
+"""Queries that write tables or files and read them back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shoplens.operators import notify, popularity, snapshots, tables
+from shoplens.plans.registry import ACTIONS, NOTIFICATIONS, PRODUCTS, VECTORS, popular_sql, query
+from shoplens.schemas import ACTION_TYPES
+from shoplens.session import durable, scratch_path
+from shoplens.sources import adapters as A
+from shoplens.sources import files, streams
+
+STORED = """
+shared AS (SELECT CASE WHEN action_type <> 'SIGNUP' THEN concat('T', event_id // 2) END AS trace_id, event_id, user_id, product_id,
+             action_type, ts, CASE WHEN action_type IN ('VIEW', 'CLICK', 'SIGNUP') THEN 0 ELSE 1 END AS batch FROM ua)"""
+
+
+def shared_traces(spark, d):
+    """Actions of which two consecutive ones share a trace id; sign-ups have none."""
+    return A.user_actions(spark, d).select(
+        F.when(F.col("action_type") != "SIGNUP", F.concat(F.lit("T"), F.call_function("div", F.col("event_id"), F.lit(2))))
+         .alias("trace_id"), "event_id", "user_id", "product_id", "action_type", "ts")
+
+
+@query("upsert_behavior", ACTIONS, STORED, sql="""
+SELECT trace_id, event_id, user_id, product_id, action_type FROM shared
+QUALIFY trace_id IS NULL OR row_number() OVER (PARTITION BY trace_id ORDER BY batch DESC, ts DESC, event_id DESC) = 1""")
+def _(spark, d):
+    rows, path = shared_traces(spark, d), scratch_path(spark, "behavior")
+    first = F.col("action_type").isin("VIEW", "CLICK", "SIGNUP")
+    tables.write_batch(rows.filter(first), path, 0)
+    tables.write_batch(rows.filter(~first), path, 1)
+    tables.write_batch(rows.filter(~first), path, 1)  # delivered again: no growth
+    return tables.read_current(spark, path, "trace_id", ["ts", "event_id"], rows.schema).drop("ts")
+
+
+@query("save_history", NOTIFICATIONS, sql="""
+SELECT notification_id, event_id, user_id, notification_type,
+  CASE WHEN list_has_any(channels, ['FAX']) THEN 'FAILED' ELSE 'SENT' END AS status FROM notes
+QUALIFY row_number() OVER (PARTITION BY notification_id ORDER BY ts DESC, event_id DESC) = 1""")
+def _(spark, d):
+    rows = notify.delivery_history(A.notifications(spark, d), F.col("ts"))
+    path, target = scratch_path(spark, "history"), scratch_path(spark, "history-compacted")
+    order = ["ts", "event_id"]
+    tables.write_batch(rows, path, 0)
+    tables.compact(spark, path, target, "notification_id", order, rows.schema)
+    return tables.read_current(spark, target, "notification_id", order, rows.schema).select(
+        "notification_id", "event_id", "user_id", "notification_type", "status")
+
+
+@query("dead_letter", ACTIONS, sql=f"""
+SELECT event_id, action_type, action_type IN {tuple(ACTION_TYPES)} AS stored,
+  CASE WHEN action_type IN {tuple(ACTION_TYPES)} THEN '' ELSE 'unknown action' END AS reasons FROM ua""")
+def _(spark, d):
+    good, bad = tables.split_rejects(A.user_actions(spark, d), tables.action_rules(ACTION_TYPES))
+    return good.select("event_id", "action_type", F.lit(True).alias("stored"), F.lit("").alias("reasons")).unionByName(
+        bad.select("event_id", "action_type", F.lit(False).alias("stored"), F.array_join("reject_reasons", ",").alias("reasons")))
+
+
+@query("replay_dead_letters", ACTIONS, sql="SELECT event_id, action_type FROM ua WHERE action_type <> 'ERROR'")
+def _(spark, d):
+    """Rejects are kept, then judged again by rules that know one more action type."""
+    rows, path = A.user_actions(spark, d), scratch_path(spark, "replay")
+    good, bad = tables.split_rejects(rows, tables.action_rules(ACTION_TYPES))
+    rejects = durable(bad.drop("reject_reasons"))
+    again, _still_bad = tables.split_rejects(rejects, tables.action_rules([*ACTION_TYPES, "SIGNUP"]))
+    tables.write_batch(good, path, 0)
+    tables.write_batch(again, path, 1)
+    return tables.read_current(spark, path, "trace_id", ["ts", "event_id"], rows.schema).select("event_id", "action_type")
+
+
+@query("failed_events_file", ACTIONS, sql=f"""
+SELECT CAST(ts AS DATE) AS day, epoch_us(ts) AS ts_us, trace_id, CAST(user_id AS VARCHAR) AS user_id,
+  CAST(product_id AS VARCHAR) AS product_id, action_type FROM ua WHERE action_type NOT IN {tuple(ACTION_TYPES)}""")
+def _(spark, d):
+    _good, bad = tables.split_rejects(A.user_actions(spark, d), tables.action_rules(ACTION_TYPES))
+    path = scratch_path(spark, "failed")
+    files.write_failed_events(bad, path)
+    return files.read_failed_events(spark, path).withColumn("ts_us", F.unix_micros("ts")).drop("ts")
+
+
+@query("load_catalog_ndjson", PRODUCTS, VECTORS, sql="""
+SELECT CAST(product_id AS VARCHAR) AS product_id, product_name, category, brand, CAST(price AS DOUBLE) AS price, stock, description,
+  coalesce(len(product_vector), 0) AS dims, created_at_ms FROM goods LEFT JOIN vectors USING (product_id)""")
+def _(spark, d):
+    c = F.col
+    docs = A.catalog(spark, d).select(
+        c("product_id").cast("string").alias("productId"), c("product_name").alias("productName"), "category", "brand",
+        "price", "stock", "description", c("product_vector").alias("productVector"), c("created_at_ms").alias("createdAt"),
+        c("created_at_ms").alias("updatedAt"))
+    path = scratch_path(spark, "catalog")
+    files.write_catalog_ndjson(docs, path)
+    return files.load_catalog_ndjson(spark, path).select(
+        c("productId").alias("product_id"), c("productName").alias("product_name"), "category", "brand", "price", "stock",
+        "description", F.coalesce(F.size("productVector"), F.lit(0)).alias("dims"), c("createdAt").alias("created_at_ms"))
+
+
+@query("publish_notifications", NOTIFICATIONS, sql="""
+SELECT CAST(user_id AS VARCHAR) AS key, notification_id, event_id, notification_type, array_to_string(channels, ',') AS channels FROM notes""")
+def _(spark, d):
+    rows, path = A.notifications(spark, d), scratch_path(spark, "published")
+    streams.as_records(rows, "user_id").write.json(path)
+    back = spark.read.schema("key string, value string").json(path)
+    body = F.from_json("value", rows.schema)
+    return back.select("key", body.alias("b")).select(
+        "key", "b.notification_id", "b.event_id", "b.notification_type", F.array_join("b.channels", ",").alias("channels"))
+
+
+@query("retention", ACTIONS, sql="""
+SELECT 'user_actions' AS topic, count(*) AS kept FROM ua WHERE ts >= TIMESTAMP '2024-01-24 00:00:00'
+UNION ALL SELECT 'dead_letters', count(*) FROM ua WHERE ts >= TIMESTAMP '2024-01-01 00:00:00'
+UNION ALL SELECT 'metrics', count(*) FROM ua WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'""")
+def _(spark, d):
+    rows = A.user_actions(spark, d)
+    parts = [tables.retention(rows, "ts", A.as_of(), tables.RETENTION_DAYS[t]).agg(F.count("*").alias("kept"))
+             .select(F.lit(t).alias("topic"), "kept") for t in ("user_actions", "dead_letters", "metrics")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("apply_changes", """
+log AS (SELECT user_id AS id, event_id AS seq, CASE event_type WHEN 'click' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'note' END AS op,
+          concat('n', event_id) AS note, value FROM events WHERE event_type IN ('click', 'error', 'signup')
+        UNION ALL SELECT user_id, -1, 'insert', concat('n', max(event_id)), arg_max(value, event_id) FROM events
+        WHERE event_type = 'purchase' GROUP BY user_id),
+base AS (SELECT id, seq, op, note, value FROM log WHERE op <> 'note' QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1),
+notes AS (SELECT id, max(seq) AS seq, arg_max(note, seq) AS note FROM log WHERE op = 'note' GROUP BY id)""", sql="""
+SELECT base.id, CASE WHEN notes.seq > base.seq THEN notes.note ELSE base.note END AS note, value
+FROM base LEFT JOIN notes USING (id) WHERE op = 'insert'""")
+def _(spark, d):
+    e = A.table(spark, d, "events").select(
+        F.col("user_id").alias("id"), F.col("event_id").alias("seq"), "event_type",
+        F.concat(F.lit("n"), "event_id").alias("note"), "value")
+    stored = e.filter("event_type = 'purchase'").groupBy("id").agg(
+        F.max_by(F.struct("note", "value"), "seq").alias("r")).select("id", "r.note", "r.value")
+    op = F.when(F.col("event_type") == "click", "insert").when(F.col("event_type") == "error", "delete").otherwise("note")
+    changes = e.filter(F.col("event_type").isin("click", "error", "signup")).withColumn("op", op).drop("event_type")
+    return tables.apply_changes(stored, changes, "id")
+
+
+@query("popular_snapshot", ACTIONS, PRODUCTS, popular_sql(100), sql="SELECT product_id, product_name, rank FROM popular")
+def _(spark, d):
+    path = scratch_path(spark, "popular")
+    ranked = popularity.popular_products(A.user_actions(spark, d), A.products(spark, d), A.as_of())
+    snapshots.write_snapshot(ranked, path, A.as_of() - F.expr("INTERVAL 1 HOUR"))  # expired at the reading time
+    snapshots.write_snapshot(ranked, path, A.as_of() - F.expr("INTERVAL 5 MINUTES"))
+    return snapshots.read_snapshot(spark, path, A.as_of()).select("product_id", "product_name", "rank")

@@ -94,7 +94,10 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The last span of a full trace points at a parent that does not exist, process `p-error` has no entry.
     """
-    e = table(spark, sf_dir, "events")
+    return spans_of(table(spark, sf_dir, "events"))
+
+
+def spans_of(e: DataFrame) -> DataFrame:
     n = F.lit(SPANS_PER_TRACE)
     pos = F.pmod(F.col("event_id"), n)
     trace_no = F.call_function("div", F.col("event_id"), n)
@@ -178,8 +181,12 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attempts_of(table(spark, sf_dir, "events"))
+
+
+def attempts_of(events: DataFrame) -> DataFrame:
     """A dense send log: one attempt per event, twenty seconds apart."""
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.concat(F.lit("A"), "event_id").alias("attempt_id"), "user_id",
         (F.get_json_object("props", "$.k").cast("bigint") % 10).alias("product_id"),
         F.when(F.col("event_type") == "purchase", "PRICE_DROP").when(F.col("event_type") == "click", "BACK_IN_STOCK")
