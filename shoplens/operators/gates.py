@@ -6,7 +6,6 @@ An attempt frame has (attempt_id, user_id, product_id, notification_type, ts, se
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,16 +43,18 @@ class TtlFold(Fold):
     def __init__(self, ttl_us: int, output_schema: str):
         self.ttl_us, self.output_schema = ttl_us, output_schema
 
-    def step(self, state, rows):
-        times = rows.column("_us").to_numpy()
+    def load(self, batch):
+        return batch.column("_us").to_numpy()
+
+    def step(self, state, data, lo, hi):
         last = None if state is None else state["last_us"]
-        at = 0 if last is None else int(np.searchsorted(times, last + self.ttl_us))
         admitted = []
-        while at < len(times):
+        at = lo if last is None else lo + int(np.searchsorted(data[lo:hi], last + self.ttl_us))
+        while at < hi:
             admitted.append(at)
-            last = int(times[at])
-            at = int(np.searchsorted(times, last + self.ttl_us))
-        return {"last_us": last}, rows.take(pa.array(admitted, pa.int64()))
+            last = int(data[at])
+            at += int(np.searchsorted(data[at:hi], last + self.ttl_us))
+        return {"last_us": last}, admitted
 
     def settled(self, old, new):
         return F.col("o.last_us") == F.col("n.last_us")
@@ -70,21 +71,21 @@ def duplicate_gate(attempts: DataFrame, hours: int = DUPLICATE_HOURS, *, hot_row
 
 def duplicate_gate_capped(capped: DataFrame, hours: int = DUPLICATE_HOURS) -> DataFrame:
     """The same gate with array functions, for attempts that passed the daily cap (few per user and day)."""
-    item = F.struct(F.unix_micros("ts").alias("us"), "seq", "attempt_id")
+    rest = [c for c in capped.columns if c not in (*GATE_KEYS, "ts", "seq")]
     ttl = hours * 3_600_000_000
-    per_key = capped.groupBy(*GATE_KEYS).agg(F.sort_array(F.collect_list(item)).alias("attempts"))
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<string>").alias("ids"))
+    per_key = capped.groupBy(*GATE_KEYS).agg(F.sort_array(F.collect_list(F.struct("ts", "seq", *rest))).alias("attempts"))
+    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.filter("attempts", lambda a: F.lit(False)).alias("sent"))
 
     def visit(state, attempt):
-        free = state["last"].isNull() | (attempt["us"] >= state["last"] + ttl)
-        return F.struct(
-            F.when(free, attempt["us"]).otherwise(state["last"]).alias("last"),
-            F.when(free, F.array_append(state["ids"], attempt["attempt_id"])).otherwise(state["ids"]).alias("ids"))
+        us = F.unix_micros(attempt["ts"])
+        free = state["last"].isNull() | (us >= state["last"] + ttl)
+        return F.struct(F.when(free, us).otherwise(state["last"]).alias("last"),
+                        F.when(free, F.array_append(state["sent"], attempt)).otherwise(state["sent"]).alias("sent"))
 
-    return per_key.select(F.explode(F.aggregate("attempts", start, visit)["ids"]).alias("attempt_id"))
+    admitted = per_key.select(*GATE_KEYS, F.explode(F.aggregate("attempts", start, visit)["sent"]).alias("a"))
+    return admitted.select(*GATE_KEYS, "a.*").select(*capped.columns)
 
 
 def can_send(attempts: DataFrame, limit: int = DAILY_LIMIT, hours: int = DUPLICATE_HOURS) -> DataFrame:
     """Attempts that pass the daily cap and then the duplicate gate."""
-    capped = within_daily_cap(attempts, limit)
-    return capped.join(duplicate_gate_capped(capped, hours), "attempt_id", "left_semi")
+    return duplicate_gate_capped(within_daily_cap(attempts, limit), hours)

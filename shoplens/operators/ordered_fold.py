@@ -30,11 +30,15 @@ class Fold:
     """One rule. `state` is a dict of plain values matching `state_schema`, None before the first usable row."""
 
     state_schema: str
-    output_schema: str | None = None  # per-row outputs, if any
+    output_schema: str | None = None  # schema of the rows that are passed on, if any
     additive: tuple[str, ...] = ()  # counters: kept per segment and summed at the end
 
-    def step(self, state: dict | None, rows: pa.RecordBatch) -> tuple[dict | None, pa.RecordBatch | None]:
-        """Fold an ordered run of rows of one key; returns the new state and the rows to emit."""
+    def load(self, batch: pa.RecordBatch):
+        """The columns the rule reads, in a form that is cheap to slice."""
+        raise NotImplementedError
+
+    def step(self, state: dict | None, data, lo: int, hi: int) -> tuple[dict | None, list[int]]:
+        """Fold rows `lo..hi` of one key, in order; returns the new state and the rows to pass on."""
         raise NotImplementedError
 
     def settled(self, old: DataFrame, new: DataFrame) -> "F.Column":
@@ -42,19 +46,20 @@ class Fold:
         raise NotImplementedError
 
 
-def _runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
-    """Split a batch into maximal runs of equal keys."""
+def _runs(batch: pa.RecordBatch, keys: list[str]) -> list[tuple[tuple, int, int]]:
+    """Maximal runs of equal keys as (key, first row, row after the last)."""
     n = batch.num_rows
     change = np.zeros(n, dtype=bool)
+    change[0] = True
     for key in keys:
         col = batch.column(key)
         if n > 1:
             change[1:] |= pc.not_equal(col.slice(1), col.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-    starts = np.flatnonzero(change).tolist()
-    starts.insert(0, 0)
-    for lo, hi in zip(starts, starts[1:] + [n]):
-        run = batch.slice(lo, hi - lo)
-        yield tuple(run.column(k)[0].as_py() for k in keys), run
+    starts = np.flatnonzero(change)
+    at = pa.array(starts)
+    values = zip(*[batch.column(k).take(at).to_pylist() for k in keys])
+    starts = starts.tolist()
+    return list(zip(values, starts, starts[1:] + [n]))
 
 
 def _arrow_schema(ddl: str) -> pa.Schema:
@@ -75,12 +80,13 @@ def _states(fold: Fold, keys: list[str], out_schema: pa.Schema) -> Callable:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            for key, rows in _runs(batch, keys):
+            data = fold.load(batch)
+            for key, lo, hi in _runs(batch, keys):
                 if key != current:
                     if state is not None:
                         done.append((current, state))
                     current, state = key, None
-                state, _ = fold.step(state, rows)
+                state, _ = fold.step(state, data, lo, hi)
             if len(done) >= 1024:
                 yield _state_batch(done, keys, state_cols, out_schema)
                 done = []
@@ -99,27 +105,28 @@ def _state_batch(done, keys, state_cols, schema):
 
 
 def _outputs(fold: Fold, keys: list[str], out_schema: pa.Schema, state_cols: list[str]) -> Callable:
-    """Arrow map: per-row outputs; a `_start_*` column that is set on the first row gives the start state."""
+    """Arrow map: the rows passed on; a `_start_*` column that is set on the first row gives the start state."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state = None, None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            for key, rows in _runs(batch, keys):
+            data, kept = fold.load(batch), []
+            for key, lo, hi in _runs(batch, keys):
                 if key != current:
-                    current, state = key, _start_of(rows, state_cols)
-                state, out = fold.step(state, rows)
-                if out is not None and out.num_rows:
-                    yield out.select(out_schema.names).cast(out_schema)
+                    current, state = key, _start_of(batch, lo, state_cols)
+                state, passed = fold.step(state, data, lo, hi)
+                kept += passed
+            yield batch.select(out_schema.names).take(pa.array(kept, pa.int64())).cast(out_schema)
 
     return run
 
 
-def _start_of(rows: pa.RecordBatch, state_cols: list[str]) -> dict | None:
-    if f"_start_{state_cols[0]}" not in rows.schema.names:
+def _start_of(batch: pa.RecordBatch, row: int, state_cols: list[str]) -> dict | None:
+    if f"_start_{state_cols[0]}" not in batch.schema.names:
         return None
-    start = {c: rows.column(f"_start_{c}")[0].as_py() for c in state_cols}
+    start = {c: batch.column(f"_start_{c}")[row].as_py() for c in state_cols}
     return None if start[state_cols[0]] is None else start
 
 
@@ -133,13 +140,14 @@ def _segment_ends(fold: Fold, keys: list[str], out_schema: pa.Schema, state_cols
             if batch.num_rows == 0:
                 continue
             segment = batch.column("_rid")[0].as_py() >> _POSITION_BITS
-            for key, rows in _runs(batch, keys):
+            data = fold.load(batch)
+            for key, lo, hi in _runs(batch, keys):
                 if key != current:
                     if current is not None:
                         found.append((current, state, segment, opens, False))
                         opens = False
-                    current, state = key, _start_of(rows, state_cols)
-                state, _ = fold.step(state, rows)
+                    current, state = key, _start_of(batch, lo, state_cols)
+                state, _ = fold.step(state, data, lo, hi)
         if current is None:
             return
         found.append((current, state, segment, opens, True))

@@ -40,26 +40,30 @@ class TasteFold(Fold):
     def __init__(self, tolerance: float = 1e-12):
         self.tolerance = tolerance  # far below the 32-bit resolution of stored vectors
 
-    def step(self, state, rows):
-        column = rows.column("product_vector")
+    def load(self, batch):
+        column = batch.column("product_vector")
         present = column.is_valid().to_numpy(zero_copy_only=False)
-        if not present.any():
-            return state, None
-        if not present.all():
-            column = column.drop_null()
-        alphas = rows.column("alpha").to_numpy(zero_copy_only=False)[present].tolist()
-        n = len(alphas)
-        flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        vectors = flat.reshape(n, -1)
-        i = 0
+        vectors = column.drop_null().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        alphas = batch.column("alpha").to_numpy(zero_copy_only=False)[present].tolist()
+        # Row i of the batch is usable row `before[i]`, if it is usable at all.
+        before = np.concatenate([[0], np.cumsum(present)])
+        return vectors.reshape(max(len(alphas), 1), -1), alphas, before
+
+    def step(self, state, data, lo, hi):
+        vectors, alphas, before = data
+        at, end = int(before[lo]), int(before[hi])
+        if at == end:
+            return state, []
         if state is None:
-            v, count, i = _unit(vectors[0]), 1, 1
+            v, count = _unit(vectors[at]), 1
+            at += 1
         else:
             v, count = np.asarray(state["preference_vector"]), state["action_count"]
-        for a, p in zip(alphas[i:], vectors[i:]):
+        for i in range(at, end):
+            a = alphas[i]
             if a:
-                v = _unit((1.0 - a) * v + a * p)
-        return {"preference_vector": v, "action_count": count + n - i}, None
+                v = _unit((1.0 - a) * v + a * vectors[i])
+        return {"preference_vector": v, "action_count": count + end - at}, []
 
     def settled(self, old, new):
         return F.aggregate(

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import shutil
+import sys
 import tempfile
 import uuid
-from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Functions that run in Python workers travel with the job, so the package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 # A hinted broadcast is only used for frames measured to be below this size.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
@@ -36,20 +39,10 @@ def build_session(app_name: str = "shoplens", master: str | None = None, **conf:
     return prepare(builder.getOrCreate())
 
 
-_shipped: set[str] = set()
-
-
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings that results depend on and send this package to the Python workers."""
+    """Pin the runtime settings that results depend on, on a session made elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        package = Path(__file__).resolve().parent
-        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='shoplens-')}/{package.name}", "zip",
-                                      root_dir=package.parent, base_dir=package.name)
-        spark.sparkContext.addPyFile(archive)
-        _shipped.add(app)
     return spark
 
 

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.operators import notify, traces
-from shoplens.operators.interest import RESTOCK_ACTIONS, price_drop_targets, restock_targets
+from shoplens.operators.interest import (
+    PRICE_DROP_DAYS, RESTOCK_ACTIONS, price_drop_targets, relevant_actions, restock_targets)
 from shoplens.operators.tables import write_batch
 from shoplens.streaming.runner import start_batches
 
@@ -38,7 +39,7 @@ def log_attempts(events: DataFrame, actions: Callable[[], DataFrame], path: str,
         batch = batch.persist()
         try:
             drops, back = notify.price_drops(batch), notify.restocks(batch)
-            seen = actions()
+            seen = relevant_actions(actions(), batch, PRICE_DROP_DAYS)
             attempts = notify.attempts_of(price_drop_targets(drops, seen), drops, "PRICE_DROP").unionByName(
                 notify.attempts_of(restock_targets(back, seen, cart_actions), back, "BACK_IN_STOCK"))
             write_batch(attempts.select(*ATTEMPT.fieldNames()), path, batch_id)

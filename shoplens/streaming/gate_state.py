@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import heapq
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
-from datetime import timedelta
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -18,7 +18,7 @@ KEPT_DAYS = 2  # counters of older days are forgotten
 
 
 class GateProcessor(StatefulProcessor):
-    """Per user: a counter per day and the last sending time per (product, type).
+    """Per user: a counter per day and the last sending time per product and type, read and written once per batch.
 
     Of a micro-batch only the earliest `limit` attempts of each day can pass, so no more than those are held in
     memory, however many a user has. With `hours=None` only the daily cap applies.
@@ -28,43 +28,47 @@ class GateProcessor(StatefulProcessor):
         self.limit, self.hours = limit, hours
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", "day date", "n bigint")
-        self.sent = handle.getMapState("sent", "product_id string, notification_type string", "us bigint")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        earliest, totals = defaultdict(list), defaultdict(int)
-        for tie, r in enumerate(rows):
-            day = r["day"]
-            totals[day] += 1
-            # Max-heap of the `limit` earliest by (ts, seq).
-            entry = (-r["us"], -r["seq"], -tie, r)
-            if len(earliest[day]) < self.limit:
-                heapq.heappush(earliest[day], entry)
-            elif entry > earliest[day][0]:
-                heapq.heapreplace(earliest[day], entry)
-        for day in sorted(earliest):
-            used = self.counts.getValue((day,))[0] if self.counts.containsKey((day,)) else 0
-            in_order = sorted(earliest[day], reverse=True)
-            for _us, _seq, _tie, r in in_order[:max(0, self.limit - used)]:
-                if self.hours is None or self._first_in_time(r):
-                    yield Row(attempt_id=r["attempt_id"], user_id=key[0], product_id=r["product_id"],
-                              notification_type=r["notification_type"], us=r["us"], seq=r["seq"])
-            self.counts.updateValue((day,), (used + totals[day],))
-        self._forget(max(earliest), max(-entry[0] for day in earliest.values() for entry in day))
-
-    def _first_in_time(self, r: Row) -> bool:
-        k = (r["product_id"], r["notification_type"])
-        if self.sent.containsKey(k) and r["us"] < self.sent.getValue(k)[0] + self.hours * 3_600_000_000:
+        self.memory = handle.getValueState(
+            "memory", "days array<int>, counts array<bigint>, sent array<string>, times array<bigint>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        earliest, totals = None, Counter()
+        for part in rows:
+            totals.update(part["day"].tolist())
+            earliest = self._earliest(part if earliest is None else pd.concat([earliest, part]))
+        days, used, what_sent, times = self.memory.get() if self.memory.exists() else ([], [], [], [])
+        counts, sent = dict(zip(days, used)), dict(zip(what_sent, times))
+        passed = []
+        for at, (day, kind, product, us) in enumerate(zip(*[
+                earliest[c].tolist() for c in ("day", "notification_type", "product_id", "us")])):
+            counts[day] = counts.get(day, 0) + 1
+            totals[day] -= 1
+            if counts[day] <= self.limit and (self.hours is None or self._is_first(sent, kind, product, us)):
+                passed.append(at)
+        for day, n in totals.items():  # attempts beyond the earliest ones count as well
+            counts[day] += n
+        newest_day, newest_us = max(counts), int(earliest["us"].max())
+        counts = {d: n for d, n in counts.items() if d >= newest_day - KEPT_DAYS}
+        sent = {w: us for w, us in sent.items() if us >= newest_us - KEPT_DAYS * 86_400_000_000}
+        self.memory.update((list(counts), list(counts.values()), list(sent), list(sent.values())))
+        yield earliest.iloc[passed][["attempt_id", "user_id", "product_id", "notification_type", "us", "seq"]]
+
+    def _earliest(self, attempts: pd.DataFrame) -> pd.DataFrame:
+        """The first `limit` attempts of each day, ordered by day and arrival."""
+        day = attempts["day"].to_numpy()
+        order = np.lexsort((attempts["seq"].to_numpy(), attempts["us"].to_numpy(), day))
+        day = day[order]
+        first = np.searchsorted(day, day)
+        return attempts.iloc[order[np.arange(len(day)) - first < self.limit]]
+
+    def _is_first(self, sent: dict, kind: str, product: str, us: int) -> bool:
+        """Is the message free to be sent? If so, note its time."""
+        what = f"{kind}|{product}"
+        if what in sent and us < sent[what] + self.hours * 3_600_000_000:
             return False
-        self.sent.updateValue(k, (r["us"],))
+        sent[what] = int(us)
         return True
 
-    def _forget(self, newest_day, newest_us: int) -> None:
-        for (day,) in [k for k in self.counts.keys() if k[0] < newest_day - timedelta(days=KEPT_DAYS)]:
-            self.counts.removeKey((day,))
-        for k in [k for k, (us,) in self.sent.iterator() if us < newest_us - KEPT_DAYS * 86_400_000_000]:
-            self.sent.removeKey(k)
-
     def close(self) -> None:
         pass
 
@@ -76,6 +80,6 @@ def gate_stream(attempts: DataFrame, limit: int = DAILY_LIMIT, hours: int | None
     """Admitted attempts of a stream, in arrival order per user (product ids as text)."""
     rows = attempts.select(
         "attempt_id", "user_id", F.col("product_id").cast("string").alias("product_id"), "notification_type", "seq",
-        F.unix_micros("ts").alias("us"), notification_day(F.col("ts")).alias("day"))
-    admitted = rows.groupBy("user_id").transformWithState(GateProcessor(limit, hours), OUTPUT, "Append", "None")
+        F.unix_micros("ts").alias("us"), F.unix_date(notification_day(F.col("ts"))).alias("day"))
+    admitted = rows.groupBy("user_id").transformWithStateInPandas(GateProcessor(limit, hours), OUTPUT, "Append", "None")
     return admitted.withColumn("ts", F.timestamp_micros("us")).drop("us")

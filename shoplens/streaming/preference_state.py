@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -27,22 +27,21 @@ class TasteProcessor(StatefulProcessor):
         ttl = None if self.ttl_hours is None else self.ttl_hours * 3_600_000
         self.taste = handle.getValueState("taste", STATE, ttl)
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.taste.update((list(initialState["preference_vector"]), initialState["action_count"]))
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        row = initialState.iloc[0]
+        self.taste.update((row["preference_vector"].tolist(), int(row["action_count"])))
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        ordered = sorted(rows, key=lambda r: (r["us"], r["event_id"]))
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(rows).sort_values(["us", "event_id"])
         known = self.taste.get() if self.taste.exists() else None
         state = None if known is None else {"preference_vector": np.asarray(known[0]), "action_count": known[1]}
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array([r["product_vector"] for r in ordered], pa.list_(pa.float32())),
-             pa.array([r["alpha"] for r in ordered], pa.float64())], names=["product_vector", "alpha"])
-        state, _ = TasteFold().step(state, batch)
-        if state is not None:
-            vector = [float(x) for x in state["preference_vector"]]
-            self.taste.update((vector, state["action_count"]))
-            yield Row(user_id=key[0], preference_vector=vector, action_count=state["action_count"],
-                      updated_us=ordered[-1]["us"])
+        n = len(batch)
+        data = np.stack(batch["product_vector"].to_list()).astype(np.float64), batch["alpha"].tolist(), np.arange(n + 1)
+        state, _ = TasteFold().step(state, data, 0, n)
+        vector = state["preference_vector"].tolist()
+        self.taste.update((vector, state["action_count"]))
+        yield pd.DataFrame({"user_id": [key[0]], "preference_vector": [vector], "action_count": [state["action_count"]],
+                            "updated_us": [batch["us"].iloc[-1]]})
 
     def close(self) -> None:
         pass
@@ -56,6 +55,6 @@ def preference_stream(actions: DataFrame, vectors: DataFrame, dims: int, backup:
     seed = None if backup is None else backup.select(
         "user_id", F.col("preference_vector").cast("array<double>").alias("preference_vector"),
         F.coalesce("action_count", F.lit(1)).cast("bigint").alias("action_count")).groupBy("user_id")
-    updates = rows.groupBy("user_id").transformWithState(
+    updates = rows.groupBy("user_id").transformWithStateInPandas(
         TasteProcessor(ttl_hours), OUTPUT, "Update", "None" if ttl_hours is None else "ProcessingTime", seed)
     return updates.withColumn("updated_at", F.timestamp_micros("updated_us")).drop("updated_us")
