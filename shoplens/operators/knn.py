@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from shoplens.functions.vectors import has_vector, l2_normalize
 from shoplens.operators.topk import top_per_group
 
-BLOCK_BYTES = 32 * 1024 * 1024
-CHUNK_USERS = 4096
+BLOCK_BYTES = 64 * 1024 * 1024  # of either side of a block pair
+MIN_CHUNK_USERS = 1024
 MAX_PIVOTS = 4096
 SCORE_DIGITS = 6  # scores are compared at this precision, ties go to the smaller product id
 _SLACK = 1e-5
@@ -31,17 +31,22 @@ def knn_candidates(goods: DataFrame, dims: int, category: str | None = None) ->
     kept = goods.filter((F.col("stock") > 0) & has_vector(F.col("product_vector"), dims))
     if category is not None:
         kept = kept.filter(F.col("category") == category)
-    return kept.select("product_id", l2_normalize(F.col("product_vector")).alias("unit"))
+    return kept.select("product_id", F.col("product_vector").cast("array<float>").alias("vector"))
 
 
 def knn_join(users: DataFrame, candidates: DataFrame, k: int, dims: int, *, block_rows: int | None = None,
-             chunk_users: int = CHUNK_USERS) -> DataFrame:
+             chunk_users: int | None = None) -> DataFrame:
     """The `k` best candidates of each user: (user_id, product_id, score, rank).
 
     `users(user_id, preference_vector, exclude)`: `exclude` is the bounded list of product ids not to return.
+    A user is sent to every block that matters, a product to every chunk of users; both sides are cut as large as a
+    task can hold, so that the fewest copies are made, but small enough to keep all cores busy.
     """
     block_rows = block_rows or max(256, BLOCK_BYTES // (dims * 8))
     n_users, n_goods = users.count(), candidates.count()
+    if chunk_users is None:
+        share = math.ceil(n_users / users.sparkSession.sparkContext.defaultParallelism)
+        chunk_users = min(max(share, MIN_CHUNK_USERS), max(256, BLOCK_BYTES // (dims * 8)))
     chunks = max(1, math.ceil(n_users / chunk_users))
     pivots = min(MAX_PIVOTS, math.ceil(n_goods / block_rows))
     units = users.select("user_id", l2_normalize(F.col("preference_vector")).alias("unit"), "exclude",
@@ -62,6 +67,13 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _units(column) -> np.ndarray:
+    """Rows of length 1, in 64-bit floats; a zero vector stays as it is."""
+    matrix = _matrix(column).astype(np.float64)
+    lengths = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+    return matrix / np.where(lengths > 0, lengths, 1.0)
+
+
 def _score_block(k: int):
     """Scorer of one (users, products) block pair; keeps the best `k` per user."""
 
@@ -69,7 +81,7 @@ def _score_block(k: int):
         out_users, out_goods, out_scores = [], [], []
         if users.num_rows and goods.num_rows:
             ids = goods.column("product_id").to_numpy()
-            matrix = _matrix(goods.column("unit"))
+            matrix = _units(goods.column("vector"))
             by_id = np.argsort(ids)
             taste = _matrix(users.column("unit"))
             user_ids = users.column("user_id").to_numpy()
@@ -100,27 +112,30 @@ def _score_block(k: int):
 def _route(units: DataFrame, candidates: DataFrame, pivots: int, block_rows: int, k: int):
     """Place products in blocks and send each user to the blocks that can matter."""
     # A fixed, small number of vectors: the products with the smallest hashes.
-    chosen = candidates.orderBy(F.xxhash64("product_id"), "product_id").limit(pivots).select("unit").collect()
-    centres = np.array([r["unit"] for r in chosen])
+    chosen = candidates.orderBy(F.xxhash64("product_id"), "product_id").limit(pivots).select("vector").toArrow()
+    centres = _units(chosen.column("vector"))
 
     def assign(batches):
         for b in batches:
-            cos = _matrix(b.column("unit")) @ centres.T if b.num_rows else np.zeros((0, len(centres)))
-            nearest = cos.argmax(axis=1) if b.num_rows else np.array([], dtype=np.int64)
+            if not b.num_rows:
+                continue
+            cos = _units(b.column("vector")) @ centres.T
+            nearest = cos.argmax(axis=1)
             angle = np.arccos(np.clip(cos[np.arange(len(cos)), nearest], -1.0, 1.0))
             yield pa.RecordBatch.from_arrays(
-                [b.column("product_id"), b.column("unit"), pa.array(nearest, pa.int64()), pa.array(angle)],
-                names=["product_id", "unit", "pivot", "angle"])
+                [b.column("product_id"), b.column("vector"), pa.array(nearest, pa.int64()), pa.array(angle)],
+                names=["product_id", "vector", "pivot", "angle"])
 
-    placed = candidates.mapInArrow(assign, "product_id bigint, unit array<double>, pivot bigint, angle double")
+    placed = candidates.mapInArrow(assign, "product_id bigint, vector array<float>, pivot bigint, angle double")
     # A crowded pivot is cut into parts by hash, each of which is a block of its own.
     sizes = placed.groupBy("pivot").agg(F.count("*").alias("members"), F.max("angle").alias("radius"))
     cut = sizes.withColumn("parts", F.ceil(F.col("members") / block_rows))
     goods = (placed.join(F.broadcast(cut.select("pivot", "parts")), "pivot")
-             .select("product_id", "unit",
+             .select("product_id", "vector",
                      (F.col("pivot") * 1_000_000 + F.pmod(F.xxhash64("product_id"), "parts")).alias("block")))
 
-    table = cut.select("pivot", "members", "radius", "parts").collect()  # one row per pivot
+    # The block table: one row per pivot.
+    table = cut.select("pivot", "members", "radius", "parts").collect()
     pivot_no = np.array([r["pivot"] for r in table])
     members = np.array([r["members"] for r in table])
     radius = np.array([r["radius"] for r in table])

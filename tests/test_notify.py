@@ -87,8 +87,9 @@ def actions(spark, items):
     return spark.createDataFrame(data, "event_id long, user_id long, product_id long, action_type string, ts timestamp")
 
 
+@pytest.mark.parametrize("depth", [1, 2, 3, None])
 @pytest.mark.parametrize("limit", [3, 10_000])
-def test_event_targets_equal_brute_force(spark, limit):
+def test_event_targets_equal_brute_force(spark, limit, depth):
     rnd = random.Random(7)
     days = 3
     acts = [(rnd.randrange(12), rnd.choice([1, 1, 2]), rnd.choice(["VIEW", "CLICK"]), rnd.randrange(10 * 1440)) for _ in range(500)]
@@ -96,7 +97,7 @@ def test_event_targets_equal_brute_force(spark, limit):
     # both ends of the window count
     acts += [(50, 1, "VIEW", 5000), (51, 1, "VIEW", 5000 - days * 1440), (52, 1, "VIEW", 5001), (53, 1, "VIEW", 4999 - days * 1440)]
     events += [("edge", 1, 10.0, 5.0, None, None, 5000)]
-    got = interest.event_targets(inventory(spark, events), actions(spark, acts), ["VIEW"], days, limit)
+    got = interest.event_targets(inventory(spark, events), actions(spark, acts), ["VIEW"], days, limit, depth)
     found = {(r["inventory_event_id"], r["user_id"], r["n"], r["rank"]) for r in got.collect()}
     want = set()
     for e, p, *_x, t in events:
