@@ -32,8 +32,11 @@ def sum_by_label(samples: DataFrame, labels: list[str], value: str = "value") ->
     return samples.groupBy("metric", "ts", *labels).agg(F.sum(value).alias(value))
 
 
-def histogram_quantile(buckets: DataFrame, keys: list[str], q: float, value: str = "value") -> DataFrame:
-    """Quantile from cumulative buckets `(*keys, le, value)`, linear inside the bucket, null for an empty histogram."""
+def histogram_quantile(buckets: DataFrame, keys: list[str], quantiles: list[float], value: str = "value") -> DataFrame:
+    """Quantiles from cumulative buckets `(*keys, le, value)`, linear inside the bucket: one row per keys and `q`.
+
+    An empty histogram has no row. All quantiles come from one pass; a group has as many rows as there are buckets.
+    """
     upper = F.when(F.col("le") == "+Inf", F.lit(float("inf"))).otherwise(F.col("le").cast("double"))
     b = buckets.select(*keys, upper.alias("upper"), F.col(value).alias("cum"))
     order = Window.partitionBy(*keys).orderBy("upper")
@@ -41,12 +44,18 @@ def histogram_quantile(buckets: DataFrame, keys: list[str], q: float, value: str
     placed = b.select(*keys, "upper", "cum", total.alias("total"),
                       F.lag("cum", 1, 0.0).over(order).alias("cum_below"),
                       F.lag("upper", 1, 0.0).over(order).alias("lower"))
-    rank = F.col("total") * q
-    inside = F.col("lower") + (F.col("upper") - F.col("lower")) * (rank - F.col("cum_below")) / F.nullif(
-        F.col("cum") - F.col("cum_below"), F.lit(0.0))
-    estimate = F.when(F.col("upper") == float("inf"), F.col("lower")).otherwise(inside)
-    return (placed.filter((F.col("total") > 0) & (F.col("cum") >= rank))
-            .groupBy(*keys).agg(F.min_by(estimate, "upper").alias("quantile")))
+
+    def estimate(q: float) -> Column:
+        rank = F.col("total") * q
+        inside = F.col("lower") + (F.col("upper") - F.col("lower")) * (rank - F.col("cum_below")) / F.nullif(
+            F.col("cum") - F.col("cum_below"), F.lit(0.0))
+        reached = F.col("cum") >= rank
+        return F.min_by(F.when(F.col("upper") == float("inf"), F.col("lower")).otherwise(inside),
+                        F.when(reached, F.col("upper")))
+
+    found = placed.filter(F.col("total") > 0).groupBy(*keys).agg(F.array(*[
+        F.struct(F.lit(q).alias("q"), estimate(q).alias("quantile")) for q in quantiles]).alias("found"))
+    return found.select(*keys, F.explode("found").alias("f")).select(*keys, "f.q", "f.quantile")
 
 
 def ratio(samples: DataFrame, keys: list[str], part: Column, whole: Column, value: str = "value",

@@ -87,7 +87,7 @@ def actions(spark, items):
     return spark.createDataFrame(data, "event_id long, user_id long, product_id long, action_type string, ts timestamp")
 
 
-@pytest.mark.parametrize("depth", [1, 2, 3, None])
+@pytest.mark.parametrize("depth", [0, 1, 2, 3, None])
 @pytest.mark.parametrize("limit", [3, 10_000])
 def test_event_targets_equal_brute_force(spark, limit, depth):
     rnd = random.Random(7)
@@ -113,6 +113,16 @@ def test_event_targets_equal_brute_force(spark, limit, depth):
         assert not {u for e, u, *_ in found if e == "edge"} & {52, 53}
 
 
+def test_bucket_depth_follows_the_load(spark):
+    few = inventory(spark, [("e", 1, 10.0, 5.0, None, None, 2000)])
+    many = inventory(spark, [(f"e{i}", 1, 10.0, 5.0, None, None, 2000 + i % 500) for i in range(2000)])
+    acts = actions(spark, [(i, 1, "VIEW", 1900 + i % 600) for i in range(3000)])
+    spread = actions(spark, [(i, 1, "VIEW", 1990 if i < 100 else i) for i in range(100)] + [(i, 1, "VIEW", -9000) for i in range(4000)])
+    assert interest._bucket_depth(acts, few, 3) == 0
+    assert interest._bucket_depth(acts, many, 3) == 3
+    assert interest._bucket_depth(spread, many, 3) == 1
+
+
 def test_price_drop_message(spark):
     goods = spark.createDataFrame([(1, "Mug")], "product_id long, product_name string")
     events = inventory(spark, [("e1", 1, 100.0, 85.0, None, None, 600), ("e2", 1, 100.0, 95.0, None, None, 601),

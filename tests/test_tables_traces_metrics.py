@@ -129,7 +129,7 @@ def test_increase_survives_a_restart(spark):
                                            ({"1": 0, "10": 0, "+Inf": 0}, 0.5, None), ({"1": 4, "10": 8, "+Inf": 8}, 0.5, 1.0)])
 def test_histogram_quantile(spark, counts, q, want):
     df = spark.createDataFrame([("k", le, float(n)) for le, n in counts.items()], "k string, le string, value double")
-    got = [r["quantile"] for r in metrics.histogram_quantile(df, ["k"], q).collect()]
+    got = [r["quantile"] for r in metrics.histogram_quantile(df, ["k"], [q]).collect()]
     assert got == ([] if want is None else [pytest.approx(want)])
 
 
