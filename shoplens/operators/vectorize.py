@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,12 +20,16 @@ Encoder = Callable[[list[str]], np.ndarray]
 def hashing_encoder(dims: int) -> Encoder:
     """Deterministic stand-in for a model: signed feature hashing of the words."""
 
+    @lru_cache(maxsize=100_000)
+    def place(word: str) -> tuple[int, float]:
+        h = int(hashlib.md5(word.encode()).hexdigest()[:8], 16)
+        return (h >> 1) % dims, 1.0 if h & 1 else -1.0
+
     def encode(texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), dims))
         for row, words in zip(out, (t.lower().split() for t in texts)):
-            for word in words:
-                h = zlib.crc32(word.encode())
-                row[(h >> 1) % dims] += 1.0 if h & 1 else -1.0
+            for column, sign in map(place, words):
+                row[column] += sign
         return out
 
     return encode

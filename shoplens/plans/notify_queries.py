@@ -160,7 +160,9 @@ def _(spark, d):
             FT.back_in_stock_body(F.col("product_name")).alias("body")))
 
 
-@query("notification_data")
+@query("notification_data", INVENTORY, DROPS, sql="""
+SELECT inventory_event_id, CAST(previous_price AS VARCHAR) AS previous_price, CAST(current_price AS VARCHAR) AS current_price,
+  CAST(drop_percentage AS VARCHAR) AS drop_percentage FROM drops""")
 def _(spark, d):
     drops = notify.price_drops(A.inventory_events(spark, d))
     data = FT.price_drop_data(F.col("previous_price"), F.col("current_price"), F.col("drop_percentage"))

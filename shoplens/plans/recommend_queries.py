@@ -10,7 +10,8 @@ from shoplens.operators.tables import latest_per_key
 from shoplens.operators.vectorize import vectorize_catalog
 from shoplens.plans.action_queries import e4, e4_sql
 from shoplens.plans.registry import (
-    ACTIONS, AS_OF_SQL, CATALOG, CATEGORISED, DIMS, FOLD, PRODUCTS, VECTORS, VIEWED, knn_sql, popular_sql, query)
+    ACTIONS, AS_OF_SQL, CATALOG, CATEGORISED, DIMS, FOLD, PRODUCTS, VECTORS, VIEWED, knn_sql, popular_sql, query,
+    unit_sql)
 from shoplens.session import durable
 from shoplens.sources import adapters as A
 
@@ -178,7 +179,13 @@ def _(spark, d):
     return reports.category_hit_rate(everyone(spark, d), actions).withColumn("hit_rate", F.round("hit_rate", 6))
 
 
-@query("vectorize_catalog")
+@query("vectorize_catalog", PRODUCTS, """
+words AS (SELECT product_id, unnest(string_split(lower(concat('passage: ', concat_ws(' ', product_name, category, description))), ' ')) AS word FROM goods),
+hashed AS (SELECT product_id, CAST(concat('0x', substr(md5(word), 1, 8)) AS BIGINT) AS h FROM words),
+entries AS (SELECT product_id, (h >> 1) % 64 AS i, CAST(sum(CASE WHEN h & 1 = 1 THEN 1 ELSE -1 END) AS DOUBLE) AS x FROM hashed GROUP BY ALL),
+filled AS (SELECT product_id, list(coalesce(x, 0) ORDER BY i) AS v
+           FROM (SELECT product_id, unnest(range(64)) AS i FROM goods) LEFT JOIN entries USING (product_id, i) GROUP BY product_id)""",
+       sql=f"SELECT product_id, {e4_sql('CAST(CAST(' + unit_sql('v') + ' AS FLOAT[]) AS DOUBLE[])')} AS vector_e4 FROM filled")
 def _(spark, d):
     rows = vectorize_catalog(A.products(spark, d), DIMS)
     return rows.select("product_id", e4(F.col("product_vector").cast("array<double>")).alias("vector_e4"))

@@ -49,15 +49,24 @@ def log_attempts(events: DataFrame, actions: Callable[[], DataFrame], path: str,
     return start_batches(events, detect, checkpoint, once=once)
 
 
-def scan_spans(spans: DataFrame, span_log: str, anomaly_log: str, checkpoint: str, *, once: bool = False) -> StreamingQuery:
-    """Store spans, look at every trace the micro-batch touches as a whole, and store what is new."""
+def scan_spans(spans: DataFrame, span_log: str, anomaly_log: str, checkpoint: str, *,
+               lookback_minutes: int | None = None, once: bool = False) -> StreamingQuery:
+    """Store spans, look at every trace the micro-batch touches as a whole, and store what is new.
+
+    With `lookback_minutes`, only spans that start at most so long before the micro-batch are read back, which lets
+    the reader skip the rest of the log; it must be longer than any trace.
+    """
 
     def scan(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         write_batch(batch, span_log, batch_id)
         log = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(span_log)
         touched = log.filter(F.col("batch_id") == batch_id).select("trace_id").distinct()
-        whole = log.filter(F.col("batch_id") <= batch_id).join(touched, "trace_id", "left_semi")
+        stored = log.filter(F.col("batch_id") <= batch_id)
+        if lookback_minutes is not None:
+            first = log.filter(F.col("batch_id") == batch_id).agg(F.min("start_us")).first()[0]
+            stored = stored.filter(F.col("start_us") >= F.lit((first or 0) - lookback_minutes * 60_000_000))
+        whole = stored.join(touched, "trace_id", "left_semi")
         found = traces.find_anomalies(whole)
         try:
             known = spark.read.parquet(anomaly_log).filter(F.col("batch_id") < batch_id)

@@ -17,6 +17,16 @@ STATE = "preference_vector array<double>, action_count bigint"
 OUTPUT = "user_id bigint, preference_vector array<double>, action_count bigint, updated_us bigint"
 
 
+class _Lookup:
+    """Row number to product vector."""
+
+    def __init__(self, vectors: dict, products: list):
+        self.vectors, self.products = vectors, products
+
+    def __getitem__(self, row: int) -> np.ndarray:
+        return self.vectors[self.products[row]]
+
+
 class TasteProcessor(StatefulProcessor):
     """Per user: restore from the backup, fold the rows of a micro-batch in arrival order, emit the new vector."""
 
@@ -32,11 +42,17 @@ class TasteProcessor(StatefulProcessor):
         self.taste.update((row["preference_vector"].tolist(), int(row["action_count"])))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(rows).sort_values(["us", "event_id"])
+        # Only (product, rate, time) is kept per row, and one vector per distinct product.
+        vectors, slim = {}, []
+        for part in rows:
+            for product, vector in part.drop_duplicates("product_id")[["product_id", "product_vector"]].itertuples(index=False):
+                vectors.setdefault(product, np.asarray(vector, dtype=np.float64))
+            slim.append(part[["product_id", "alpha", "us", "event_id"]])
+        batch = pd.concat(slim).sort_values(["us", "event_id"])
+        n = len(batch)
         known = self.taste.get() if self.taste.exists() else None
         state = None if known is None else {"preference_vector": np.asarray(known[0]), "action_count": known[1]}
-        n = len(batch)
-        data = np.stack(batch["product_vector"].to_list()).astype(np.float64), batch["alpha"].tolist(), np.arange(n + 1)
+        data = _Lookup(vectors, batch["product_id"].tolist()), batch["alpha"].tolist(), range(n + 1)
         state, _ = TasteFold().step(state, data, 0, n)
         vector = state["preference_vector"].tolist()
         self.taste.update((vector, state["action_count"]))
@@ -51,7 +67,7 @@ def preference_stream(actions: DataFrame, vectors: DataFrame, dims: int, backup:
                       ttl_hours: int | None = None) -> DataFrame:
     """Stream of updated vectors; `backup(user_id, preference_vector, action_count)` seeds users without state."""
     rows = (attach_vectors(actions, vectors, dims).filter(~F.col("skipped"))
-            .select("user_id", "event_id", F.unix_micros("ts").alias("us"), "product_vector", action_alpha(F.col("action_type")).alias("alpha")))
+            .select("user_id", "event_id", F.unix_micros("ts").alias("us"), "product_id", "product_vector", action_alpha(F.col("action_type")).alias("alpha")))
     seed = None if backup is None else backup.select(
         "user_id", F.col("preference_vector").cast("array<double>").alias("preference_vector"),
         F.coalesce("action_count", F.lit(1)).cast("bigint").alias("action_count")).groupBy("user_id")
