@@ -87,11 +87,10 @@ tree AS (SELECT trace_id, span_id, 0 AS depth, own AS sort_key FROM linked WHERE
          FROM tree t JOIN linked l ON l.trace_id = t.trace_id AND l.parent = t.span_id),
 bounds AS (SELECT trace_id, min(start_us) AS t0, max(start_us + duration_us) AS t1 FROM spans GROUP BY trace_id)""", sql="""
 SELECT trace_id, span_id, operation_name, CAST(depth AS BIGINT) AS depth, sort_key,
-  round((start_us - t0) / greatest(t1 - t0, 1), 6) AS bar_offset, round(duration_us / greatest(t1 - t0, 1), 6) AS bar_width
+  (start_us - t0) / greatest(t1 - t0, 1) AS bar_offset, duration_us / greatest(t1 - t0, 1) AS bar_width
 FROM tree JOIN linked USING (trace_id, span_id) JOIN bounds USING (trace_id)""")
 def _(spark, d):
-    return traces.span_tree(A.spans(spark, d)).withColumns({
-        c: F.round(c, 6) for c in ("bar_offset", "bar_width")})
+    return traces.span_tree(A.spans(spark, d))
 
 
 FOUND = """
