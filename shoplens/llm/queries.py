@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import bpe
+from shoplens.llm import bpe, quality, simhash, tokenstore
 from shoplens.llm.common import prepare
+from shoplens.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,3 +34,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = bpe.Bpe(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return bpe.digests(codec, table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_simhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
+@query("op9_token_store")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    tokenstore.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return tokenstore.documents(spark, path)
