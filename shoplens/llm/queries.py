@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplens.llm import bpe, quality, simhash, tokenstore
+from shoplens.llm import bpe, decontaminate, htmltext, langid, licenses, linededup, lm, quality, simhash, tokenstore
 from shoplens.llm.common import prepare
 from shoplens.session import scratch_path
 
@@ -51,3 +52,45 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     tokenstore.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return tokenstore.documents(spark, path)
+
+
+@query("op2_line_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.counted(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no address: their source stands for the host."""
+    docs = table(spark, sf_dir, "documents").withColumnRenamed("lang", "lang_declared")
+    return langid.identify(docs, F.col("lang_declared"), F.col("source"), F.lit(""), ["doc_id", "lang_declared"])
+
+
+@query("page_language_id")
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with the language of their markup, the suffix of their address and their host."""
+    pages = table(spark, sf_dir, "pages")
+    host = F.lower(F.regexp_extract("url", "^[a-zA-Z]+://([^/:?#]*)", 1))
+    declared = F.regexp_extract("html", "(?i)<html[^>]*?\\slang=[\"']?([a-z]{2,3})", 1)
+    text = F.regexp_replace(F.regexp_replace("html", "(?is)<(script|style)\\b.*?</\\1>", " "), "<[^>]*>", " ")
+    return langid.identify(pages.withColumn("text", text), declared, host, F.regexp_extract(host, "([^.]*)$", 1), ["page_id", "url"])
+
+
+@query("op3_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_lm_scores")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
