@@ -13,7 +13,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import text_or_empty
@@ -149,6 +149,13 @@ def sample_paragraphs(docs: DataFrame) -> list[str]:
     return [r["line"] for r in lines.orderBy("h", "line").limit(SAMPLE).collect()]
 
 
+def _runs(size: int) -> Column:
+    """All runs of `size` words of the column `w`."""
+    n = F.size("w")
+    runs = F.transform(F.sequence(F.lit(1), n - size + 1), lambda s: F.array_join(F.slice("w", s, size), " "))
+    return F.when(n >= size, runs).otherwise(F.array().cast("array<string>"))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """(k1, k2, at, family, confidence): paragraphs (lines) of each distinct text that hold a confirmed licence notice.
 
@@ -162,9 +169,7 @@ def scan(docs: DataFrame) -> DataFrame:
         .withColumn("w", F.filter(F.split(F.lower("line"), BETWEEN), lambda w: w != "")).where(F.arrays_overlap("w", telling)) \
         .select("k1", "k2", "at", "w").dropDuplicates(["k1", "k2", "at"])
     lines = durable(lines)
-    n = F.size("w")
-    found = [F.transform(F.sequence(F.lit(1), n - k + 1), lambda s, k=k: F.array_join(F.slice("w", s, k), " ")) for k in range(1, GRAM + 1)]
-    told = F.array_distinct(F.concat(*[F.when(n >= k, g).otherwise(F.array().cast("array<string>")) for k, g in enumerate(found, 1)]))
+    told = F.array_distinct(F.concat(*[_runs(k) for k in range(1, GRAM + 1)]))
     spoken = lines.select("k1", "k2", "at", F.explode(told).alias("gram"))
     # Both tables have the size of the templates above, whatever the corpus.
     weights = spark.createDataFrame([(g, [float(v) for v in row]) for g, row in zip(model.vocabulary, model.weights)], "gram string, v array<double>")
