@@ -10,7 +10,6 @@ Spark's writer commits the files, so a lost executor leaves no half shard, and a
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +23,7 @@ from shoplens.llm.perfect_hash import PerfectHash, hash_keys
 
 # Ids of a shard, unless one document alone has more; words remembered by a tokenizer in a worker; words encoded at once.
 SHARD_IDS, WORDS, AT_ONCE = 1 << 20, 400_000, 4096
+LINE, LINE_WORD = "\n", " \n\n"
 # Entries of the table that routes keys to shards.
 ROUTES = 1 << 16
 SHARD = ("part long, shard long, docs long, ids long, width int, seed int, least long, most long, keys binary, "
@@ -51,46 +51,50 @@ class WordEncoder:
     def __init__(self, definition: str, width: int):
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.code = "H" if width == 2 else "I"
+        self.width, self.kind = width, "<u2" if width == 2 else "<u4"
         self.words: dict[str, bytes] = {}
+        # Ids that begin with a blank or a line feed, in the byte-level alphabet.
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for t, i in vocabulary.items() if t[:1] in ("\u0120", "\u010a")]] = True
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        found = []
-        for at in range(0, len(texts), AT_ONCE):
-            found += [array(self.code, e.ids).tobytes() for e in
-                      self.tokenizer.encode_batch_fast(texts[at:at + AT_ONCE], add_special_tokens=False)]
-        return found
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[str], mark: str) -> None:
+        """Remember the ids of words that follow `mark`, a blank or a line feed; each begins with the only such id."""
+        for at in range(0, len(words), AT_ONCE):
+            some = words[at:at + AT_ONCE]
+            packed = self.ids([mark + mark.join([w.removeprefix("\n\n") for w in some])])[0]
+            cuts = (np.flatnonzero(self.begins[np.frombuffer(packed, self.kind)]) * self.width).tolist()
+            self.words.update(zip(some, (packed[a:b] for a, b in zip(cuts, [*cuts[1:], len(packed)])), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > WORDS:
             self.words.clear()
-        # The first word of a line has no blank before it; it is kept under its text with a line feed before it.
-        cut = [t.replace("\n", " \n\n").split(" ") if plain(t) else None for t in texts]
-        missing = list(set().union(*[c for c in cut if c]).difference(self.words))
+        # The first word of a line has no blank before it; it is kept under its text with two line feeds before it.
+        cut = [f"\n\n{t.replace(LINE, LINE_WORD)}".split(" ") if t else [] for t in texts]
+        missing = list(set().union(*cut).difference(self.words))
         good = [w for w in missing if regular(w)]
-        self.words.update(zip(good, self.ids([w[1:] if w[0] == "\n" else " " + w for w in good])))
+        self.learn([w for w in good if w[0] != "\n"], " ")
+        self.learn([w for w in good if w[0] == "\n"], "\n")
         out, rest = [], []
         for k, words in enumerate(cut):
             try:
-                # The word before the first blank is encoded without one.
-                out.append(None if words is None else b"".join(map(self.words.__getitem__, words[1:])))
+                # The line feed before the text is taken off again.
+                out.append(b"".join(map(self.words.__getitem__, words))[self.width:])
             except KeyError:
-                out.append(None)
-            if out[k] is None:
+                out.append(b"")
                 rest.append(k)
-        firsts = self.ids(["" if c is None else c[0] for c in cut])
-        whole = dict(zip(rest, self.ids([texts[k] for k in rest])))
-        return [whole[k] if body is None else firsts[k] + body for k, body in enumerate(out)]
-
-
-def plain(text: str) -> bool:
-    return regular(text.partition(" ")[0])
+        for k, whole in zip(rest, self.ids([texts[k] for k in rest])):
+            out[k] = whole
+        return out
 
 
 def regular(word: str) -> bool:
-    """Is it a word, or the first word of a line after its line feed, without white space at its ends?"""
+    """Is it a word, or the first word of a line after its line feeds, without white space in it?"""
     body = word.removeprefix("\n\n")
-    return bool(body) and not body[0].isspace() and not body[-1].isspace()
+    return body.split() == [body]
 
 
 def pack(part: int, shard: int, keys: list[int | None], payloads: list[bytes], width: int) -> dict:
