@@ -2,8 +2,8 @@
 
 Words and word pairs of the trusted documents and of all documents are counted in hash buckets over the whole corpus;
 a task sends one row a bucket. The score of a document is the mean log ratio of the two bucket distributions over its
-n-grams. The threshold is found on the labelled documents from a histogram of their scores, and every document is held
-against it.
+n-grams. Half of the labelled documents are trusted text; the threshold is found on the other half, which the counts of
+trusted text do not know, from a histogram of their scores. Every document is held against it.
 """
 
 from __future__ import annotations
@@ -151,10 +151,11 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     A null text has no words and fails the base rules; a null doc_id is judged by the text alone; a document labelled
     more than once is trusted if any label is good. Repeated rows give repeated results, an empty table none.
     """
-    ratios = log_ratios(docs, labels.where("quality > 0"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    ratios = log_ratios(docs, labels.where("quality > 0").where(half == 0))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     scored = durable(measures(docs, ratios).withColumn("base_failed", base))
-    edge = threshold(scored, labels)
+    edge = threshold(scored, labels.where(half == 1))
     return scored.withColumn("threshold", F.lit(edge)) \
         .withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= F.lit(edge))) \
         .select("doc_id", *MEASURES, "base_failed", "kept", "log_ratio", "threshold")
