@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def span_has_error(tags: Column) -> Column:
-    """Tagged as an error, or carrying an error status code."""
+    """Tagged with the boolean error, or carrying an error status code; the text "true" is no error."""
     return F.coalesce(F.exists(tags, lambda t: (
-        (t["key"] == "error") & (F.lower(t["value"]) == "true")
+        (t["key"] == "error") & (t["type"] == "bool") & (t["value"] == "true")
         | (t["key"] == "otel.status_code") & (t["value"] == "ERROR"))), F.lit(False))
 
 

@@ -22,8 +22,8 @@ from shoplens.operators.topk import top_per_group
 BLOCK_BYTES = 64 * 1024 * 1024  # of either side of a block pair
 MIN_CHUNK_USERS = 1024
 MAX_PIVOTS = 4096
-SCORE_DIGITS = 6  # scores are compared at this precision, ties go to the smaller product id
-_SLACK = 1e-5
+_SLACK = 1e-5  # of angles
+_ROUNDING = 1e-9  # of scores from a matrix product; what may be among the best is scored again, row by row
 
 
 def knn_candidates(goods: DataFrame, dims: int, category: str | None = None) -> DataFrame:
@@ -36,7 +36,7 @@ def knn_candidates(goods: DataFrame, dims: int, category: str | None = None) ->
 
 def knn_join(users: DataFrame, candidates: DataFrame, k: int, dims: int, *, block_rows: int | None = None,
              chunk_users: int | None = None) -> DataFrame:
-    """The `k` best candidates of each user: (user_id, product_id, score, rank).
+    """The `k` best candidates of each user: (user_id, product_id, score, rank), by the unrounded score, then the id.
 
     `users(user_id, preference_vector, exclude)`: `exclude` is the bounded list of product ids not to return.
     A user is sent to every block that matters, a product to every chunk of users; both sides are cut as large as a
@@ -57,11 +57,16 @@ def knn_join(users: DataFrame, candidates: DataFrame, k: int, dims: int, *, bloc
     else:
         goods, routed = _route(units, candidates, pivots, block_rows, k)
     copies = goods.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
+    user, product = _kind(users, "user_id"), _kind(candidates, "product_id")
     found = (routed.groupBy("block", "chunk").cogroup(copies.groupBy("block", "chunk"))
-             .applyInArrow(_score_block(k), "user_id bigint, product_id bigint, score double"))
+             .applyInArrow(_score_block(k), f"user_id {user}, product_id {product}, score double"))
     return top_per_group(found, ["user_id"], [F.desc("score"), F.asc("product_id")], k)
 
 
+def _kind(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
 def _matrix(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
@@ -80,31 +85,37 @@ def _score_block(k: int):
     def score(users: pa.Table, goods: pa.Table) -> pa.Table:
         out_users, out_goods, out_scores = [], [], []
         if users.num_rows and goods.num_rows:
+            # Ids of any type: their order is kept as numbers.
             ids = goods.column("product_id").to_numpy()
             matrix = _units(goods.column("vector"))
             by_id = np.argsort(ids)
+            order = np.empty(len(ids), np.int64)
+            order[by_id] = np.arange(len(ids))
             taste = _matrix(users.column("unit"))
-            user_ids = users.column("user_id").to_numpy()
+            user_ids = users.column("user_id").to_pylist()
             excludes = users.column("exclude").to_pylist()
             step = max(1, 4_000_000 // len(ids))
             for lo in range(0, len(user_ids), step):
-                scores = np.round((1.0 + taste[lo:lo + step] @ matrix.T) / 2.0, SCORE_DIGITS)
-                for row, user, exclude in zip(scores, user_ids[lo:lo + step], excludes[lo:lo + step]):
+                part = taste[lo:lo + step]
+                scores = (1.0 + part @ matrix.T) / 2.0
+                for unit, row, user, exclude in zip(part, scores, user_ids[lo:lo + step], excludes[lo:lo + step]):
                     if exclude:
+                        exclude = np.array(exclude, ids.dtype)
                         spots = np.searchsorted(ids, exclude, sorter=by_id)
                         spots = by_id[np.minimum(spots, len(ids) - 1)]
                         row[spots[ids[spots] == exclude]] = -1.0
                     floor = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else 0.0
-                    near = np.flatnonzero(row >= max(floor, 0.0))
-                    best = near[np.lexsort((ids[near], -row[near]))[:k]]
-                    out_users.append(np.full(len(best), user))
-                    out_goods.append(ids[best])
-                    out_scores.append(row[best])
-        empty = np.array([], dtype=np.int64)
+                    near = np.flatnonzero(row >= max(floor - _ROUNDING, -0.5))
+                    # Equal vectors get equal scores here, whatever their places in the matrix.
+                    exact = (1.0 + (matrix[near] * unit).sum(axis=1)) / 2.0
+                    best = np.lexsort((order[near], -exact))[:k]
+                    out_users += [user] * len(best)
+                    out_goods += ids[near[best]].tolist()
+                    out_scores += exact[best].tolist()
         return pa.table({
-            "user_id": np.concatenate(out_users or [empty]),
-            "product_id": np.concatenate(out_goods or [empty]),
-            "score": np.concatenate(out_scores or [empty.astype(np.float64)])})
+            "user_id": pa.array(out_users, users.schema.field("user_id").type),
+            "product_id": pa.array(out_goods, goods.schema.field("product_id").type),
+            "score": pa.array(out_scores, pa.float64())})
 
     return score
 
@@ -126,7 +137,8 @@ def _route(units: DataFrame, candidates: DataFrame, pivots: int, block_rows: int
                 [b.column("product_id"), b.column("vector"), pa.array(nearest, pa.int64()), pa.array(angle)],
                 names=["product_id", "vector", "pivot", "angle"])
 
-    placed = candidates.mapInArrow(assign, "product_id bigint, vector array<float>, pivot bigint, angle double")
+    user, product = _kind(units, "user_id"), _kind(candidates, "product_id")
+    placed = candidates.mapInArrow(assign, f"product_id {product}, vector array<float>, pivot bigint, angle double")
     # A crowded pivot is cut into parts by hash, each of which is a block of its own.
     sizes = placed.groupBy("pivot").agg(F.count("*").alias("members"), F.max("angle").alias("radius"))
     cut = sizes.withColumn("parts", F.ceil(F.col("members") / block_rows))
@@ -153,7 +165,7 @@ def _route(units: DataFrame, candidates: DataFrame, pivots: int, block_rows: int
                 by_far = np.argsort(far)
                 enough = np.searchsorted(np.cumsum(members[by_far]), k + excluded[i])
                 limit = far[by_far[min(enough, len(far) - 1)]] if enough < len(far) else np.pi
-                for j in np.flatnonzero(angles - radius <= limit + _SLACK + 2 * 10.0 ** -(SCORE_DIGITS / 2)):
+                for j in np.flatnonzero(angles - radius <= limit + _SLACK):
                     rows.extend([i] * len(blocks[j]))
                     targets.extend(blocks[j].tolist())
             sent = b.take(pa.array(rows, pa.int64()))
@@ -161,5 +173,5 @@ def _route(units: DataFrame, candidates: DataFrame, pivots: int, block_rows: int
                 [*sent.columns, pa.array(targets, pa.int64())], names=[*sent.schema.names, "block"])
 
     routed = units.mapInArrow(
-        send, "user_id bigint, unit array<double>, exclude array<bigint>, chunk bigint, block bigint")
+        send, f"user_id {user}, unit array<double>, exclude array<{product}>, chunk bigint, block bigint")
     return goods, routed

@@ -47,12 +47,15 @@ def notification_id(*parts) -> Column:
 
 
 def attempts_of(targets: DataFrame, events: DataFrame, notification_type: str) -> DataFrame:
-    """One send attempt per (event, user); users of one event are tried in rank order."""
+    """One send attempt per (event, user), in the order of the events and, of one event, of the ranks.
+
+    `seq` holds the event's number (below 2^32) above the rank (below 2^31), so no limit on ranks is needed.
+    """
     return targets.join(events.select("inventory_event_id", "product_id", "ts", F.col("seq").alias("event_seq")),
                         "inventory_event_id").select(
         F.concat_ws("|", "inventory_event_id", "user_id").alias("attempt_id"), "inventory_event_id", "user_id",
         "product_id", F.lit(notification_type).alias("notification_type"), "ts",
-        (F.col("event_seq") * 100_000 + F.col("rank")).alias("seq"), "rank")
+        (F.shiftleft(F.col("event_seq").cast("bigint"), 31) + F.col("rank")).alias("seq"), "rank")
 
 
 def _message(sent: DataFrame, goods: DataFrame, body, data, channels: list[str]) -> DataFrame:
@@ -79,19 +82,33 @@ def restock_notifications(admitted: DataFrame, found: DataFrame, goods: DataFram
                     text.back_in_stock_data(F.col("current_stock")), ["PUSH", "SMS"])
 
 
-def detect_price_drop(events: DataFrame, actions: DataFrame, goods: DataFrame) -> DataFrame:
+def detect_price_drop(events: DataFrame, actions: DataFrame, goods: DataFrame, limit: int | None = None) -> DataFrame:
+    """Messages of the price drops alone; together with other kinds, `send_all` applies the one daily cap."""
     drops = price_drops(events)
-    attempts = attempts_of(price_drop_targets(drops, actions), drops, "PRICE_DROP")
+    attempts = attempts_of(price_drop_targets(drops, actions, limit), drops, "PRICE_DROP")
     return price_drop_notifications(can_send(attempts), drops, goods)
 
 
 def detect_restock(events: DataFrame, actions: DataFrame, goods: DataFrame,
-                   action_types: list[str] = RESTOCK_ACTIONS) -> DataFrame:
+                   action_types: list[str] = RESTOCK_ACTIONS, limit: int | None = None) -> DataFrame:
+    """Messages of the restocks alone; together with other kinds, `send_all` applies the one daily cap."""
     found = restocks(events)
-    attempts = attempts_of(restock_targets(found, actions, action_types), found, "BACK_IN_STOCK")
+    attempts = attempts_of(restock_targets(found, actions, action_types, limit), found, "BACK_IN_STOCK")
     return restock_notifications(can_send(attempts), found, goods)
 
 
+def send_all(events: DataFrame, actions: DataFrame, as_of: Column, action_types: list[str] = RESTOCK_ACTIONS,
+             limit: int | None = None) -> DataFrame:
+    """What may be sent of price drops, restocks and the daily batch together: all kinds count to one daily cap per user."""
+    drops, back = price_drops(events), restocks(events)
+    columns = ["attempt_id", "user_id", "product_id", "notification_type", "ts", "seq"]
+    kinds = [attempts_of(price_drop_targets(drops, actions, limit), drops, "PRICE_DROP"),
+             attempts_of(restock_targets(back, actions, action_types, limit), back, "BACK_IN_STOCK"),
+             daily_attempts(actions, as_of)]
+    kinds = [k.select(*columns).withColumn("product_id", F.col("product_id").cast("string")) for k in kinds]
+    return can_send(kinds[0].unionByName(kinds[1]).unionByName(kinds[2])).select(*columns)
+
+
 def send_schedule(ranked: DataFrame, size: int = CHUNK_SIZE, pause_ms: int = CHUNK_PAUSE_MS) -> DataFrame:
     """Chunk number and delay of each ranked receiver (`rank` from 1)."""
     chunk = F.call_function("div", F.col("rank") - 1, F.lit(size))

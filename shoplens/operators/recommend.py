@@ -40,7 +40,7 @@ def knn_recommend(preferences: DataFrame, goods: DataFrame, k: int, dims: int, *
     """Ranked products per user with a vector; filters apply before the search, `viewed` pairs are left out."""
     users = preferences.select("user_id", "preference_vector")
     if viewed is None:
-        users = users.withColumn("exclude", F.lit(None).cast("array<bigint>"))
+        users = users.withColumn("exclude", F.lit(None).cast(f"array<{dict(goods.dtypes)['product_id']}>"))
     else:
         # At most VIEWED_EVENTS ids per user, by construction of `recent_viewed`.
         seen = viewed.groupBy("user_id").agg(F.collect_set("product_id").alias("exclude"))

@@ -29,9 +29,16 @@ def processing_funnel(rows: DataFrame, stages: dict[str, Column]) -> DataFrame:
 
 
 def batch_size_percentiles(sizes: DataFrame, column: str = "size") -> DataFrame:
-    """p50, p90, p99 by a mergeable sketch; exact while the number of distinct sizes is below its accuracy."""
-    p = F.percentile_approx(column, [0.5, 0.9, 0.99], 10_000)
-    return sizes.agg(p.alias("p")).select(*[F.col("p")[i].alias(n) for i, n in enumerate(("p50", "p90", "p99"))])
+    """p50, p90, p99: the smallest size that so large a share of the batches doesn't exceed, exactly.
+
+    Batches are counted by size first, so only one row per distinct size meets in the running sum.
+    """
+    counts = sizes.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    upto = counts.select(F.col(column).alias("size"), F.sum("n").over(Window.orderBy(column)).alias("upto"))
+    total = counts.agg(F.sum("n")).scalar()
+    return upto.agg(*[
+        F.min(F.when(F.col("upto") >= F.ceil(F.lit(p) * total), F.col("size"))).alias(f"p{round(p * 100)}")
+        for p in (0.5, 0.9, 0.99)])
 
 
 def channel_counts(deliveries: DataFrame) -> DataFrame:

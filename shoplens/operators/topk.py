@@ -9,19 +9,21 @@ from pyspark.sql import functions as F
 PUSHED_RANK_LIMIT = 1000
 
 
-def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank",
+def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int | None, rank: str = "rank",
                   spread_by: str | None = None, salts: int = 64) -> DataFrame:
-    """First `n` rows of each group with their rank.
+    """First `n` rows of each group (None: all) with their rank.
 
     Small `n`: one window, whose limit Spark pushes below the shuffle. Large `n`: the group is first ranked in
     `salts` parts by the hash of `spread_by`, so a hot group is sorted by many tasks and only `salts * n` rows meet.
     """
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    if n is None:
+        return df.withColumn(rank, F.row_number().over(whole))
     if n > PUSHED_RANK_LIMIT and spread_by is not None:
         part = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = (df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
               .withColumn("_part_rank", F.row_number().over(part))
               .filter(F.col("_part_rank") <= n).drop("_salt", "_part_rank"))
-    whole = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= n)
 
 

@@ -1,7 +1,8 @@
 """Traces: summaries, parent links, the span tree and the anomaly scan.
 
 Span frames are flat, one row per span: (trace_id, span_id, parent_id, operation_name, process_id, processes,
-start_us, duration_us, tags). A span's place in its trace is its `span_id`.
+start_us, duration_us, tags, position). `position` is a span's place in its trace's list, which decides between spans
+that start together; where a frame lacks it, the span's id does. Ids may be of any type.
 """
 
 from __future__ import annotations
@@ -38,10 +39,14 @@ def explode_traces(traces: DataFrame) -> DataFrame:
         F.col("s.tags").alias("tags"), "position")
 
 
+def _place(spans: DataFrame) -> Column:
+    return F.col("position" if "position" in spans.columns else "span_id")
+
+
 def trace_summary(spans: DataFrame) -> DataFrame:
-    """Per trace: root (earliest span), whole duration, span and service counts, error flag, start."""
+    """Per trace: root (earliest span, the first in the list of equals), duration, span and service counts, error flag, start."""
     known = span_services(spans).withColumn("has_error", span_has_error(F.col("tags")))
-    root = F.min_by(F.struct("service_name", "operation_name"), F.struct("start_us", "span_id"))
+    root = F.min_by(F.struct("service_name", "operation_name"), F.struct(F.col("start_us"), _place(spans)))
     per_trace = known.groupBy("trace_id").agg(
         root.alias("root"), F.min("start_us").alias("start_us"),
         (F.max(F.col("start_us") + F.col("duration_us")) - F.min("start_us")).alias("duration_us"),
@@ -82,7 +87,10 @@ def span_tree(spans: DataFrame) -> DataFrame:
     with the span its path starts under, so a tree of depth d needs log2(d) rounds. Long traces stay distributed.
     Spans that no root leads to (their parents form a cycle) are left out; a cycle shows as a path that meets itself.
     """
-    own = F.format_string("%020d.%020d", F.col("start_us"), F.col("span_id"))
+    place = _place(spans)
+    if "position" in spans.columns or dict(spans.dtypes)["span_id"] != "string":
+        place = F.format_string("%020d", place.cast("long"))
+    own = F.concat(F.format_string("%020d.", F.col("start_us")), place)
     linked = span_parent(spans).select(
         "trace_id", "span_id", F.col("parent_found").alias("above"), F.array(own).alias("path"))
     paths = durable(linked)
@@ -109,18 +117,18 @@ def span_tree(spans: DataFrame) -> DataFrame:
 def find_anomalies(spans: DataFrame, slow_ms: int = SLOW_TRACE_MS) -> DataFrame:
     """At most one finding per trace and type, from one aggregation over the spans."""
     s = span_services(spans).select(
-        "trace_id", "service_name", "operation_name", "start_us", "duration_us", "span_id",
+        "trace_id", "service_name", "operation_name", "start_us", "duration_us", _place(spans).alias("place"),
         span_has_error(F.col("tags")).alias("is_error"),
         span_is_dlq(F.col("operation_name"), F.col("tags")).alias("is_dlq"),
         tag_value(F.col("tags"), "error.message", "otel.status_description").alias("message"))
-    place = F.struct("service_name", "operation_name", "duration_us", "message")
+    told = F.struct("service_name", "operation_name", "duration_us", "message")
     ms = micros_to_millis
 
     def first_of(flag: str) -> Column:
-        return F.min_by(F.when(F.col(flag), place), F.when(F.col(flag), F.col("span_id")))
+        return F.min_by(F.when(F.col(flag), told), F.when(F.col(flag), F.col("place")))
 
     t = s.groupBy("trace_id").agg(
-        F.min_by(place, F.struct("start_us", "span_id")).alias("root"), first_of("is_error").alias("error"),
+        F.min_by(told, F.struct("start_us", "place")).alias("root"), first_of("is_error").alias("error"),
         first_of("is_dlq").alias("dlq"), F.count("*").alias("spans"),
         (F.max(F.col("start_us") + F.col("duration_us")) - F.min("start_us")).alias("total_us"))
 

@@ -126,7 +126,7 @@ FROM ua WHERE action_type IN ('VIEW', 'CLICK', 'ADD_TO_CART') AND ts >= {AS_OF_S
 GROUP BY product_id, user_id QUALIFY rank <= 10000""")
 def _(spark, d):
     return interest.interested_users(A.user_actions(spark, d), A.as_of(), interest.PRICE_DROP_ACTIONS,
-                                     interest.PRICE_DROP_DAYS)
+                                     interest.PRICE_DROP_DAYS, interest.MAX_USERS)
 
 
 @query("active_users", ACTIONS, ACTIVE, sql="SELECT user_id, n, rank FROM active")

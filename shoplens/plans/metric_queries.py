@@ -142,7 +142,7 @@ runs AS (SELECT concat('lt-', CAST(ts AS DATE)) AS id, CAST(ts AS DATE) AS day,
 
 
 @query("compare_runs", RUNS, f"""
-long AS ({' UNION ALL '.join(f"""SELECT id, day, '{m}' AS metric, CAST("{m}" AS DOUBLE) AS value, {str(less).lower()} AS less FROM runs""" for m, less in M.COMPARED.items())})""",
+long AS MATERIALIZED (SELECT id, day, unnest([{', '.join(f"""{{'metric': '{m}', 'value': CAST("{m}" AS DOUBLE), 'less': {str(less).lower()}}}""" for m, less in M.COMPARED.items())}], recursive := true) FROM runs)""",
        sql="""
 SELECT a.id AS a_id, b.id AS b_id, metric, round(a.value, 6) AS a_value, round(b.value, 6) AS b_value, round(b.value - a.value, 6) AS delta,
   CASE WHEN b.value - a.value IS NULL THEN 'unknown' WHEN (b.value - a.value) * (CASE WHEN a.less THEN -1 ELSE 1 END) > 0 THEN 'improved'

@@ -11,6 +11,7 @@ from shoplens.plans.recommend_queries import EVERYONE, everyone
 from shoplens.plans.registry import (
     ACTIONS, ACTIVE, AS_OF_SQL, ATTEMPTS, CART_ACTIONS, DROPS, INVENTORY, NOTIFICATIONS, PRODUCTS, RESTOCKS,
     duplicates_sql, gate_sql, query, target_attempts_sql, targets_sql)
+from shoplens.session import durable
 from shoplens.sources import adapters as A
 
 DROP_TYPES = "'VIEW', 'CLICK', 'ADD_TO_CART'"
@@ -55,13 +56,14 @@ def _(spark, d):
 @query("price_drop_targets", ACTIONS, INVENTORY, DROPS, targets_sql("drops", DROP_TYPES, 30),
        sql="SELECT inventory_event_id, user_id, n, rank FROM targets")
 def _(spark, d):
-    return interest.price_drop_targets(notify.price_drops(A.inventory_events(spark, d)), A.user_actions(spark, d))
+    return interest.price_drop_targets(notify.price_drops(A.inventory_events(spark, d)), A.user_actions(spark, d), interest.MAX_USERS)
 
 
 @query("restock_targets", ACTIONS, INVENTORY, RESTOCKS, targets_sql("restocks", CART_TYPES, 7),
        sql="SELECT inventory_event_id, user_id, n, rank FROM targets")
 def _(spark, d):
-    return interest.restock_targets(notify.restocks(A.inventory_events(spark, d)), A.user_actions(spark, d), CART_ACTIONS)
+    return interest.restock_targets(notify.restocks(A.inventory_events(spark, d)), A.user_actions(spark, d), CART_ACTIONS,
+                                    interest.MAX_USERS)
 
 
 @query("attach_product_name", ACTIONS, PRODUCTS, sql=f"""
@@ -114,7 +116,8 @@ messages AS (SELECT sha256(concat_ws('|', a.inventory_event_id, a.user_id, 'PRIC
        target_attempts_sql("drops", "PRICE_DROP"), gate_sql(), PRICE_MESSAGES,
        sql=f"SELECT {MESSAGE}, drop_percentage FROM messages")
 def _(spark, d):
-    found = notify.detect_price_drop(A.inventory_events(spark, d), A.user_actions(spark, d), A.products(spark, d))
+    found = notify.detect_price_drop(A.inventory_events(spark, d), A.user_actions(spark, d), A.products(spark, d),
+                                     interest.MAX_USERS)
     # The float texts of the payload are covered by `notification_data`; here only the percentage is compared.
     drop = F.col("data")["dropPercentage"].cast("bigint").alias("drop_percentage")
     return found.withColumn("channels", F.array_join("channels", ",")).select(
@@ -131,7 +134,7 @@ messages AS (SELECT sha256(concat_ws('|', a.inventory_event_id, a.user_id, 'BACK
   LEFT JOIN goods ON goods.product_id = a.product_id)""", sql=f"SELECT {MESSAGE}, data FROM messages")
 def _(spark, d):
     return flat(notify.detect_restock(A.inventory_events(spark, d), A.user_actions(spark, d), A.products(spark, d),
-                                      CART_ACTIONS))
+                                      CART_ACTIONS, interest.MAX_USERS))
 
 
 @query("send_schedule", ACTIONS, ACTIVE,
@@ -191,6 +194,27 @@ def _(spark, d):
 DAILY = f"""
 attempts AS (SELECT concat_ws('|', 'daily', user_id) AS attempt_id, user_id, 'DAILY_RECOMMENDATION' AS product_id,
   'RECOMMENDATION' AS notification_type, {AS_OF_SQL} AS ts, rank AS seq, rank FROM active)"""
+
+
+def _kind_sql(name: str, events: str, types: str, days: int, kind: str) -> tuple[str, str]:
+    """Targets of one kind under names of their own, and their attempts."""
+    targets = targets_sql(events, types, days).replace("matches", f"{name}_matches").replace("targets AS", f"{name}_targets AS")
+    return targets, f"""
+SELECT concat_ws('|', inventory_event_id, user_id) AS attempt_id, user_id, CAST(product_id AS VARCHAR) AS product_id,
+  '{kind}' AS notification_type, ts, seq * 2147483648 + rank AS seq FROM {name}_targets JOIN {events} USING (inventory_event_id)"""
+
+
+DROP_KIND, BACK_KIND = _kind_sql("drop", "drops", DROP_TYPES, 30, "PRICE_DROP"), _kind_sql("back", "restocks", CART_TYPES, 7, "BACK_IN_STOCK")
+
+
+@query("send_all", ACTIONS, INVENTORY, DROPS, RESTOCKS, ACTIVE, DROP_KIND[0], BACK_KIND[0], f"""
+attempts AS ({DROP_KIND[1]} UNION ALL {BACK_KIND[1]} UNION ALL
+SELECT concat_ws('|', 'daily', user_id), user_id, 'DAILY_RECOMMENDATION', 'RECOMMENDATION', {AS_OF_SQL}, rank FROM active)""",
+       gate_sql(), sql="SELECT attempt_id, user_id, product_id, notification_type, ts, seq FROM admitted")
+def _(spark, d):
+    return notify.send_all(A.inventory_events(spark, d), A.user_actions(spark, d), A.as_of(), CART_ACTIONS, interest.MAX_USERS)
+
+
 DAILY_MESSAGES = f"""
 lists AS (SELECT user_id, strategy, string_agg(product_id::VARCHAR, ',' ORDER BY rank) AS ids,
             string_agg(product_name, ', ' ORDER BY rank) AS names, arg_min(product_id, rank) AS product_id, count(*) AS n
@@ -204,8 +228,9 @@ messages AS (SELECT user_id, lists.product_id, 'RECOMMENDATION' AS notification_
 def _daily(spark, d):
     actions = A.user_actions(spark, d)
     attempts = notify.daily_attempts(actions, A.as_of())
-    admitted = gates.can_send(attempts)
-    messages = notify.daily_recommendations(admitted, everyone(spark, d, notify.DAILY_PRODUCTS))
+    # Only users whose attempt is admitted get recommendations computed.
+    admitted = durable(gates.can_send(attempts))
+    messages = notify.daily_recommendations(admitted, everyone(spark, d, notify.DAILY_PRODUCTS, users=admitted))
     return attempts, admitted, messages
 
 

@@ -10,7 +10,7 @@ from shoplens.operators.tables import latest_per_key
 from shoplens.operators.vectorize import vectorize_catalog
 from shoplens.plans.action_queries import e4, e4_sql
 from shoplens.plans.registry import (
-    ACTIONS, AS_OF_SQL, CATALOG, CATEGORISED, DIMS, FOLD, PRODUCTS, VECTORS, VIEWED, knn_sql, popular_sql, query,
+    ACTIONS, AS_OF_SQL, CATALOG, CATEGORISED, DIMS, FOLD, PRODUCTS, VECTORS, VIEWED, knn_sql, popular_sql, query, shown,
     unit_sql)
 from shoplens.session import durable
 from shoplens.sources import adapters as A
@@ -115,22 +115,30 @@ def _(spark, d):
 @query("knn_recommend", *BASE, knn_sql("prefs", TOP), sql=f"SELECT {RANKED} FROM knn")
 def _(spark, d):
     viewed = recommend.recent_viewed(A.user_actions(spark, d), A.as_of())
-    return recommend.knn_recommend(taste(spark, d), A.catalog(spark, d), TOP, DIMS, viewed=viewed)
+    return shown(recommend.knn_recommend(taste(spark, d), A.catalog(spark, d), TOP, DIMS, viewed=viewed))
+
+
+@query("knn_recommend_blocks", *BASE, knn_sql("prefs", TOP), sql=f"SELECT {RANKED} FROM knn")
+def _(spark, d):
+    """The same with blocks so small that users are routed to them."""
+    viewed = recommend.recent_viewed(A.user_actions(spark, d), A.as_of())
+    return shown(recommend.knn_recommend(taste(spark, d), A.catalog(spark, d), TOP, DIMS, viewed=viewed, block_rows=32))
 
 
 @query("knn_recommend_category", *BASE, knn_sql("prefs", 50, "g.category = 'SMALL'", exclude=False),
        sql=f"SELECT {RANKED} FROM knn")
 def _(spark, d):
     # A limit above the maximum is lowered to it.
-    return recommend.knn_recommend(taste(spark, d), A.catalog(spark, d), 80, DIMS, category="SMALL")
+    return shown(recommend.knn_recommend(taste(spark, d), A.catalog(spark, d), 80, DIMS, category="SMALL"))
 
 
-def everyone(spark, d, limit=TOP, **kw):
+def everyone(spark, d, limit=TOP, users=None, **kw):
     goods = A.catalog(spark, d)
     actions = A.user_actions(spark, d)
     if kw.get("category"):
         actions = A.categorised(actions, goods)
-    return recommend.recommend_all(actions.select("user_id").distinct(), recent_taste(spark, d), goods, actions,
+    users = (actions if users is None else users).select("user_id").distinct()
+    return recommend.recommend_all(users, recent_taste(spark, d), goods, actions,
                                    A.as_of(), limit, DIMS, **kw)
 
 
@@ -143,7 +151,7 @@ EVERYONE = (*BASE, WARM, knn_sql("warm", TOP), popular_sql(TOP), ALL_SQL)
 
 @query("recommend_all", *EVERYONE, sql=f"SELECT {RANKED}, strategy FROM everyone")
 def recommend_all(spark, d):
-    return everyone(spark, d)
+    return shown(everyone(spark, d))
 
 
 @query("recommend_all_category", *BASE, CATEGORISED, WARM, knn_sql("warm", TOP, "g.category = 'SMALL'"), f"""
@@ -159,7 +167,7 @@ UNION ALL SELECT user_id, product_id, product_name, category, CAST(price AS DOUB
 FROM (SELECT DISTINCT user_id FROM ua WHERE user_id NOT IN (SELECT user_id FROM warm)) c, best JOIN goods USING (product_id)
 WHERE rank <= {TOP}""")
 def _(spark, d):
-    return everyone(spark, d, category="SMALL")
+    return shown(everyone(spark, d, category="SMALL"))
 
 
 @query("strategy_mix", *EVERYONE,

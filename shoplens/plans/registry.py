@@ -39,6 +39,11 @@ def query(name: str, *ctes: str, sql: str | None = None) -> Callable[[Query], Qu
     return register
 
 
+def shown(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Scores rounded for comparison across engines; ranking has used the whole score."""
+    return df.withColumn("score", F.round("score", digits))
+
+
 _WIDER = {"int": "bigint", "smallint": "bigint", "tinyint": "bigint", "float": "double", "timestamp": "timestamp_ntz"}
 
 
@@ -89,7 +94,7 @@ notes AS (SELECT concat('N', event_id // 2) AS notification_id, event_id, user_i
          CASE event_type WHEN 'error' THEN ['FAX'] WHEN 'click' THEN ['PUSH', 'SMS'] ELSE ['PUSH', 'IN_APP'] END AS channels,
          ts FROM events)"""
 SPANS = """
-spans AS (SELECT concat('TR', event_id // 8) AS trace_id, event_id AS span_id,
+spans AS (SELECT concat('TR', event_id // 8) AS trace_id, event_id AS span_id, event_id % 8 AS position,
          CASE WHEN event_id % 8 = 0 THEN NULL WHEN event_id % 8 = 7 THEN -event_id
               ELSE event_id - event_id % 8 + (event_id % 8 - 1) // 2 END AS parent_id,
          CASE WHEN regexp_extract(props, '([0-9]+)', 1) = '11' THEN concat('orders.DLQ ', event_type) ELSE event_type END AS operation_name,
@@ -142,10 +147,10 @@ def knn_sql(users: str, k: int, condition: str = "true", exclude: bool = True) -
               if exclude else "")
     return f"""
 near AS (SELECT u.user_id, g.product_id, g.product_name, g.category, g.price,
-           round((1 + list_cosine_similarity(u.preference_vector, CAST(g.product_vector AS DOUBLE[]))) / 2, 6) AS score
+           (1 + list_cosine_similarity(u.preference_vector, CAST(g.product_vector AS DOUBLE[]))) / 2 AS raw
          FROM {users} u, full_catalog g
          WHERE g.stock > 0 AND len(g.product_vector) = 64 AND {condition} {unseen}),
-knn AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS rank FROM near
+knn AS (SELECT *, round(raw, 6) AS score, row_number() OVER (PARTITION BY user_id ORDER BY raw DESC, product_id) AS rank FROM near
         QUALIFY rank <= {k})"""
 
 
@@ -193,4 +198,4 @@ targets AS (SELECT *, row_number() OVER (PARTITION BY inventory_event_id ORDER B
 def target_attempts_sql(events: str, kind: str) -> str:
     return f"""
 attempts AS (SELECT concat_ws('|', inventory_event_id, user_id) AS attempt_id, inventory_event_id, user_id, product_id,
-             '{kind}' AS notification_type, ts, seq * 100000 + rank AS seq, rank FROM targets JOIN {events} USING (inventory_event_id))"""
+             '{kind}' AS notification_type, ts, seq * 2147483648 + rank AS seq, rank FROM targets JOIN {events} USING (inventory_event_id))"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shoplens.operators import notify, tables
+from shoplens.operators.interest import MAX_USERS
 from shoplens.plans.action_queries import e4, e4_sql
 from shoplens.plans.notify_queries import CART_TYPES, DROP_TYPES
 from shoplens.plans.registry import (
@@ -123,7 +124,7 @@ back_matches AS (SELECT e.inventory_event_id, e.product_id, e.ts, e.seq, a.user_
 ranked AS (SELECT *, row_number() OVER (PARTITION BY inventory_event_id ORDER BY n DESC, user_id) AS rank
   FROM (FROM drop_matches UNION ALL FROM back_matches)),
 attempts AS (SELECT concat_ws('|', inventory_event_id, user_id) AS attempt_id, user_id, product_id, notification_type, ts,
-  seq * 100000 + rank AS seq FROM ranked WHERE rank <= 10000)"""
+  seq * 2147483648 + rank AS seq FROM ranked WHERE rank <= 10000)"""
 
 
 @query("detect_stream", ACTIONS, INVENTORY, DROPS, RESTOCKS, BOTH_ATTEMPTS, gate_sql(),
@@ -131,7 +132,7 @@ attempts AS (SELECT concat_ws('|', inventory_event_id, user_id) AS attempt_id, u
 def _(spark, d):
     log, out, first, second = _paths(spark, "attempts", "admitted", "checkpoint-1", "checkpoint-2")
     drain(log_attempts(A.inventory_events_of(event_stream(spark, d)), lambda: A.user_actions(spark, d), log, first,
-                       cart_actions=CART_ACTIONS, once=True))
+                       cart_actions=CART_ACTIONS, limit=MAX_USERS, once=True))
     drain(store_rows(gate_stream(streams.read_files(spark, log, ATTEMPT)), out, second, once=True))
     return spark.read.parquet(out).select(
         "attempt_id", "user_id", F.col("product_id").cast("bigint").alias("product_id"), "notification_type", "ts", "seq")

@@ -14,8 +14,8 @@ from shoplens.sources import adapters as A
 from shoplens.sources import files
 
 SUMMARY = """
-summary AS (SELECT trace_id, arg_min(service_name, (start_us, span_id)) AS root_service,
-    arg_min(operation_name, (start_us, span_id)) AS root_operation, min(start_us) AS start_us,
+summary AS (SELECT trace_id, arg_min(service_name, (start_us, position)) AS root_service,
+    arg_min(operation_name, (start_us, position)) AS root_operation, min(start_us) AS start_us,
     max(start_us + duration_us) - min(start_us) AS duration_us, count(*) AS span_count,
     count(DISTINCT service_name) AS service_count, bool_or(has_error) AS has_error,
     array_to_string(list_sort(list(DISTINCT service_name)), ',') AS services FROM spans GROUP BY trace_id)"""
@@ -79,7 +79,7 @@ def _(spark, d):
 
 @query("span_tree", SPANS, """/*recursive*/
 linked AS (SELECT s.trace_id, s.span_id, s.operation_name, s.start_us, s.duration_us, p.span_id AS parent,
-             printf('%020d.%020d', s.start_us, s.span_id) AS own
+             printf('%020d.%020d', s.start_us, s.position) AS own
            FROM spans s LEFT JOIN spans p ON p.trace_id = s.trace_id AND p.span_id = s.parent_id),
 tree AS (SELECT trace_id, span_id, 0 AS depth, own AS sort_key FROM linked WHERE parent IS NULL
          UNION ALL
@@ -95,16 +95,23 @@ def _(spark, d):
 
 FOUND = """
 found AS (
-  SELECT trace_id, 'SLOW_TRACE' AS type, 'WARNING' AS severity, arg_min(service_name, (start_us, span_id)) AS service_name,
-    arg_min(operation_name, (start_us, span_id)) AS operation_name, (max(start_us + duration_us) - min(start_us)) // 1000 AS duration_ms,
+  SELECT trace_id, 'SLOW_TRACE' AS type, 'WARNING' AS severity, arg_min(service_name, (start_us, position)) AS service_name,
+    arg_min(operation_name, (start_us, position)) AS operation_name, (max(start_us + duration_us) - min(start_us)) // 1000 AS duration_ms,
     500 AS threshold_ms, NULL::VARCHAR AS error_message, count(*) AS span_count
   FROM spans GROUP BY trace_id HAVING (max(start_us + duration_us) - min(start_us)) // 1000 > 500
   UNION ALL
   SELECT trace_id, 'ERROR_SPAN', 'ERROR', service_name, operation_name, duration_us // 1000, NULL, message, NULL FROM spans
-  WHERE has_error QUALIFY row_number() OVER (PARTITION BY trace_id ORDER BY span_id) = 1
+  WHERE has_error QUALIFY row_number() OVER (PARTITION BY trace_id ORDER BY position) = 1
   UNION ALL
   SELECT trace_id, 'DLQ_ROUTED', 'CRITICAL', service_name, operation_name, duration_us // 1000, NULL, NULL, NULL FROM spans
-  WHERE is_dlq QUALIFY row_number() OVER (PARTITION BY trace_id ORDER BY span_id) = 1)"""
+  WHERE is_dlq QUALIFY row_number() OVER (PARTITION BY trace_id ORDER BY position) = 1)"""
+
+
+# A scan in the middle of the given traces, which start a second apart.
+SCAN_UNTIL_US = A.TRACE_EPOCH_US + 500_000_000
+RECENT = f"""
+recent AS (SELECT * FROM spans WHERE trace_id IN (SELECT trace_id FROM spans GROUP BY trace_id
+           HAVING min(start_us) BETWEEN {SCAN_UNTIL_US - 300_000_000} AND {SCAN_UNTIL_US}))"""
 
 
 @query("anomaly_scan", SPANS, ANOMALIES, FOUND, sql="""
@@ -114,6 +121,13 @@ def _(spark, d):
     return traces.anomaly_scan(A.spans(spark, d), A.anomalies(spark, d), until_us=0, minutes=None)
 
 
+@query("anomaly_scan_five_minutes", SPANS, ANOMALIES, RECENT, FOUND.replace("FROM spans", "FROM recent"), sql="""
+SELECT found.* FROM found WHERE NOT EXISTS (
+  SELECT 1 FROM stored s WHERE s.trace_id = found.trace_id AND s.type = found.type AND NOT s.is_bookmark)""")
+def _(spark, d):
+    return traces.anomaly_scan(A.spans(spark, d), A.anomalies(spark, d), until_us=SCAN_UNTIL_US)
+
+
 @query("new_anomalies_only", SPANS, ANOMALIES, """
 slow AS (SELECT DISTINCT trace_id, 'SLOW_TRACE' AS type FROM spans)""", sql="""
 SELECT trace_id, type FROM slow WHERE trace_id NOT IN (SELECT trace_id FROM stored WHERE type = 'SLOW_TRACE' AND NOT is_bookmark)""")

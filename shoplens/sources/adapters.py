@@ -126,6 +126,7 @@ def spans_of(e: DataFrame) -> DataFrame:
         (F.lit(TRACE_EPOCH_US) + trace_no * 1_000_000 + pos * F.floor(value * 100)).cast("bigint").alias("start_us"),
         F.floor(value * 1000).cast("bigint").alias("duration_us"),
         tags.alias("tags"),
+        pos.cast("int").alias("position"),
     )
 
 

@@ -29,7 +29,7 @@ ATTEMPT = T.StructType([
 
 
 def log_attempts(events: DataFrame, actions: Callable[[], DataFrame], path: str, checkpoint: str, *,
-                 cart_actions: list[str] = RESTOCK_ACTIONS, once: bool = False) -> StreamingQuery:
+                 cart_actions: list[str] = RESTOCK_ACTIONS, limit: int | None = None, once: bool = False) -> StreamingQuery:
     """Price drops and restocks of each micro-batch, with the users to tell, as batches of an attempt log.
 
     `actions` is called per micro-batch, so it sees what has been stored by then.
@@ -40,8 +40,8 @@ def log_attempts(events: DataFrame, actions: Callable[[], DataFrame], path: str,
         try:
             drops, back = notify.price_drops(batch), notify.restocks(batch)
             seen = relevant_actions(actions(), batch, PRICE_DROP_DAYS)
-            attempts = notify.attempts_of(price_drop_targets(drops, seen), drops, "PRICE_DROP").unionByName(
-                notify.attempts_of(restock_targets(back, seen, cart_actions), back, "BACK_IN_STOCK"))
+            attempts = notify.attempts_of(price_drop_targets(drops, seen, limit), drops, "PRICE_DROP").unionByName(
+                notify.attempts_of(restock_targets(back, seen, cart_actions, limit), back, "BACK_IN_STOCK"))
             write_batch(attempts.select(*ATTEMPT.fieldNames()), path, batch_id)
         finally:
             batch.unpersist()

@@ -88,7 +88,7 @@ def test_texts(spark):
 
 def test_span_predicates(spark):
     def tags(*pairs):
-        return F.array(*[F.struct(F.lit(k).alias("key"), F.lit("string").alias("type"), F.lit(v).alias("value")) for k, v in pairs])
+        return F.array(*[F.struct(F.lit(k).alias("key"), F.lit("bool" if k == "error" else "string").alias("type"), F.lit(v).alias("value")) for k, v in pairs])
 
     assert one(spark, FS.span_has_error(tags(("error", "true")))) is True
     assert one(spark, FS.span_has_error(tags(("otel.status_code", "ERROR")))) is True

@@ -164,3 +164,25 @@ def test_schedule_and_delivery(spark, rows):
 def test_request_stats_without_success(spark):
     df = spark.createDataFrame([(False, 5.0)], "ok boolean, latency_ms double")
     assert tuple(reports.request_stats(df).first()) == (1, 1, 0.0)
+
+
+def test_all_kinds_share_one_daily_cap(spark):
+    items = [(1, p, p) for p in range(8)]
+    drops = attempts(spark, items)
+    back = attempts(spark, items).withColumn("notification_type", F.lit("BACK_IN_STOCK")).withColumn("seq", F.col("seq") + 100)
+    assert gates.can_send(drops.unionByName(back)).count() == 10
+    assert gates.can_send(drops).count() + gates.can_send(back).count() == 16
+
+
+def test_attempts_keep_their_order_with_very_many_users(spark):
+    targets = spark.createDataFrame([("e1", 7, 1, 200_001), ("e1", 8, 1, 3), ("e2", 9, 1, 1)],
+                                    "inventory_event_id string, user_id long, n long, rank int")
+    events = spark.createDataFrame([("e1", 5, T0, 1), ("e2", 5, T0, 2)], "inventory_event_id string, product_id long, ts timestamp, seq long")
+    got = notify.attempts_of(targets, events, "PRICE_DROP").orderBy("seq").collect()
+    assert [r["user_id"] for r in got] == [8, 7, 9]
+
+
+def test_gates_take_text_ids(spark):
+    named = attempts(spark, [(1, 1, m) for m in (0, 30, 61)]).withColumn("user_id", F.lit("USER-000001")).withColumn("product_id", F.lit("P"))
+    assert ids(gates.can_send(named)) == ["a0", "a2"]
+    assert ids(gates.duplicate_gate(named)) == ["a0", "a2"]

@@ -1,5 +1,6 @@
 import datetime as dt
 import itertools
+import math
 
 import numpy as np
 import pytest
@@ -163,12 +164,25 @@ def test_knn_blocks_give_the_brute_force_result(spark, block_rows, chunk_users,
             if i % 9 == 0 or (u % 2 and i in (u, u + 6, 5)):
                 continue
             v = np.array(v)
-            scores.append((-round((1 + t @ v / np.linalg.norm(t) / np.linalg.norm(v)) / 2, 6), i))
+            scores.append((-(1 + t @ v / np.linalg.norm(t) / np.linalg.norm(v)) / 2, i))
         want = [(i, -s) for s, i in sorted(scores)[:7]]
         assert [i for i, _ in found[u]] == [i for i, _ in want]
         assert [s for _, s in found[u]] == pytest.approx([s for _, s in want])
 
 
+def test_knn_ranks_on_the_whole_score_and_takes_text_ids(spark):
+    near = [math.cos(a) for a in (0.0, 4e-4, 3e-4)], [math.sin(a) for a in (0.0, 4e-4, 3e-4)]
+    rows = [(f"PROD-{i}", 5, "C", [float(near[0][i]), float(near[1][i])]) for i in range(3)]
+    g = spark.createDataFrame(rows, "product_id string, stock int, category string, product_vector array<double>")
+    users = spark.createDataFrame([("USER-000001", [1.0, 0.0], ["PROD-0"]), ("USER-000002", [1.0, 0.0], None)],
+                                  "user_id string, preference_vector array<double>, exclude array<string>")
+    for block_rows in (None, 1):
+        got = knn_join(users, knn_candidates(g, 2), 2, 2, block_rows=block_rows).orderBy("user_id", "rank").collect()
+        assert [(r["user_id"], r["product_id"]) for r in got] == [
+            ("USER-000001", "PROD-2"), ("USER-000001", "PROD-1"), ("USER-000002", "PROD-0"), ("USER-000002", "PROD-2")]
+        assert 0 < got[0]["score"] - got[1]["score"] < 1e-7
+
+
 def test_every_user_gets_a_strategy(spark):
     g = goods(spark, range(1, 6), vectors={i: [1.0, float(i)] for i in range(1, 6)})
     acts = actions(spark, [(1, 1, "PURCHASE", 5), (2, 2, "VIEW", 5), (3, 3, "VIEW", 5)])

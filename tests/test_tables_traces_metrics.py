@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from shoplens.operators import logs, metrics, snapshots, tables, traces
+from shoplens.functions import spans
+from shoplens.operators import logs, metrics, reports, snapshots, tables, traces
 from shoplens.sources import files
 
 T0 = dt.datetime(2024, 3, 1)
@@ -77,7 +78,7 @@ SPAN = ("trace_id string, span_id long, parent_id long, operation_name string, p
 
 
 def span(trace, i, parent, start, dur, op="op", tags=(), process="p1"):
-    return (trace, i, parent, op, process, {"p1": ("svc",)}, start, dur, [(k, "string", v) for k, v in tags])
+    return (trace, i, parent, op, process, {"p1": ("svc",)}, start, dur, [(k, "bool" if k == "error" else "string", v) for k, v in tags])
 
 
 def test_tree_is_in_preorder(spark):
@@ -109,6 +110,39 @@ def test_anomalies_one_per_trace_and_type(spark, rows):
     assert rows(traces.anomaly_scan(late, stored, until_us=310_000_000), "trace_id") == [("in",)]
 
 
+def test_list_order_decides_between_spans_that_start_together(spark, rows):
+    """Ids are text; the first span of the list is the root although its id is the larger one."""
+    kind = SPAN.replace("span_id long, parent_id long", "span_id string, parent_id string") + ", position int"
+    one = lambda i, at, parent, op, tags=(): (*span("t", i, parent, 5, 600_000, op, tags), at)
+    df = spark.createDataFrame([one("0a02", 1, None, "second", [("error", "true")]), one("ff01", 0, None, "first", [("error", "true")]),
+                                one("aa03", 2, "ff01", "child"), one("0001", 3, "ff01", "late")], kind)
+    assert traces.trace_summary(df).first()["root_operation"] == "first"
+    assert set(rows(traces.find_anomalies(df), "type", "operation_name")) == {("ERROR_SPAN", "first"), ("SLOW_TRACE", "first")}
+    assert [r["operation_name"] for r in traces.span_tree(df).orderBy("sort_key").collect()] == ["first", "child", "late", "second"]
+
+
+def test_only_the_boolean_tag_is_an_error(spark):
+    tags = spark.createDataFrame([(1, [("error", "bool", "true")]), (2, [("error", "string", "true")]), (3, [("error", "bool", "false")])],
+                                 "n int, tags array<struct<key:string,type:string,value:string>>")
+    got = {r["n"]: r["e"] for r in tags.select("n", spans.span_has_error(F.col("tags")).alias("e")).collect()}
+    assert got == {1: True, 2: False, 3: False}
+
+
+def test_an_empty_replay_replaces_its_batch(spark, tmp_path):
+    path = str(tmp_path / "log")
+    df = spark.range(5).withColumn("v", F.lit(1))
+    tables.write_batch(df, path, 0)
+    tables.write_batch(df, path, 1)
+    tables.write_batch(df.where("false"), path, 1)
+    assert spark.read.parquet(path).groupBy("batch_id").count().collect() == [(0, 5)]
+
+
+def test_percentiles_of_batch_sizes_are_exact(spark):
+    sizes = spark.range(1, 30_001).select(F.col("id").alias("size"))
+    assert tuple(reports.batch_size_percentiles(sizes).first()) == (15_000, 27_000, 29_700)
+    assert tuple(reports.batch_size_percentiles(sizes.where("false")).first()) == (None, None, None)
+
+
 def test_unknown_service_counts_once(spark):
     df = spark.createDataFrame([span("t", 1, None, 0, 1), span("t", 2, 1, 0, 1, process="x"), span("t", 3, 1, 0, 1, process="y")], SPAN)
     assert traces.trace_summary(df).first()["service_count"] == 2
