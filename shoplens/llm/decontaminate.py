@@ -1,9 +1,10 @@
 """Benchmark decontamination: find the words of documents that lie in a window of a benchmark item.
 
-Built-in functions only. A window must occur whole, so its rarest word alone is a sufficient prefix: the words of the
-items are counted over all documents, each distinct window is known by its rarest word and that word's place, and only
-occurrences of these words in documents become candidates. A candidate's start follows from the two places and must leave
-room for the window (positional and length bound); then the words themselves are compared.
+Built-in functions only. A window must occur whole, so of its three-word shingles, ordered by rarity, the rarest alone is
+a sufficient prefix. The documents' occurrences of any shingle of the items are gathered and counted; each distinct window
+is known by its rarest shingle and that shingle's place, and only occurrences of these become candidates. A candidate's
+start follows from the two places and must leave room for the window (positional and length bound); then the words
+themselves are compared.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import LOWER, UPPER, fresh, text_or_empty
 from shoplens.session import durable, fits_broadcast
 
-WINDOW = 10
+WINDOW, SHINGLE = 10, 3
 # Everything below U+0080 but digits and letters; capitals are gone by then.
 BETWEEN = "".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
 BETWEEN_PATTERN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -42,49 +43,59 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
         .select("item", F.array_join(F.slice("_w", F.col("_s"), window), " ").alias("win")).distinct()
 
 
-def prefixes(windows: DataFrame, spoken: DataFrame) -> DataFrame:
-    """(word, place, size, win): each distinct window under its rarest word, places from 0.
+def shingle_hash(size: int) -> Column:
+    """Hash of the shingle of `size` words that begins with the words a, b, c; null where there are too few."""
+    parts = [F.col(c) for c in "abc"[:size]]
+    return F.when(parts[-1].isNotNull(), F.xxhash64(F.lit(size), *parts))
 
-    `spoken` has the words of all documents, one a row. Windows with a word that no document has are left out.
-    """
-    distinct = windows.select("win").distinct()
-    tokens = distinct.select("win", F.posexplode(F.split("win", " ")).alias("place", "word"))
-    known = tokens.select("word").distinct()
-    counts = spoken.join(maybe_broadcast(known, F.octet_length("word") + 16), "word").groupBy("word").agg(F.count("*").alias("n"))
-    return tokens.join(counts, "word", "left").groupBy("win").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "place")).alias("rarest"), F.count("*").cast("int").alias("size")) \
-        .where("rarest.n > 0").select("rarest.word", "rarest.place", "size", "win")
+
+def _spread(df: DataFrame, column: str, *keep: str) -> DataFrame:
+    """A row for each word of an array: `keep`, its place `at` from 0, and with it the two words that follow."""
+    n = F.greatest(F.size(column), F.lit(1))
+    following = [F.slice(column, k, n).alias(c) for k, c in ((2, "b"), (3, "c"))]
+    return df.select(*keep, F.col(column).alias("a"), *following).select(*keep, F.posexplode(F.arrays_zip("a", "b", "c")).alias("at", "s")) \
+        .select(*keep, "at", "s.a", "s.b", "s.c")
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(k1, k2, n_hit, item_ids, spans) for each distinct text of `docs` with a hit; k1, k2 are the hashes of the text.
 
     `spans` lists the [start, end) word positions of the occurrences. Texts with equal pairs of 64-bit hashes count as
-    copies and are searched once each, but reported once.
+    copies and are reported once.
     """
-    texts = docs.select(text_or_empty().alias("text")).select(*text_key("text"), words("text").alias("w"))
+    texts = docs.select(text_or_empty().alias("text")).select(*text_key("text"), "text")
     windows = durable(item_windows(items, window))
-    spoken = texts.select(F.explode("w").alias("word"))
-    found = durable(prefixes(windows, spoken))
-    rare = maybe_broadcast(found, F.octet_length("win") + F.octet_length("word") + 32)
-    n = F.size("w")
-    candidates = texts.select("k1", "k2", n.alias("n"), F.posexplode("w").alias("at", "word")).join(rare, "word") \
-        .select("k1", "k2", "n", (F.col("at") - F.col("place")).alias("start"), "size", "win") \
-        .where("start >= 0 and start + size <= n").select("k1", "k2", "start", "size", "win").distinct() \
-        .groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "size", "win")).alias("c"))
+    distinct = windows.select("win").distinct().withColumn("w", F.split("win", " ")).withColumn("size", F.size("w"))
+    # A window shorter than a shingle is one shingle; windows have few sizes, shingles at most three.
+    parted = _spread(distinct, "w", "win", "size").withColumn("shingle", F.coalesce(*[
+        F.when(F.least("size", F.lit(SHINGLE)) == k, shingle_hash(k)) for k in range(1, SHINGLE + 1)])).where("shingle is not null")
+    parted = durable(parted.select("win", "size", F.col("at").alias("place"), "shingle"))
+    sizes = sorted(r[0] for r in parted.select(F.least("size", F.lit(SHINGLE))).distinct().collect())
+    known = maybe_broadcast(parted.select("shingle").distinct(), F.lit(16))
+    spoken = _spread(texts.select("k1", "k2", words("text").alias("w")), "w", "k1", "k2") \
+        .select("k1", "k2", "at", F.explode(F.array(*[shingle_hash(k) for k in sizes or [SHINGLE]])).alias("shingle"))
+    met = durable(spoken.join(known, "shingle").distinct())
+    counts = met.groupBy("shingle").agg(F.count("*").alias("n"))
+    # Windows with a shingle that no document has are left out.
+    rare = parted.join(counts, "shingle", "left").groupBy("win", "size").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "place")).alias("rarest")) \
+        .where("rarest.n > 0").select("rarest.shingle", "rarest.place", "size", "win")
+    rare = maybe_broadcast(durable(rare), F.octet_length("win") + 48)
+    candidates = met.join(rare, "shingle").select("k1", "k2", (F.col("at") - F.col("place")).alias("start"), "size", "win") \
+        .where("start >= 0").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "size", "win")).alias("c"))
     candidates = durable(candidates)
     row_bytes = F.aggregate("c", F.lit(64).cast("long"), lambda a, x: a + F.octet_length(x["win"]) + 48)
     same = lambda x: F.array_join(F.slice("w", x["start"] + 1, x["size"]), " ") == x["win"]
-    held = texts.join(maybe_broadcast(candidates, row_bytes), ["k1", "k2"]).select("k1", "k2", F.filter("c", same).alias("c")) \
-        .where(F.size("c") > 0)
+    held = texts.join(maybe_broadcast(candidates, row_bytes), ["k1", "k2"]).dropDuplicates(["k1", "k2"]) \
+        .select("k1", "k2", "c", words("text").alias("w")).select("k1", "k2", "w", F.filter("c", lambda x: x["start"] + x["size"] <= F.size("w")).alias("c")) \
+        .select("k1", "k2", F.filter("c", same).alias("c")).where(F.size("c") > 0)
     place = F.transform("c", lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["size"]).alias("end")))
     covered = F.flatten(F.transform("c", lambda x: F.sequence(x["start"], x["start"] + x["size"] - 1)))
     held = durable(held.select("k1", "k2", F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
-                               F.array_sort(F.array_distinct(place)).alias("spans"), F.transform("c", lambda x: x["win"]).alias("wins"))
-                   .dropDuplicates(["k1", "k2"]))
+                               F.array_sort(F.array_distinct(place)).alias("spans"), F.transform("c", lambda x: x["win"]).alias("wins")))
     named = held.select("k1", "k2", F.explode("wins").alias("win")).distinct().join(windows, "win") \
         .select("k1", "k2", "item").distinct().groupBy("k1", "k2").agg(F.array_sort(F.collect_list("item")).alias("item_ids"))
-    return held.join(named, ["k1", "k2"]).select("k1", "k2", "n_hit", "item_ids", "spans")
+    return durable(held.join(named, ["k1", "k2"]).select("k1", "k2", "n_hit", "item_ids", "spans"))
 
 
 def text_key(text: str | Column) -> tuple[Column, Column]:
