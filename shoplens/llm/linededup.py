@@ -16,11 +16,16 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.common import fresh, text_or_empty
 from shoplens.llm.decontaminate import maybe_broadcast, text_key
-from shoplens.session import durable
+from shoplens.session import durable, fits_broadcast
 
 DISTANCE = 2
 # Shorter lines are left alone: a few edits make other lines of them, and headings or items of lists recur by nature.
 MIN_CHARS = 25
+# Pieces in which a candidate is looked at before its distance is computed.
+PIECES = 16
+# Letters whose counts tell candidates apart (in texts without them, they tell nothing apart, and lose nothing); each costs
+# a pass over every line.
+LETTERS = "eta"
 
 
 # ---- banded bit-parallel edit distance
@@ -83,26 +88,61 @@ def _advance(s: Column, d0: Column, m: Column, t: int, top: int, ones: int) -> C
 
 def _segment(length: Column, i: int, pieces: int) -> tuple[Column, Column]:
     """Start (from 1) and length of segment i of a line; the last segments are one longer where need be."""
-    base, longer = F.floor(length / pieces).cast("int"), (length % pieces).cast("int")
+    longer = (length % pieces).cast("int")
+    base = F.call_function("div", length, F.lit(pieces)).cast("int")
     before = F.greatest(F.lit(0), F.lit(i - pieces) + longer)
     return F.lit(1) + base * i + before, base + F.when(F.lit(i) >= pieces - longer, 1).otherwise(0)
 
 
-def keys(line: Column, length: Column, distance: int, min_chars: int) -> tuple[Column, Column]:
-    """Hashes under which a line is put in the index, and those under which it asks."""
-    pieces = distance + 1
-    put, ask = [], []
-    for i in range(pieces):
-        start, size = _segment(length, i, pieces)
-        put.append(F.xxhash64(length, F.lit(i), F.substring(line, start, size)))
+def with_segments(lines: DataFrame, distance: int) -> DataFrame:
+    """`lines` with the starts and sizes of the segments of lines of their own length and of those a few shorter.
+
+    As columns they are computed once for all keys, and the generated code of the keys stays small enough to be compiled.
+    """
+    return lines.select("*", *[c.alias(f"{name}{shorter}_{i}") for shorter in range(distance + 1) for i in range(distance + 1)
+                               for c, name in zip(_segment((F.col("n") - shorter).cast("int"), i, distance + 1), ("start", "size"))])
+
+
+def keys(distance: int, min_chars: int) -> tuple[Column, Column, list[int]]:
+    """Hashes under which a line is put in the index, those under which it asks, and which of these ask for its own length.
+
+    Over the columns of `with_segments`; `min_chars` must be so large that every substring asked for lies in the line.
+    """
+    key = lambda shorter, i, shift: F.xxhash64(
+        F.col("n") - shorter, F.lit(i), F.substring("line", F.col(f"start{shorter}_{i}") + shift, F.col(f"size{shorter}_{i}")))
+    put, ask, level = [key(0, i, 0) for i in range(distance + 1)], [], []
+    for i in range(distance + 1):
         for shorter in range(distance + 1):
-            other = (length - shorter).cast("int")
-            start, size = _segment(other, i, pieces)
             # Edits left of the segment are at most i, those right of it at most distance - i.
             for shift in range(max(-i, shorter - (distance - i)), min(i, shorter + distance - i) + 1):
-                fits = (other >= min_chars) & (start + shift >= 1) & (start + shift + size - 1 <= length)
-                ask.append(F.when(fits, F.xxhash64(other, F.lit(i), F.substring(line, start + shift, size))))
-    return F.array(*put), F.array(*ask)
+                level += [len(ask)] if not shorter else []
+                ask.append(F.when(F.col("n") >= min_chars + shorter, key(shorter, i, shift)) if shorter else key(0, i, shift))
+    return F.array(*put), F.array(*ask), level
+
+
+def letters(line: Column, length: Column) -> Column:
+    """Counts of some frequent letters, up to 127 each, in 7 bits each. An edit changes two of them by one at most."""
+    packed = F.lit(0).cast("long")
+    for letter in LETTERS:
+        many = F.least(length - F.char_length(F.replace(line, F.lit(letter), F.lit(""))), F.lit(127))
+        packed = F.shiftleft(packed, 7) + many
+    return packed
+
+
+def letters_apart(a: Column, b: Column) -> Column:
+    """Sum of the differences of two packed counts."""
+    one = lambda x, k: F.shiftright(x, 7 * k).bitwiseAND(F.lit(127))
+    return sum((F.abs(one(a, k) - one(b, k)) for k in range(1, len(LETTERS))), F.abs(one(a, 0) - one(b, 0)))
+
+
+def mostly_shared(a: Column, b: Column, distance: int) -> Column:
+    """A cheap necessary condition: every edit spoils at most one of the PIECES pieces of b, the rest is in a nearby."""
+    n, found = F.char_length(b), F.lit(0)
+    for i in range(PIECES):
+        start, size = _segment(n, i, PIECES)
+        low = F.greatest(start - distance, F.lit(1))
+        found = found + F.contains(F.substring(a, low, start + size + distance - low), F.substring(b, start, size)).cast("int")
+    return found >= PIECES - distance
 
 
 # ---- jobs
@@ -122,16 +162,25 @@ def near_lines(firsts: DataFrame, distance: int, min_chars: int) -> DataFrame:
 
     `firsts` has each distinct line once, at its first occurrence.
     """
-    put, ask = keys(F.col("line"), F.col("n"), distance, min_chars)
-    index = firsts.select(F.col("h1").alias("a"), F.explode(put).alias("key"))
-    asked = firsts.select(F.col("h1").alias("b"), F.explode(ask).alias("key")).where("key is not null")
-    pairs = durable(asked.join(index, "key").where("a <> b").select("a", "b").distinct())
+    put, ask, level = keys(distance, min_chars)
+    cut = with_segments(firsts.select("h1", "n", "line", letters(F.col("line"), F.col("n")).alias("letters")), distance)
+    index = cut.select(F.col("h1").alias("a"), F.col("letters").alias("la"), F.explode(put).alias("key"))
+    asked = cut.select(F.col("h1").alias("b"), F.col("letters").alias("lb"), F.posexplode(ask).alias("at", "key")).where("key is not null") \
+        .select("b", "lb", F.col("at").isin(level).alias("level"), "key")
+    # Of lines of equal length, it is enough that one asks. Crowds of lines that share a segment, such as those of near
+    # copies, are told apart here already, by their letters.
+    pairs = durable(asked.join(index, "key").where("(level and a < b) or (not level and a <> b)")
+                    .where(letters_apart(F.col("la"), F.col("lb")) <= 2 * distance).select("a", "b").distinct())
     named = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     texts = durable(firsts.select("h1", "h2", F.struct("doc_id", "k1", "k2", "at").alias("first"), "line")
                     .join(maybe_broadcast(named, F.lit(16)), "h1"))
     one = texts.select(F.col("h1").alias("a"), F.col("first").alias("first_a"), F.col("h2").alias("a2"), F.col("line").alias("line_a"))
     two = texts.select(F.col("h1").alias("b"), F.col("first").alias("first_b"), F.col("h2").alias("b2"), F.col("line").alias("line_b"))
-    near = pairs.join(one, "a").join(two, "b").where(within(F.col("line_a"), F.col("line_b"), distance))
+    row_bytes = F.octet_length("line") + 80
+    small = fits_broadcast(texts, row_bytes)
+    both = pairs.join(F.broadcast(one) if small else one, "a").join(F.broadcast(two) if small else two, "b")
+    near = both.where(F.when(mostly_shared(F.col("line_a"), F.col("line_b"), distance),
+                             within(F.col("line_a"), F.col("line_b"), distance)).otherwise(False))
     a_first = F.col("first_a") < F.col("first_b")
     return near.select(F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("h1"),
                        F.when(a_first, F.col("b2")).otherwise(F.col("a2")).alias("h2")).distinct()
