@@ -122,13 +122,21 @@ def test_edit_distance_by_bits(spark):
         assert told.where("x <> y or x is null").count() == 0
 
 
-def edits(a, b):
-    row = list(range(len(b) + 1))
+def edits_within(a, b, most):
+    """Dynamic programming over the cells near the diagonal, row by row."""
+    row = {j: j for j in range(most + 1)}
     for i, c in enumerate(a, 1):
-        above, row = row, [i]
-        for j, d in enumerate(b, 1):
-            row.append(min(above[j - 1] + (c != d), above[j] + 1, row[-1] + 1))
-    return row[-1]
+        above, row = row, {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            cells = [above[j] + 1] if j in above else []
+            if j and j - 1 in above:
+                cells.append(above[j - 1] + (c != b[j - 1]))
+            if j - 1 in row:
+                cells.append(row[j - 1] + 1)
+            row[j] = min(cells)
+        if not row or min(row.values()) > most:
+            return False
+    return row.get(len(b), most + 1) <= most
 
 
 def plain_line_dedup(rows):
@@ -141,7 +149,7 @@ def plain_line_dedup(rows):
         out = []
         for line in (text or "").split("\n"):
             if len(line) >= linededup.MIN_CHARS:
-                near = any(abs(len(line) - len(x)) <= 2 and edits(line, x) <= 2 for x in lines)
+                near = any(abs(len(line) - len(x)) <= 2 and edits_within(line, x, 2) for x in lines)
                 lines.append(line)
                 if near:
                     continue
