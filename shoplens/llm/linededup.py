@@ -19,8 +19,10 @@ from shoplens.llm.decontaminate import maybe_broadcast, text_key
 from shoplens.session import durable, fits_broadcast
 
 DISTANCE = 2
-# Shorter lines are left alone: a few edits make other lines of them, and headings or items of lists recur by nature.
+# Shorter lines are not compared by edits: a few make other lines of them.
 MIN_CHARS = 25
+# Equal lines go from this length on where the whole corpus is deduplicated; lines without a word are left alone.
+MIN_EQUAL = 1
 # Pieces in which a candidate is looked at before its distance is computed.
 PIECES = 16
 # Letters whose counts tell candidates apart (in texts without them, they tell nothing apart, and lose nothing); each costs
@@ -148,11 +150,15 @@ def mostly_shared(a: Column, b: Column, distance: int) -> Column:
 # ---- jobs
 
 
-def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, k1, k2, at, h1, h2, n, line): the lines of at least `min_chars` characters, places from 0."""
+def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS, min_equal: int | None = None) -> DataFrame:
+    """(doc_id, k1, k2, at, h1, h2, n, line): the lines of at least `min_chars` characters, places from 0.
+
+    With `min_equal`, also shorter ones of at least so many characters that hold something but white space.
+    """
     texts = docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", *text_key("text"), F.split("text", "\n").alias("l"))
-    lines = texts.select("doc_id", "k1", "k2", F.posexplode("l").alias("at", "line")).withColumn("n", F.char_length("line")) \
-        .where(F.col("n") >= min_chars)
+    long = F.col("n") >= min_chars
+    taken = long if min_equal is None else long | ((F.col("n") >= min_equal) & F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    lines = texts.select("doc_id", "k1", "k2", F.posexplode("l").alias("at", "line")).withColumn("n", F.char_length("line")).where(taken)
     h1, h2 = text_key("line")
     return lines.select("doc_id", "k1", "k2", "at", h1.alias("h1"), h2.alias("h2"), "n", "line")
 
@@ -186,35 +192,36 @@ def near_lines(firsts: DataFrame, distance: int, min_chars: int) -> DataFrame:
                        F.when(a_first, F.col("b2")).otherwise(F.col("a2")).alias("h2")).distinct()
 
 
-def repeated_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS, min_equal: int | None = None) -> DataFrame:
     """(doc_id, k1, k2, drop): places of the lines to drop, for each document that has any.
 
-    Lines are ordered by doc_id (null first), the hashes of the text and place. A line is dropped if an equal line or
-    one within `distance` edits comes before it.
+    Lines are ordered by doc_id (null first), the hashes of the text and place. A line is dropped if an equal line or,
+    among lines of at least `min_chars` characters, one within `distance` edits comes before it.
     """
-    lines = occurrences(docs, min_chars)
+    lines = occurrences(docs, min_chars, min_equal)
     repeated = lines.select("h1", "h2", F.struct("doc_id", "k1", "k2", "at").alias("o")).groupBy("h1", "h2") \
         .agg(F.min("o").alias("first"), F.count("*").alias("times")).where("times > 1").select("h1", "h2", "first")
     repeated = maybe_broadcast(durable(repeated), F.lit(64))
     placed = lines.join(repeated, ["h1", "h2"], "left")
     later = F.col("first").isNotNull() & ~F.struct("doc_id", "k1", "k2", "at").eqNullSafe(F.col("first"))
     # Equal rows of documents hold the same first occurrence.
-    near = durable(near_lines(placed.where(~later).drop("first"), distance, min_chars)).withColumn("near", F.lit(True))
+    near = durable(near_lines(placed.where(~later & (F.col("n") >= min_chars)).drop("first"), distance, min_chars)).withColumn("near", F.lit(True))
     return placed.select("doc_id", "k1", "k2", "at", "h1", "h2", later.alias("later")) \
         .join(maybe_broadcast(near, F.lit(32)), ["h1", "h2"], "left").where("later or near") \
         .select("doc_id", "k1", "k2", "at").distinct().groupBy("doc_id", "k1", "k2").agg(F.collect_list("at").alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS, min_equal: int | None = None) -> DataFrame:
     """`docs` with the repeated lines taken out of `text`; all rows and columns stay.
 
     A document whose lines are all repeated keeps an empty text; a null text stays null. Rows equal in doc_id and text
-    count as one document and stay alike. Shorter lines than `min_chars`, empty ones too, are never dropped.
+    count as one document and stay alike. Lines shorter than `min_chars` are dropped only with `min_equal`, and only as
+    equals of an earlier line; those shorter than that and those of white space, empty ones too, are never dropped.
     """
     a, b, given, gone = fresh(docs.columns, "_k1", "_k2", "_id", "_drop")
     k1, k2 = text_key(text_or_empty())
     rows = docs.withColumns({a: k1, b: k2})
-    drop = durable(repeated_lines(docs, distance, min_chars)).toDF(given, f"{a}r", f"{b}r", gone)
+    drop = durable(repeated_lines(docs, distance, min_chars, min_equal)).toDF(given, f"{a}r", f"{b}r", gone)
     drop = maybe_broadcast(drop, F.size(gone) * 4 + 64)
     same = F.col("doc_id").eqNullSafe(F.col(given)) & (F.col(a) == F.col(f"{a}r")) & (F.col(b) == F.col(f"{b}r"))
     lines = F.split("text", "\n")
@@ -227,4 +234,4 @@ def counted(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_lines, n_kept_lines and the text that is left."""
     n_lines = lambda c: F.size(F.split(c, "\n")).cast("long")
     given = docs.select("doc_id", "text", F.coalesce(n_lines("text"), F.lit(0)).alias("n_lines"))
-    return dedup_lines(given).select("doc_id", "n_lines", "text")
+    return dedup_lines(given, min_equal=MIN_EQUAL).select("doc_id", "n_lines", "text")
