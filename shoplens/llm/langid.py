@@ -21,8 +21,9 @@ from shoplens.llm.decontaminate import maybe_broadcast
 from shoplens.session import durable
 
 BUCKETS, SMOOTHING = 1 << 15, 0.5
-# A declared value is taken for a language if so large a share of all rows declares it; at most so many are taken.
-LEAST_SHARE, LANGUAGES = 0.001, 256
+# A declared value gets a model if its rows have so many trigrams, whatever the size of the table: with fewer, the smoothed
+# model is too near to noise. Languages scored in one pass: bounds the table that a worker holds, not their number.
+LEAST_TRIGRAMS, SLAB = 4000, 128
 # Trigrams whose votes count in full; weights of the smoothing from corpus to suffix to host, and of declarations.
 FULL_VOTES, SUFFIX_WEIGHT, HOST_WEIGHT, DECLARED_WEIGHT = 100, 20.0, 20.0, 5.0
 # Columns that the work adds to those kept.
@@ -45,39 +46,48 @@ def trigrams(text: str) -> np.ndarray:
     return ((mixed * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - 15)).astype(np.int64)
 
 
-def _count(languages: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(languages), BUCKETS), np.int64)
-        for batch in batches:
-            for text, k in zip(batch.column("text").to_pylist(), batch.column("language").to_pylist()):
-                counts[k] += np.bincount(trigrams(text), minlength=BUCKETS)
-        for k, row in enumerate(counts):
-            seen = np.flatnonzero(row)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), k)), pa.array(seen), pa.array(row[seen])],
-                                             ["language", "bucket", "n"])
-
-    return run
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(declared, bucket, n), in parts: the counts of at most SLAB declarations are held at a time."""
+    counts: dict[str, np.ndarray] = {}
 
-
-def learn(rows: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The languages, and log probabilities (bucket, language) with a last column for noise; `rows`: text, declared."""
-    shares = rows.groupBy("declared").agg(F.count("*").alias("n"))
-    total = shares.agg(F.sum("n")).first()[0] or 0
-    top = shares.where(F.col("declared").isNotNull() & (F.col("n") >= LEAST_SHARE * total)).orderBy(F.desc("n"), "declared")
-    languages = sorted(r["declared"] for r in top.limit(LANGUAGES).collect())
-    table = np.full((len(languages), BUCKETS), SMOOTHING)
-    if languages:
-        number = F.array_position(F.array(*map(F.lit, languages)), F.col("declared")) - 1
-        counted = rows.where(F.col("declared").isin(languages)).select("text", number.alias("language")) \
-            .mapInArrow(_count(languages), "language long, bucket long, n long").groupBy("language", "bucket").agg(F.sum("n"))
-        for language, bucket, n in counted.collect():
-            table[language, bucket] += n
-    table /= table.sum(axis=1, keepdims=True)
-    return languages, np.vstack([np.log(table), np.full(BUCKETS, -np.log(BUCKETS))]).T.copy()
+    def parts() -> Iterator[pa.RecordBatch]:
+        for name, row in counts.items():
+            seen = np.flatnonzero(row)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(seen), pa.string()), pa.array(seen), pa.array(row[seen])],
+                                             ["declared", "bucket", "n"])
+        counts.clear()
+
+    for batch in batches:
+        for text, name in zip(batch.column("text").to_pylist(), batch.column("declared").to_pylist()):
+            if name not in counts:
+                if len(counts) == SLAB:
+                    yield from parts()
+                counts[name] = np.zeros(BUCKETS, np.int64)
+            counts[name] += np.bincount(trigrams(text), minlength=BUCKETS)
+    yield from parts()
+
+
+def learn(rows: DataFrame) -> tuple[list[str], Iterator[np.ndarray]]:
+    """The languages, and log probabilities (bucket, language) of SLAB of them after the other; `rows`: text, declared."""
+    counted = durable(rows.where("declared is not null").select("text", "declared")
+                      .mapInArrow(_count, "declared string, bucket long, n long").groupBy("declared", "bucket").agg(F.sum("n").alias("n")))
+    enough = counted.groupBy("declared").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TRIGRAMS)
+    languages = sorted(r["declared"] for r in enough.select("declared").collect())
+
+    def slabs() -> Iterator[np.ndarray]:
+        for at in range(0, len(languages), SLAB):
+            place = {name: k for k, name in enumerate(languages[at:at + SLAB])}
+            table = np.full((len(place), BUCKETS), SMOOTHING)
+            for name, bucket, n in counted.where(F.col("declared").isin(list(place))).toLocalIterator():
+                table[place[name], bucket] += n
+            table /= table.sum(axis=1, keepdims=True)
+            yield np.log(table).T.copy()
+
+    return languages, slabs()
 
 
 def likelihoods(df: DataFrame, table: np.ndarray) -> Column:
-    """Toned-down log likelihoods of a text column under each language and noise; all zero for a text without letters."""
+    """Toned-down log likelihoods of a text column under each column of `table`; all zero for a text without letters."""
     shared = df.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -94,21 +104,24 @@ def likelihoods(df: DataFrame, table: np.ndarray) -> Column:
     return F.arrow_udf(run, "array<double>")("text")
 
 
-def _counts(size: int) -> list[Column]:
-    return [F.sum((F.col("vote") == k).cast("double")).alias(f"n{k}") for k in range(size)]
+def _grouped(counts: DataFrame, *by: str) -> DataFrame:
+    """Per group: the counts `n` of its votes as a map, and their sum."""
+    return counts.groupBy(*by, "vote").agg(F.sum("n").alias("n")).groupBy(*by) \
+        .agg(F.map_from_entries(F.collect_list(F.struct("vote", "n"))).alias("shares"), F.sum("n").alias("total"))
 
 
-def _smoothed(above: Column, weight: float, size: int) -> Column:
+def _smoothed(above: Column, weight: float) -> Column:
     """Shares of the languages in a group, smoothed towards those `above` it."""
-    total = sum((F.col(f"n{k}") for k in range(1, size)), F.col("n0"))
-    return F.array(*[(F.col(f"n{k}") + weight * F.get(above, F.lit(k))) / (total + weight) for k in range(size)])
+    own = lambda k: F.coalesce(F.try_element_at("shares", k.cast("long")), F.lit(0))
+    return F.transform(above, lambda a, k: (own(k) + weight * a) / (F.col("total") + weight))
 
 
 def identify(df: DataFrame, declared: Column, host: Column, suffix: Column, keep: list[str]) -> DataFrame:
     """Per row of `df` (text and others): the columns `keep`, text_language, language, confidence, accepted.
 
     Null text, host, suffix and declaration count as empty; an empty declaration says nothing. A text without letters
-    has no language of its own: `language` is null and it is not accepted. Repeated rows give repeated results, an empty
+    has no language of its own: `language` is null and it is not accepted. Where the declaration has too little text for a
+    model, what no model explains is in the declared language instead of noise. Repeated rows give repeated results, an empty
     table none. Ties go to the language first in the alphabet.
     """
     if {c.lower() for c in keep} & OWN:
@@ -116,23 +129,32 @@ def identify(df: DataFrame, declared: Column, host: Column, suffix: Column, keep
     empty = F.lit("")
     rows = df.select(*keep, text_or_empty().alias("text"), F.nullif(F.lower(declared), empty).alias("declared"),
                      F.coalesce(host, empty).alias("host"), F.coalesce(suffix, empty).alias("suffix"))
-    languages, table = learn(rows.select("text", "declared"))
+    languages, slabs = learn(rows.select("text", "declared"))
     size = len(languages)
+    noise = np.full((BUCKETS, 1), -np.log(BUCKETS))
     if not size:
-        return rows.select(*keep, *[F.lit(None).cast("string").alias(c) for c in ("text_language", "language")],
-                           F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"))
-    scored = rows.withColumn("ll", likelihoods(rows, table)).withColumn("spoken", F.exists("ll", lambda x: x != 0)) \
+        told = F.exists(likelihoods(rows, noise), lambda x: x != 0) & F.col("declared").isNotNull()
+        return rows.withColumn("accepted", told).select(
+            *keep, F.lit(None).cast("string").alias("text_language"), F.when(F.col("accepted"), F.col("declared")).alias("language"),
+            F.col("accepted").cast("double").alias("confidence"), "accepted")
+    scored = rows
+    for k, table in enumerate(slabs):
+        last = (k + 1) * SLAB >= size
+        found = likelihoods(rows, np.hstack([table, noise]) if last else table)
+        scored = scored.withColumn("ll", F.concat("ll", found) if k else found)
+        scored = scored if last else durable(scored)
+    scored = scored.withColumn("spoken", F.exists("ll", lambda x: x != 0)) \
         .withColumn("vote", F.array_position(F.slice("ll", 1, size), F.array_max(F.slice("ll", 1, size))) - 1).drop("text")
     scored = durable(scored)
     votes = scored.where("spoken")
     names = F.array(*map(F.lit, languages))
-    # The corpus is one group of a bounded number of languages; suffixes and hosts stay tables.
-    totals = votes.agg(*_counts(size)).first()
-    overall = [((n or 0.0) + 1.0) / (sum(x or 0.0 for x in totals) + size) for n in totals]
-    whole = F.array(*map(F.lit, overall))
-    suffixes = votes.groupBy("suffix").agg(*_counts(size)).select("suffix", _smoothed(whole, SUFFIX_WEIGHT, size).alias("above"))
-    hosts = votes.groupBy("host", "suffix").agg(*_counts(size)).join(suffixes, "suffix") \
-        .select("host", "suffix", _smoothed(F.col("above"), HOST_WEIGHT, size).alias("prior"))
+    # The corpus is one group; suffixes and hosts stay tables.
+    counts = durable(votes.groupBy("host", "suffix", "vote").agg(F.count("*").alias("n")))
+    totals = {r["vote"]: r["n"] for r in counts.groupBy("vote").agg(F.sum("n").alias("n")).collect()}
+    whole = F.array(*[F.lit((totals.get(k, 0) + 1.0) / (sum(totals.values()) + size)) for k in range(size)])
+    suffixes = _grouped(counts, "suffix").select("suffix", _smoothed(whole, SUFFIX_WEIGHT).alias("above"))
+    hosts = _grouped(counts, "host", "suffix").join(suffixes, "suffix") \
+        .select("host", "suffix", _smoothed(F.col("above"), HOST_WEIGHT).alias("prior"))
     # Chance of a declaration under each language: its rows among the language's rows that declare anything.
     said = votes.where("declared is not null").groupBy("declared", "vote").agg(F.count("*").cast("double").alias("n"))
     by_vote = said.groupBy("vote").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
@@ -157,11 +179,15 @@ def identify(df: DataFrame, declared: Column, host: Column, suffix: Column, keep
     top = F.greatest("best", "noise")
     mass = F.aggregate("w", F.exp(F.col("noise") - top), lambda a, x: a + F.exp(x - top))
     spoken = F.col("spoken")
+    own, noise_share = F.exp(F.col("best") - top) / mass, F.exp(F.col("noise") - top) / mass
+    unmodelled = F.col("declared").isNotNull() & ~F.coalesce(F.array_contains(names, F.col("declared")), F.lit(False))
+    declared_wins = unmodelled & (F.col("noise") > F.col("best"))
+    best = F.get(names, (F.array_position("w", F.col("best")) - 1).cast("int"))
     return fused.select(
         *keep, F.when(spoken, F.get(names, F.col("vote").cast("int"))).alias("text_language"),
-        F.when(spoken, F.get(names, (F.array_position("w", F.col("best")) - 1).cast("int"))).alias("language"),
-        F.when(spoken, F.exp(F.col("best") - top) / mass).otherwise(0.0).alias("confidence")) \
-        .withColumn("accepted", F.col("language").isNotNull() & (F.col("confidence") >= ACCEPTED))
+        F.when(spoken, F.when(declared_wins, F.col("declared")).otherwise(best)).alias("language"),
+        F.when(spoken, F.when(declared_wins, noise_share).otherwise(own)).otherwise(0.0).alias("confidence"),
+        (spoken & (own + F.when(unmodelled, noise_share).otherwise(0.0) >= ACCEPTED)).alias("accepted"))
 
 
 def accepted(docs: DataFrame, declared: Column, host: Column, suffix: Column) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from test_llm_operators import SF, SPACE_WORD, edits_within, same
 
-from shoplens.llm import decontaminate, linededup, neardup
+from shoplens.llm import decontaminate, langid, linededup, neardup
 
 
 def plain_whole_dedup(rows):
@@ -69,3 +69,24 @@ def test_fingerprints_of_texts_alike_lie_within_the_radius():
         h = np.unique(rng.integers(0, 1 << 63, shared + 1, dtype=np.uint64) * np.uint64(2))
         lost += (neardup.set_fingerprint(h) ^ neardup.set_fingerprint(h[rng.permutation(len(h))[:shared]])).bit_count() > neardup.RADIUS
     assert not lost
+
+
+def test_languages_count_by_their_text_not_their_share(spark, monkeypatch):
+    """A minority of a thousandth and less of the rows, in a script of its own, and one with too little text to be learned."""
+    monkeypatch.setattr(langid, "SLAB", 2)
+    real = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", F.col("lang").alias("said"), "source")
+    many = real.where("said = 'en'").crossJoin(spark.range(60)).select(F.lit(0).cast("long").alias("doc_id"), F.substring("text", 1, 60).alias("text"), "said", "source")
+    rng = random.Random(7)
+    word = lambda first: "".join(chr(first + rng.randrange(24)) for _ in range(rng.randint(2, 5)))
+    greek = [(1000 + k, " ".join(word(0x3B1) for _ in range(300)), "el", "s") for k in range(5)]
+    rare = [(2000, " ".join(word(0x5D0) for _ in range(20)), "he", "s")]
+    odd = [(3000, " ".join(word(0x430) for _ in range(60)), None, "s"), (3001, "%% 12", "he", "s")]
+    frame = many.unionAll(real.select(F.lit(1).cast("long"), "text", "said", "source")).unionAll(
+        spark.createDataFrame(greek + rare + odd, "doc_id long, text string, said string, source string"))
+    assert 5 < 0.001 * frame.count()
+    got = {r["doc_id"]: r for r in langid.identify(frame, F.col("said"), F.col("source"), F.lit(""), ["doc_id"]).where("doc_id >= 1000").collect()}
+    assert all(got[k]["text_language"] == got[k]["language"] == "el" and got[k]["accepted"] for k, *_ in greek)
+    assert got[2000]["language"] == "he" and got[2000]["accepted"]
+    assert not got[3000]["accepted"] and not got[3001]["accepted"] and got[3001]["language"] is None
+    alone = langid.identify(spark.createDataFrame(rare, "doc_id long, text string, said string, source string"), F.col("said"), F.col("source"), F.lit(""), ["doc_id"])
+    assert [(r["language"], r["accepted"]) for r in alone.collect()] == [("he", True)]
