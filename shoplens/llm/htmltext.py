@@ -2,8 +2,9 @@
 
 A page is read into a tree. Every node has a density, its characters per tag, turned down the more of its characters and
 tags are links; the node whose children's densities have the largest sum is the centre of the main text. The smallest
-density on the way from the body to it is the threshold: what is beside the centre belongs to the text only if it is a
-heading or block in the same article that reaches it. Elements that are never main text (menus, forms, comments, ...)
+density on the way from the body to it is the threshold: what is beside the way belongs to the text if it is a heading or
+anything else, of whatever tag, that reaches it. Where the page marks the centre as part of an <article> or <main>, that
+element is the text whatever the densities in it. Elements that are never main text (menus, forms, comments, ...)
 are cut off first, by tag, role or class.
 """
 
@@ -218,7 +219,7 @@ def main_text(page: str) -> str:
         return "\n\n".join(blocks([article]))
     if not centre.total:
         return "\n\n".join(blocks([body]))
-    # Without an article, headings that lead to the centre and dense blocks of prose beside it belong to it.
+    # Without an article, headings that lead to the centre and all that is dense enough beside it belong to it.
     parts: list[Node | str] = [centre]
     for below, above in zip(path, path[1:]):
         at = next(k for k, c in enumerate(above.children) if c is below)
@@ -228,7 +229,10 @@ def main_text(page: str) -> str:
 
 
 def _belongs(item: Node | str, threshold: float) -> bool:
-    return isinstance(item, Node) and (item.tag in HEADINGS or item.tag == "p" and item.density >= threshold)
+    if isinstance(item, str):
+        chars = len("".join(item.split()))
+        return chars > 0 and density(chars, 1, 0, 0, 0.0) >= threshold
+    return item.tag in HEADINGS or item.density > 0 and item.density >= threshold
 
 
 def main_texts(page: str | Column = "html") -> Column:

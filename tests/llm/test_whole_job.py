@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from test_llm_operators import SF, SPACE_WORD, edits_within, same
 
-from shoplens.llm import decontaminate, langid, linededup, neardup
+from shoplens.llm import decontaminate, htmltext, langid, linededup, neardup
 
 
 def plain_whole_dedup(rows):
@@ -90,3 +90,12 @@ def test_languages_count_by_their_text_not_their_share(spark, monkeypatch):
     assert not got[3000]["accepted"] and not got[3001]["accepted"] and got[3001]["language"] is None
     alone = langid.identify(spark.createDataFrame(rare, "doc_id long, text string, said string, source string"), F.col("said"), F.col("source"), F.lit(""), ["doc_id"])
     assert [(r["language"], r["accepted"]) for r in alone.collect()] == [("he", True)]
+
+
+def test_main_text_of_unmarked_pages_keeps_dense_blocks_of_any_tag():
+    prose = lambda k: f"Sentence number {k} of a story that goes on for a good while, with words enough to be dense."
+    part = lambda *ks: "<section>" + "".join(f"<p>{prose(k)}</p>" for k in ks) + "</section>"
+    links = "<div class='x'>" + "".join(f"<a href='/{k}'>link {k}</a> " for k in range(12)) + "</div>"
+    beside = [("ul", f"<li>{prose(10)}</li>"), ("blockquote", prose(11)), ("pre", prose(12)), ("table", f"<tr><td>{prose(13)}</td></tr>"), ("div", prose(14))]
+    page = f"<body>{links}<div>{part(1, 2, 3)}{part(4, 5)}{''.join(f'<{t}>{x}</{t}>' for t, x in beside)}{prose(15)}</div>{links}</body>"
+    assert htmltext.main_text(page) == "\n\n".join(map(prose, [1, 2, 3, 4, 5, 10, 11, 12, 13, 14, 15]))
