@@ -119,8 +119,8 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of `docs`, whatever their columns, whose texts hold no window of an item."""
-    found = hits(docs, items, window).select("k1", "k2")
+    """The rows of `docs`, whatever their columns, whose texts hold no window of an item, be its id null or not."""
+    found = hits(docs, items.withColumn("item_id", F.lit("")), window).select("k1", "k2")
     a, b = fresh(docs.columns, "_k1", "_k2")
     found = maybe_broadcast(found.toDF(a, b), F.lit(32))
     k1, k2 = text_key(text_or_empty())

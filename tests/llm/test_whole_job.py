@@ -99,3 +99,10 @@ def test_main_text_of_unmarked_pages_keeps_dense_blocks_of_any_tag():
     beside = [("ul", f"<li>{prose(10)}</li>"), ("blockquote", prose(11)), ("pre", prose(12)), ("table", f"<tr><td>{prose(13)}</td></tr>"), ("div", prose(14))]
     page = f"<body>{links}<div>{part(1, 2, 3)}{part(4, 5)}{''.join(f'<{t}>{x}</{t}>' for t, x in beside)}{prose(15)}</div>{links}</body>"
     assert htmltext.main_text(page) == "\n\n".join(map(prose, [1, 2, 3, 4, 5, 10, 11, 12, 13, 14, 15]))
+
+
+def test_items_without_id_contaminate_too(spark):
+    item = " ".join(f"word{k}" for k in range(12))
+    docs = spark.createDataFrame([(1, f"before {item} after"), (2, "something else altogether")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, item)], "item_id long, text string")
+    assert [r["doc_id"] for r in decontaminate.clean(docs, items).collect()] == [2]
