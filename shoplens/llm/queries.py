@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import bpe, decontaminate, fim, htmltext, langid, licenses, linededup, lm, phrases, quality, simhash, tokenstore
+from shoplens.llm import bpe, decontaminate, fim, htmltext, langid, licenses, linededup, lm, packing, phrases, quality, simhash, tokenstore
 from shoplens.llm.common import prepare
 from shoplens.session import scratch_path
 
@@ -156,3 +156,8 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST
 FROM p""")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
