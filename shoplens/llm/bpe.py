@@ -2,8 +2,8 @@
 
 A pre-token that is itself in the vocabulary is found through a minimal perfect hash with one comparison of bytes; any
 other is merged with a heap of candidate pairs over a doubly linked list of its bytes, lowest rank first and leftmost
-among equals, so a piece of n bytes costs O(n log n). Words seen before in the same Python worker are remembered, in a
-table of bounded size.
+among equals, so a piece of n bytes costs O(n log n). Short words seen before in the same Python worker are remembered, in
+tables whose bytes are counted and bounded.
 """
 
 from __future__ import annotations
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import fresh, text_or_empty, worker_state
 from shoplens.llm.perfect_hash import PerfectHash
 
-# Pieces and words remembered in a worker; together some 200 MB at most.
-PIECES, WORDS = 700_000, 200_000
+# Bytes of the pieces and words that a worker remembers, what an entry takes besides its characters and ids, and the
+# characters beyond which a word is not remembered.
+PIECES, WORDS = 80 << 20, 64 << 20
+ENTRY, REMEMBERED = 220, 64
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -91,16 +93,20 @@ class Irregular(Exception):
 
 
 class Memo(dict):
-    """Values made when first asked for; emptied when full, so that its size is bounded."""
+    """Values made when first asked for; those of short keys are kept, and all forgotten when they reach `limit` bytes."""
 
     def __init__(self, make: Callable[[str], bytes], limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.held = make, limit, 0
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        self[key] = value = self.make(key)
+        value = self.make(key)
+        if len(key) <= REMEMBERED:
+            self.held += ENTRY + 4 * len(key) + len(value)
+            if self.held > self.limit:
+                self.clear()
+                self.held = 0
+            self[key] = value
         return value
 
 
@@ -144,47 +150,54 @@ def regular(word: str) -> bool:
 
 
 class Bpe:
-    """Encoder and decoder for DataFrames; the vocabulary is read on the driver and broadcast (a bounded file)."""
+    """Encoder and decoder for DataFrames; the vocabulary is read on the driver and broadcast (a bounded file).
+
+    Only plain values are broadcast, so the package need not be installed where the tasks run.
+    """
 
     def __init__(self, spark: SparkSession, rank_file: str, pattern: str):
         tokens = read_ranks(rank_file)
-        self.shared = spark.sparkContext.broadcast((tokens, PerfectHash.build(tokens)))
+        index = PerfectHash.build(tokens)
+        self.shared = spark.sparkContext.broadcast((tokens, index.seed, index.displacement))
         self.pattern, self.name = pattern, hashlib.sha256(b"\n".join(tokens)).hexdigest()
 
     def encode(self, df: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
         """`df` with a binary column of packed ids; a null or empty text has none. A column `ids` is replaced."""
-        return df.withColumn(ids, self._encoder()(text_or_empty(text)))
+        return df.withColumn(ids, self._coder(True, False)(text_or_empty(text)))
 
     def decode(self, df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
         """`df` with the bytes of packed ids; null is empty. Unknown ids are an error. A column `decoded` is replaced."""
-        return df.withColumn(decoded, self._decoder()(F.coalesce(F.col(ids), F.lit(b""))))
+        return df.withColumn(decoded, self._coder(False, True)(F.coalesce(F.col(ids), F.lit(b""))))
+
+    def encode_and_decode(self, df: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+        """As `encode` and then `decode` of its ids, in one pass through Python."""
+        both, = fresh([*df.columns, ids, decoded], "_both")
+        rows = df.withColumn(both, self._coder(True, True)(text_or_empty(text)))
+        return rows.withColumn(ids, F.col(both)["ids"]).withColumn(decoded, F.col(both)["decoded"]).drop(both)
 
-    def _encoder(self) -> Callable[[str | Column], Column]:
+    def _coder(self, encodes: bool, decodes: bool) -> Callable[[str | Column], Column]:
         shared, pattern, name = self.shared, self.pattern, self.name
 
+        def decoded(packed: list[bytes]) -> pa.Array:
+            token = shared.value[0].__getitem__
+            return pa.array([b"".join(map(token, np.frombuffer(p, "<u4").tolist())) for p in packed], pa.binary())
+
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            state = worker_state("bpe")
-            key = (name, pattern)
-            for texts in batches:
+            for given in batches:
+                if not encodes:
+                    yield decoded(given.to_pylist())
+                    continue
+                state, key = worker_state("bpe"), (name, pattern)
                 if key not in state:
                     state.clear()
-                    state[key] = Encoder(Vocabulary(*shared.value), pattern)
-                yield pa.array([state[key].encode(t) for t in texts.to_pylist()], pa.binary())
-
-        run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-        return F.arrow_udf(run, "binary")
-
-    def _decoder(self) -> Callable[[str | Column], Column]:
-        shared = self.shared
-
-        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for packed in batches:
-                token = shared.value[0].__getitem__
-                yield pa.array([b"".join(map(token, np.frombuffer(p, "<u4").tolist())) for p in packed.to_pylist()],
-                               pa.binary())
+                    tokens, seed, displacement = shared.value
+                    state[key] = Encoder(Vocabulary(tokens, PerfectHash(len(tokens), seed, displacement)), pattern)
+                packed = [state[key].encode(t) for t in given.to_pylist()]
+                ids = pa.array(packed, pa.binary())
+                yield pa.StructArray.from_arrays([ids, decoded(packed)], ["ids", "decoded"]) if decodes else ids
 
         run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-        return F.arrow_udf(run, "binary")
+        return F.arrow_udf(run, "ids binary, decoded binary" if encodes and decodes else "binary")
 
 
 def digests(bpe: Bpe, docs: DataFrame) -> DataFrame:
@@ -193,6 +206,6 @@ def digests(bpe: Bpe, docs: DataFrame) -> DataFrame:
     Repeated rows give repeated results, a null doc_id stays null, an empty table gives none.
     """
     ids, decoded = fresh(docs.columns, "ids", "decoded")
-    rows = bpe.decode(bpe.encode(docs.select("doc_id", "text"), "text", ids), ids, decoded)
+    rows = bpe.encode_and_decode(docs.select("doc_id", "text"), "text", ids, decoded)
     return rows.select("doc_id", F.shiftright(F.length(ids), 2).cast("long").alias("n_tokens"),
                        F.sha2(ids, 256).alias("ids_sha256"), F.sha2(decoded, 256).alias("decoded_sha256"))

@@ -25,9 +25,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def worker_state(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, for tables that are costly to build."""
-    holder = sys.modules.setdefault("_shoplens_worker_state", types.ModuleType("_shoplens_worker_state"))
-    return holder.__dict__.setdefault(name, {})
+    """A dictionary that lives in the Python worker until another operator asks for its own, for tables that are costly to build.
+
+    Workers serve one job after the other; what an earlier operator has built must not take the memory of the next.
+    """
+    holder = sys.modules.setdefault("_shoplens_worker_state", types.ModuleType("_shoplens_worker_state")).__dict__.setdefault("states", {})
+    if name not in holder:
+        holder.clear()
+    return holder.setdefault(name, {})
 
 
 def text_or_empty(text: str | Column = "text") -> Column:
