@@ -21,8 +21,9 @@ from tokenizers import Tokenizer
 from shoplens.llm.common import text_or_empty, worker_state
 from shoplens.llm.perfect_hash import PerfectHash, hash_keys
 
-# Ids of a shard, unless one document alone has more; words remembered by a tokenizer in a worker; words encoded at once.
-SHARD_IDS, WORDS, AT_ONCE = 1 << 20, 400_000, 4096
+# Ids of a shard, unless one document alone has more; bytes of the words that a worker remembers, and what an entry takes
+# besides characters and ids; characters beyond which a word is not remembered; words encoded at once.
+SHARD_IDS, WORDS, ENTRY, REMEMBERED, AT_ONCE = 1 << 20, 120 << 20, 220, 64, 4096
 LINE, LINE_WORD = "\n", " \n\n"
 # Entries of the table that routes keys to shards.
 ROUTES = 1 << 16
@@ -53,6 +54,7 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.width, self.kind = width, "<u2" if width == 2 else "<u4"
         self.words: dict[str, bytes] = {}
+        self.held = 0
         # Ids that begin with a blank or a line feed, in the byte-level alphabet.
         vocabulary = self.tokenizer.get_vocab()
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -68,14 +70,16 @@ class WordEncoder:
             packed = self.ids([mark + mark.join([w.removeprefix("\n\n") for w in some])])[0]
             cuts = (np.flatnonzero(self.begins[np.frombuffer(packed, self.kind)]) * self.width).tolist()
             self.words.update(zip(some, (packed[a:b] for a, b in zip(cuts, [*cuts[1:], len(packed)])), strict=True))
+            self.held += len(packed) + sum(map(len, some)) + ENTRY * len(some)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > WORDS:
+        if self.held > WORDS:
             self.words.clear()
+            self.held = 0
         # The first word of a line has no blank before it; it is kept under its text with two line feeds before it.
         cut = [f"\n\n{t.replace(LINE, LINE_WORD)}".split(" ") if t else [] for t in texts]
         missing = list(set().union(*cut).difference(self.words))
-        good = [w for w in missing if regular(w)]
+        good = [w for w in missing if len(w) <= REMEMBERED and regular(w)]
         self.learn([w for w in good if w[0] != "\n"], " ")
         self.learn([w for w in good if w[0] == "\n"], "\n")
         out, rest = [], []
