@@ -19,7 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import text_or_empty
+from shoplens.llm.common import fresh, text_or_empty
+from shoplens.llm.decontaminate import maybe_broadcast
 from shoplens.session import durable
 
 BITS = 64
@@ -243,3 +244,30 @@ def groups(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
 def components(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, its fingerprint in hexadecimal and component_id; see `groups`."""
     return groups(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of `docs`, whatever their columns, but for all save one of each group of linked fingerprints.
+
+    Groups are those of `groups`. The row with the smallest doc_id stays (null last, then by the text's hash); of rows equal
+    in doc_id and text, one. Null and empty texts and those without words are one group. An empty table stays empty.
+    """
+    tie, key, other = fresh(docs.columns, "_tie", "_key", "_other")
+    hashed = F.xxhash64(text_or_empty())
+    prints = durable(docs.select("doc_id", hashed.alias("tie"), fingerprints("text", words).alias("fp")))
+    roots = connect(near_edges(prints.select("fp").distinct(), radius)).withColumnRenamed("node", "fp")
+    rooted = prints.join(maybe_broadcast(durable(roots), F.lit(16)), "fp", "left") \
+        .select("doc_id", "tie", F.coalesce("root", "fp").alias("root"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
+    least = rooted.groupBy("root").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1").select("root", "least")
+    met = rooted.join(maybe_broadcast(durable(least), F.lit(48)), "root")
+    stays = place.eqNullSafe(F.col("least"))
+    gone = durable(met.where(~stays).select("doc_id", "tie").distinct())
+    repeated = durable(met.where(stays).groupBy("doc_id", "tie").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "tie"))
+    keyed = docs.withColumn(tie, hashed)
+    on = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(tie) == F.col(other))
+    left = keyed.join(maybe_broadcast(gone.toDF(key, other), F.lit(32)), on, "left_anti")
+    several = maybe_broadcast(repeated.toDF(key, other), F.lit(32))
+    once = left.join(several, on, "left_anti")
+    single = left.join(several, on, "left_semi").dropDuplicates(["doc_id", tie])
+    return once.unionByName(single).select(*docs.columns)
