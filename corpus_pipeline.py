@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import bpe, decontaminate, langid, linededup, neardup
+from shoplens.llm import bpe, decontaminate, langid, linededup, simhash
 from shoplens.llm.common import prepare
 from shoplens.session import scratch_path
 
@@ -24,9 +24,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies."""
+    """One document of each group whose SimHash fingerprints over three-word shingles link at two bits or fewer."""
     prepare(spark)
-    return neardup.one_of_each(docs)
+    return simhash.one_of_each(docs, words=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,18 +36,19 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document: its packed little-endian 32-bit ids, their number, and digests of them and of what they decode to."""
+    """Per row: its columns but text and n_chars, its packed little-endian 32-bit ids, their number, and digests of them and of
+    what they decode to. A null text has no ids; rows that are equal stay so."""
     prepare(spark)
     codec = bpe.Bpe(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = codec.decode(codec.encode(docs.select("doc_id", "lang", "source", "text")))
-    return coded.select("doc_id", "lang", "source", F.shiftright(F.length("ids"), 2).cast("long").alias("n_tokens"), "ids",
-                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = codec.encode_and_decode(docs)
+    return coded.withColumn("n_tokens", F.shiftright(F.length("ids"), 2).cast("long")).withColumn("ids_sha256", F.sha2("ids", 256)) \
+        .withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("text", "n_chars", "decoded")
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
           ("decontamination", decontamination), ("byte_bpe", byte_bpe)]
 
-# Learned language models, groups of near copies and tokens are beyond SQL; the tests hold run() against brute force.
+# Learned language models, groups of linked fingerprints and tokens are beyond SQL; the tests hold run() against brute force.
 ORACLE_SQL = None
 
 
