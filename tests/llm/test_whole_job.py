@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from test_llm_operators import SF, SPACE_WORD, edits_within, same
 
-from shoplens.llm import decontaminate, htmltext, langid, linededup, neardup
+from shoplens.llm import decontaminate, htmltext, langid, linededup
 
 
 def plain_whole_dedup(rows):
@@ -42,35 +42,6 @@ def test_short_equal_lines_are_repeats(spark):
     assert want and plain_whole_dedup([(k, t, 0, 0) for k, t in made])[1, made[1][1]].strip() == ""
 
 
-def test_repeats_within_a_text_hide_no_near_copy(spark):
-    """Sets of shingles decide, so a phrase said often in one text and once in the other leaves them near copies."""
-    rng = random.Random(5)
-    rows, pairs = [], []
-    for k in range(60):
-        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(200)]
-        phrase = [f"p{rng.randrange(10 ** 6)}" for _ in range(6)]
-        pairs.append((2 * k, 2 * k + 1))
-        rows += [(2 * k, " ".join(base + phrase)), (2 * k + 1, " ".join(base + phrase * rng.choice([100, 300, 500])))]
-    for k in range(60, 300):
-        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(9)]
-        pairs.append((2 * k, 2 * k + 1))
-        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:8]))]
-    sets = [set(neardup.shingles(t).tolist()) for _, t in rows]
-    assert all(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a, b in pairs)
-    got = neardup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted(r["doc_id"] for r in got) == [a for a, _ in pairs]
-
-
-def test_fingerprints_of_texts_alike_lie_within_the_radius():
-    rng = np.random.default_rng(6)
-    lost = 0
-    for _ in range(3000):
-        shared = int(rng.integers(4, 9))
-        h = np.unique(rng.integers(0, 1 << 63, shared + 1, dtype=np.uint64) * np.uint64(2))
-        lost += (neardup.set_fingerprint(h) ^ neardup.set_fingerprint(h[rng.permutation(len(h))[:shared]])).bit_count() > neardup.RADIUS
-    assert not lost
-
-
 def test_languages_count_by_their_text_not_their_share(spark, monkeypatch):
     """A minority of a thousandth and less of the rows, in a script of its own, and one with too little text to be learned."""
     monkeypatch.setattr(langid, "SLAB", 2)
