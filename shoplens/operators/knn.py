@@ -1,10 +1,10 @@
-"""Exact nearest products per user as a blocked equi-join, with blocks skipped where no result can lie.
+"""Exact nearest products per user, searched block by block from the nearest on, against the k-th score found so far.
 
-Products are grouped around pivots into blocks of bounded size. For a user, the angle to a block's pivot and the
-block's radius bound the angle to every product in it (triangle inequality on the sphere). Blocks that can hold one of
-the k best are found from the block table alone, so a user row is sent only to those; each (block, user chunk) pair is
-scored with one matrix product that keeps k rows per user. No pair of user and product is ever emitted, and the result
-is the exact one whatever the pivots are.
+Products are grouped around pivots into blocks of bounded size. For a user, the angle to a block's pivot and the block's
+radius bound the angle to every product in it (triangle inequality on the sphere). Each user first goes to the blocks that
+may hold its nearest products, then to a few more, then to the rest, in each round only to blocks whose bound beats the
+k-th score that the rounds before have found. A (block, user chunk) pair is scored with one matrix product that keeps k
+rows per user. No pair of user and product is ever emitted, and the result is the exact one whatever the pivots are.
 """
 
 from __future__ import annotations
@@ -18,12 +18,18 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.vectors import has_vector, l2_normalize
 from shoplens.operators.topk import top_per_group
+from shoplens.session import durable
 
 BLOCK_BYTES = 64 * 1024 * 1024  # of either side of a block pair
 MIN_CHUNK_USERS = 1024
 MAX_PIVOTS = 4096
+# Vectors sampled for each pivot, and the rounds in which pivots move to the middle of those nearest to them.
+PIVOT_SAMPLE, PIVOT_ROUNDS = 16, 5
+# Blocks of the second round; the first takes as many as hold k products, the third what is left.
+SECOND_ROUND = 8
 _SLACK = 1e-5  # of angles
 _ROUNDING = 1e-9  # of scores from a matrix product; what may be among the best is scored again, row by row
+_PARTS = 1_000_000  # numbers for the parts of a crowded pivot
 
 
 def knn_candidates(goods: DataFrame, dims: int, category: str | None = None) -> DataFrame:
@@ -35,32 +41,46 @@ def knn_candidates(goods: DataFrame, dims: int, category: str | None = None) ->
 
 
 def knn_join(users: DataFrame, candidates: DataFrame, k: int, dims: int, *, block_rows: int | None = None,
-             chunk_users: int | None = None) -> DataFrame:
+             chunk_users: int | None = None, stats: dict | None = None) -> DataFrame:
     """The `k` best candidates of each user: (user_id, product_id, score, rank), by the unrounded score, then the id.
 
     `users(user_id, preference_vector, exclude)`: `exclude` is the bounded list of product ids not to return.
-    A user is sent to every block that matters, a product to every chunk of users; both sides are cut as large as a
-    task can hold, so that the fewest copies are made, but small enough to keep all cores busy.
+    A product is sent to every chunk of users; both sides are cut as large as a task can hold, so that the fewest copies
+    are made, but small enough to keep all cores busy. `stats` is told how many pairs there are and how many were scored.
     """
     block_rows = block_rows or max(256, BLOCK_BYTES // (dims * 8))
-    n_users, n_goods = users.count(), candidates.count()
+    units = durable(users.select("user_id", l2_normalize(F.col("preference_vector")).alias("unit"), "exclude"))
+    candidates = durable(candidates)
+    n_users, n_goods = units.count(), candidates.count()
     if chunk_users is None:
         share = math.ceil(n_users / users.sparkSession.sparkContext.defaultParallelism)
         chunk_users = min(max(share, MIN_CHUNK_USERS), max(256, BLOCK_BYTES // (dims * 8)))
     chunks = max(1, math.ceil(n_users / chunk_users))
     pivots = min(MAX_PIVOTS, math.ceil(n_goods / block_rows))
-    units = users.select("user_id", l2_normalize(F.col("preference_vector")).alias("unit"), "exclude",
-                         F.pmod(F.xxhash64("user_id"), F.lit(chunks)).alias("chunk"))
+    units = units.withColumn("chunk", F.pmod(F.xxhash64("user_id"), F.lit(chunks))).withColumn("least", F.lit(None).cast("double"))
+    order = [F.desc("score"), F.asc("product_id")]
+    if stats is not None:
+        stats |= {"pairs": n_users * n_goods, "scored": n_users * n_goods}
     if pivots <= 1:
-        goods = candidates.withColumn("block", F.lit(0).cast("bigint"))
-        routed = units.withColumn("block", F.lit(0).cast("bigint"))
-    else:
-        goods, routed = _route(units, candidates, pivots, block_rows, k)
-    copies = goods.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
-    user, product = _kind(users, "user_id"), _kind(candidates, "product_id")
-    found = (routed.groupBy("block", "chunk").cogroup(copies.groupBy("block", "chunk"))
-             .applyInArrow(_score_block(k), f"user_id {user}, product_id {product}, score double"))
-    return top_per_group(found, ["user_id"], [F.desc("score"), F.asc("product_id")], k)
+        zero = F.lit(0).cast("bigint")
+        return top_per_group(_scored(units.withColumn("block", zero), candidates.withColumn("block", zero), chunks, k), ["user_id"], order, k)
+    goods, blocks = _place(candidates, pivots, block_rows)
+    best, state, scored = None, units.withColumn("sent", F.array().cast("array<bigint>")), 0
+    for turn in range(3):
+        told = durable(_choose(state, blocks, k, turn))
+        routed = told.withColumn("block", F.explode("targets")).drop("sent", "targets")
+        if stats is not None:
+            members = {int(n): int(m) for n, m in zip(blocks["number"], blocks["members"])}
+            scored += sum(members[r["block"]] * r["n"] for r in routed.groupBy("block").agg(F.count("*").alias("n")).collect())
+            stats["scored"] = scored
+        if turn and told.where(F.size("targets") > 0).isEmpty():
+            break
+        found = _scored(routed, goods, chunks, k)
+        best = durable(top_per_group(found if best is None else found.unionByName(best.drop("rank")), ["user_id"], order, k))
+        least = best.groupBy("user_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") == k).select("user_id", "least")
+        state = told.select("user_id", "unit", "exclude", "chunk", F.concat("sent", "targets").alias("sent")).join(least, "user_id", "left") \
+            .select("user_id", "unit", "exclude", "chunk", "least", "sent")
+    return best
 
 
 def _kind(df: DataFrame, column: str) -> str:
@@ -79,11 +99,19 @@ def _units(column) -> np.ndarray:
     return matrix / np.where(lengths > 0, lengths, 1.0)
 
 
+def _scored(routed: DataFrame, goods: DataFrame, chunks: int, k: int) -> DataFrame:
+    """(user_id, product_id, score): the best of each user in each block that it was sent to."""
+    copies = goods.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
+    user, product = _kind(routed, "user_id"), _kind(goods, "product_id")
+    return (routed.groupBy("block", "chunk").cogroup(copies.groupBy("block", "chunk"))
+            .applyInArrow(_score_block(k), f"user_id {user}, product_id {product}, score double"))
+
+
 def _score_block(k: int):
-    """Scorer of one (users, products) block pair; keeps the best `k` per user."""
+    """Scorer of one (users, products) block pair; keeps the best `k` per user that reach its `least` score."""
 
     def score(users: pa.Table, goods: pa.Table) -> pa.Table:
-        out_users, out_goods, out_scores = [], [], []
+        out_users, out_goods, out_scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         if users.num_rows and goods.num_rows:
             # Ids of any type: their order is kept as numbers.
             ids = goods.column("product_id").to_numpy()
@@ -92,86 +120,112 @@ def _score_block(k: int):
             order = np.empty(len(ids), np.int64)
             order[by_id] = np.arange(len(ids))
             taste = _matrix(users.column("unit"))
-            user_ids = users.column("user_id").to_pylist()
-            excludes = users.column("exclude").to_pylist()
+            least = users.column("least").fill_null(-1.0).to_numpy() - _ROUNDING
+            excludes = users.column("exclude").combine_chunks()
             step = max(1, 4_000_000 // len(ids))
-            for lo in range(0, len(user_ids), step):
+            for lo in range(0, len(taste), step):
                 part = taste[lo:lo + step]
                 scores = (1.0 + part @ matrix.T) / 2.0
-                for unit, row, user, exclude in zip(part, scores, user_ids[lo:lo + step], excludes[lo:lo + step]):
-                    if exclude:
-                        exclude = np.array(exclude, ids.dtype)
-                        spots = np.searchsorted(ids, exclude, sorter=by_id)
-                        spots = by_id[np.minimum(spots, len(ids) - 1)]
-                        row[spots[ids[spots] == exclude]] = -1.0
-                    floor = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else 0.0
-                    near = np.flatnonzero(row >= max(floor - _ROUNDING, -0.5))
-                    # Equal vectors get equal scores here, whatever their places in the matrix.
-                    exact = (1.0 + (matrix[near] * unit).sum(axis=1)) / 2.0
-                    best = np.lexsort((order[near], -exact))[:k]
-                    out_users += [user] * len(best)
-                    out_goods += ids[near[best]].tolist()
-                    out_scores += exact[best].tolist()
+                some = excludes.slice(lo, len(part))
+                banned = some.flatten().to_numpy(zero_copy_only=False)
+                if len(banned):
+                    sizes = some.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                    spots = by_id[np.minimum(np.searchsorted(ids, banned, sorter=by_id), len(ids) - 1)]
+                    real = ids[spots] == banned
+                    scores[np.repeat(np.arange(len(part)), sizes)[real], spots[real]] = -1.0
+                floor = np.maximum(least[lo:lo + step], -0.5)
+                if len(ids) > k:
+                    floor = np.maximum(floor, np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] - _ROUNDING)
+                row, near = np.nonzero(scores >= floor[:, None])
+                # Equal vectors get equal scores here, whatever their places in the matrix.
+                exact = (1.0 + (matrix[near] * part[row]).sum(axis=1)) / 2.0
+                by = np.lexsort((order[near], -exact, row))
+                row, near, exact = row[by], near[by], exact[by]
+                first = np.searchsorted(row, row)
+                kept = np.arange(len(row)) - first < k
+                out_users.append(row[kept] + lo)
+                out_goods.append(near[kept])
+                out_scores.append(exact[kept])
         return pa.table({
-            "user_id": pa.array(out_users, users.schema.field("user_id").type),
-            "product_id": pa.array(out_goods, goods.schema.field("product_id").type),
-            "score": pa.array(out_scores, pa.float64())})
+            "user_id": users.column("user_id").take(pa.array(np.concatenate(out_users))),
+            "product_id": goods.column("product_id").take(pa.array(np.concatenate(out_goods))),
+            "score": pa.array(np.concatenate(out_scores))})
 
     return score
 
 
-def _route(units: DataFrame, candidates: DataFrame, pivots: int, block_rows: int, k: int):
-    """Place products in blocks and send each user to the blocks that can matter."""
-    # A fixed, small number of vectors: the products with the smallest hashes.
-    chosen = candidates.orderBy(F.xxhash64("product_id"), "product_id").limit(pivots).select("vector").toArrow()
-    centres = _units(chosen.column("vector"))
+def _centres(candidates: DataFrame, pivots: int) -> np.ndarray:
+    """Pivots: unit vectors of a sample of bounded size (those with the smallest hashes), moved to the middle of their own."""
+    sample = _units(candidates.orderBy(F.xxhash64("product_id"), "product_id").limit(pivots * PIVOT_SAMPLE).select("vector").toArrow().column("vector"))
+    centres = sample[:pivots].copy()
+    for _ in range(PIVOT_ROUNDS):
+        nearest = np.concatenate([(sample[at:at + 4096] @ centres.T).argmax(axis=1) for at in range(0, len(sample), 4096)])
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, sample)
+        lengths = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+        centres = np.where(lengths > 0, sums / np.where(lengths > 0, lengths, 1.0), centres)
+    return centres
+
+
+def _place(candidates: DataFrame, pivots: int, block_rows: int) -> tuple[DataFrame, dict[str, np.ndarray]]:
+    """Products with their block, and the table of blocks: number, members, centre and radius of each."""
+    centres = _centres(candidates, pivots)
+    shared = candidates.sparkSession.sparkContext.broadcast(centres)
 
     def assign(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            cos = _units(b.column("vector")) @ centres.T
+            cos = _units(b.column("vector")) @ shared.value.T
             nearest = cos.argmax(axis=1)
             angle = np.arccos(np.clip(cos[np.arange(len(cos)), nearest], -1.0, 1.0))
             yield pa.RecordBatch.from_arrays(
                 [b.column("product_id"), b.column("vector"), pa.array(nearest, pa.int64()), pa.array(angle)],
                 names=["product_id", "vector", "pivot", "angle"])
 
-    user, product = _kind(units, "user_id"), _kind(candidates, "product_id")
-    placed = candidates.mapInArrow(assign, f"product_id {product}, vector array<float>, pivot bigint, angle double")
-    # A crowded pivot is cut into parts by hash, each of which is a block of its own.
-    sizes = placed.groupBy("pivot").agg(F.count("*").alias("members"), F.max("angle").alias("radius"))
-    cut = sizes.withColumn("parts", F.ceil(F.col("members") / block_rows))
-    goods = (placed.join(F.broadcast(cut.select("pivot", "parts")), "pivot")
-             .select("product_id", "vector",
-                     (F.col("pivot") * 1_000_000 + F.pmod(F.xxhash64("product_id"), "parts")).alias("block")))
-
-    # The block table: one row per pivot.
-    table = cut.select("pivot", "members", "radius", "parts").collect()
-    pivot_no = np.array([r["pivot"] for r in table])
-    members = np.array([r["members"] for r in table])
-    radius = np.array([r["radius"] for r in table])
-    blocks = [np.arange(r["parts"]) + r["pivot"] * 1_000_000 for r in table]
-
-    def send(batches):
+    product = _kind(candidates, "product_id")
+    placed = durable(candidates.mapInArrow(assign, f"product_id {product}, vector array<float>, pivot bigint, angle double"))
+    # A crowded pivot is cut into parts by hash, each of which is a block of its own; the table of pivots is bounded.
+    sizes = placed.groupBy("pivot").agg(F.ceil(F.count("*") / block_rows).alias("parts"))
+    placed = placed.join(F.broadcast(sizes), "pivot") \
+        .withColumn("block", F.col("pivot") * _PARTS + F.pmod(F.xxhash64("product_id"), "parts"))
+    table = placed.groupBy("block").agg(F.count("*").alias("members"), F.max("angle").alias("radius")).orderBy("block").toArrow()
+    number = table.column("block").to_numpy()
+    return placed.select("product_id", "vector", "block"), {
+        "number": number, "members": table.column("members").to_numpy(), "radius": table.column("radius").to_numpy(),
+        "centre": centres[number // _PARTS]}
+
+
+def _choose(state: DataFrame, blocks: dict[str, np.ndarray], k: int, turn: int) -> DataFrame:
+    """`state` with `targets`: the blocks of this round that the user hasn't been sent to and that can hold one of its best."""
+    shared = state.sparkSession.sparkContext.broadcast(blocks)
+
+    def choose(batches):
+        number, members, radius, centre = (shared.value[c] for c in ("number", "members", "radius", "centre"))
         for b in batches:
             if not b.num_rows:
                 continue
-            theta = np.arccos(np.clip(_matrix(b.column("unit")) @ centres[pivot_no].T, -1.0, 1.0))
-            excluded = np.array([len(e or ()) for e in b.column("exclude").to_pylist()])
-            rows, targets = [], []
-            for i, angles in enumerate(theta):
-                far = angles + radius
+            theta = np.arccos(np.clip(_matrix(b.column("unit")) @ centre.T, -1.0, 1.0))
+            excluded = [len(e or ()) for e in b.column("exclude").to_pylist()]
+            targets = []
+            for angles, gone, sent, least in zip(theta, excluded, b.column("sent").to_pylist(), b.column("least").to_pylist()):
+                low, far = angles - radius, angles + radius
+                # Enough products lie within this angle, whatever has been scored.
                 by_far = np.argsort(far)
-                enough = np.searchsorted(np.cumsum(members[by_far]), k + excluded[i])
-                limit = far[by_far[min(enough, len(far) - 1)]] if enough < len(far) else np.pi
-                for j in np.flatnonzero(angles - radius <= limit + _SLACK):
-                    rows.extend([i] * len(blocks[j]))
-                    targets.extend(blocks[j].tolist())
-            sent = b.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*sent.columns, pa.array(targets, pa.int64())], names=[*sent.schema.names, "block"])
-
-    routed = units.mapInArrow(
-        send, f"user_id {user}, unit array<double>, exclude array<{product}>, chunk bigint, block bigint")
-    return goods, routed
+                enough = np.searchsorted(np.cumsum(members[by_far]), k + gone)
+                limit = far[by_far[enough]] if enough < len(far) else np.pi
+                if least is not None:
+                    limit = min(limit, math.acos(max(-1.0, min(1.0, 2 * least - 1 - 4 * _ROUNDING))))
+                open_ = (low <= limit + _SLACK) & ~np.isin(number, np.array(sent, number.dtype))
+                near = np.flatnonzero(open_)
+                near = near[np.argsort(low[near], kind="stable")]
+                if turn == 0:
+                    near = near[:int(np.searchsorted(np.cumsum(members[near]), k + gone)) + 1]
+                elif turn == 1:
+                    near = near[:SECOND_ROUND]
+                targets.append(number[near].tolist())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(targets, pa.list_(pa.int64()))], names=[*b.schema.names, "targets"])
+
+    user, exclude = _kind(state, "user_id"), _kind(state, "exclude")
+    return state.mapInArrow(choose, f"user_id {user}, unit array<double>, exclude {exclude}, chunk bigint, least double, "
+                                    "sent array<bigint>, targets array<bigint>")

@@ -170,6 +170,29 @@ def test_knn_blocks_give_the_brute_force_result(spark, block_rows, chunk_users,
         assert [s for _, s in found[u]] == pytest.approx([s for _, s in want])
 
 
+def test_blocks_that_cannot_beat_the_kth_score_are_skipped(spark):
+    rng = np.random.default_rng(11)
+
+    def share(spread, dims=16, n=1500):
+        centres = rng.normal(size=(30, dims))
+        item = {i: (centres[i % 30] + spread * rng.normal(size=dims)).tolist() for i in range(n)}
+        users = spark.createDataFrame([(u, (centres[u % 30] + spread * rng.normal(size=dims)).tolist(), None) for u in range(60)],
+                                      "user_id long, preference_vector array<double>, exclude array<bigint>")
+        stats = {}
+        got = knn_join(users, knn_candidates(goods(spark, range(n), vectors=item), dims), 5, dims, block_rows=40, chunk_users=30, stats=stats)
+        matrix = np.array([item[i] for i in range(n)], np.float32).astype(float)
+        matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+        for r in users.collect()[:10]:
+            scores = matrix @ (np.array(r["preference_vector"]) / np.linalg.norm(r["preference_vector"]))
+            want = np.argsort(-scores, kind="stable")[:5].tolist()
+            assert [x["product_id"] for x in got.where(f"user_id = {r['user_id']}").orderBy("rank").collect()] == want
+        assert stats["pairs"] == 60 * n
+        return stats["scored"] / stats["pairs"]
+
+    assert share(0.15) < 0.2
+    assert share(5.0) <= 1.0
+
+
 def test_knn_ranks_on_the_whole_score_and_takes_text_ids(spark):
     near = [math.cos(a) for a in (0.0, 4e-4, 3e-4)], [math.sin(a) for a in (0.0, 4e-4, 3e-4)]
     rows = [(f"PROD-{i}", 5, "C", [float(near[0][i]), float(near[1][i])]) for i in range(3)]
