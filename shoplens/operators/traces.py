@@ -7,17 +7,21 @@ that start together; where a frame lacks it, the span's id does. Ids may be of a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplens.functions.actions import micros_to_millis
 from shoplens.functions.spans import service_of, span_has_error, span_is_dlq, tag_value
+from shoplens.operators.dated import spans_between, traces_between
 from shoplens.session import durable
 
 # What counts as slow, how far back a scan looks, and how many traces a search returns.
 SLOW_TRACE_MS = 500
 SCAN_MINUTES = 5
 SEARCH_LIMIT = 20
+# No trace may last longer; what is read back around a window of time.
+LONGEST_TRACE_US = 3_600_000_000
 
 
 def span_services(spans: DataFrame) -> DataFrame:
@@ -74,6 +78,29 @@ def search_traces(summaries: DataFrame, *, service: str | None = None, min_us: i
     return found.orderBy(F.desc("start_us"), F.asc("trace_id")).limit(limit)
 
 
+def stored_traces(spark: SparkSession, log: str, schema: T.StructType, since_us: int, until_us: int,
+                  longest_us: int = LONGEST_TRACE_US) -> DataFrame:
+    """All spans of the traces that start in [since_us, until_us], from the hours of a span log that can hold them.
+
+    A trace that lasts longer than `longest_us` is an error.
+    """
+    spans = spans_between(spark, log, schema, since_us, until_us, longest_us)
+    return spans.join(traces_between(spans, since_us, until_us, longest_us), "trace_id", "left_semi")
+
+
+def search_stored_traces(spark: SparkSession, log: str, schema: T.StructType, since_us: int, until_us: int,
+                         longest_us: int = LONGEST_TRACE_US, **wanted) -> DataFrame:
+    """As `search_traces` over a window of time, which decides what is read before anything is summarised."""
+    return search_traces(trace_summary(stored_traces(spark, log, schema, since_us, until_us, longest_us)), **wanted)
+
+
+def scan_stored_traces(spark: SparkSession, log: str, schema: T.StructType, stored: DataFrame, until_us: int,
+                       minutes: int = SCAN_MINUTES, longest_us: int = LONGEST_TRACE_US, slow_ms: int = SLOW_TRACE_MS) -> DataFrame:
+    """As `anomaly_scan` over a span log; only the hours that the window and `longest_us` ask for are read."""
+    spans = stored_traces(spark, log, schema, until_us - minutes * 60_000_000, until_us, longest_us)
+    return new_anomalies_only(find_anomalies(spans, slow_ms), stored)
+
+
 def span_parent(spans: DataFrame) -> DataFrame:
     """Spans with `parent_found`: the parent if it is in the same trace, else null (the span is a root)."""
     there = spans.select("trace_id", F.col("span_id").alias("parent_id"), F.col("span_id").alias("parent_found"))

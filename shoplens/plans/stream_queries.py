@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shoplens.operators import notify, tables
+from shoplens.operators.dated import KeyedTable, read_days
 from shoplens.operators.interest import MAX_USERS
 from shoplens.plans.action_queries import e4, e4_sql
 from shoplens.plans.notify_queries import CART_TYPES, DROP_TYPES
@@ -16,7 +17,7 @@ from shoplens.schemas import ACTION_TYPES
 from shoplens.session import scratch_path
 from shoplens.sources import adapters as A
 from shoplens.sources import streams
-from shoplens.streaming.detect import ATTEMPT, log_attempts, scan_spans
+from shoplens.streaming.detect import ATTEMPT, FINDING, log_attempts, scan_spans
 from shoplens.streaming.gate_state import gate_stream
 from shoplens.streaming.ingest import ingest, store_rows
 from shoplens.streaming.preference_state import preference_stream
@@ -28,6 +29,13 @@ def event_stream(spark, d):
     return streams.read_files(spark, f"{d}/events.parquet*", streams.EVENTS_SCHEMA)
 
 
+def event_files(spark, d, files=3):
+    """The events as a stream of several files, one a micro-batch, so that state and tables are carried over."""
+    path = scratch_path(spark, "events")
+    A.table(spark, d, "events").repartitionByRange(files, "event_id").write.parquet(path)
+    return streams.read_files(spark, path, streams.EVENTS_SCHEMA, files_per_trigger=1)
+
+
 def _paths(spark, *names):
     root = scratch_path(spark, "stream")
     return [f"{root}/{n}" for n in names]
@@ -51,13 +59,14 @@ UNION ALL SELECT concat('T', event_id // 2), event_id, user_id, product_id, acti
 WHERE action_type NOT IN {tuple(ACTION_TYPES)}""")
 def _(spark, d):
     table, rejects, checkpoint = _paths(spark, "table", "rejects", "checkpoint")
-    actions = A.user_actions_of(event_stream(spark, d)).withColumn(
+    actions = A.user_actions_of(event_files(spark, d)).withColumn(
         "trace_id", F.concat(F.lit("T"), F.call_function("div", F.col("event_id"), F.lit(2))))
+    table = KeyedTable(table, actions.schema, "trace_id", "ts", ("ts", "event_id"), buckets=2, newest_batch_wins=False)
     drain(ingest(actions, tables.action_rules(ACTION_TYPES), table, rejects, checkpoint, once=True))
-    stored = tables.read_current(spark, table, "trace_id", ["ts", "event_id"], actions.schema)
+    stored = table.read(spark)
     columns = ["trace_id", "event_id", "user_id", "product_id", "action_type"]
     return stored.select(*columns, F.lit(True).alias("stored")).unionByName(
-        spark.read.parquet(rejects).select(*columns, F.lit(False).alias("stored")))
+        read_days(spark, rejects, actions.schema, "ts").select(*columns, F.lit(False).alias("stored")))
 
 
 def _taste_table(spark, d, backup=None):
@@ -152,5 +161,5 @@ def _(spark, d):
 @query("anomaly_scan_stream", SPANS, FOUND, sql="SELECT * FROM found")
 def _(spark, d):
     span_log, found, checkpoint = _paths(spark, "spans", "anomalies", "checkpoint")
-    drain(scan_spans(A.spans_of(event_stream(spark, d)), span_log, found, checkpoint, once=True))
-    return spark.read.parquet(found).drop("batch_id")
+    drain(scan_spans(A.spans_of(event_files(spark, d)), span_log, found, checkpoint, once=True))
+    return spark.read.schema(FINDING).parquet(found).drop("batch_id")

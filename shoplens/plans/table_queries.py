@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shoplens.operators import notify, popularity, snapshots, tables
-from shoplens.plans.registry import ACTIONS, NOTIFICATIONS, PRODUCTS, VECTORS, popular_sql, query
+from shoplens.operators import dated, notify, popularity, snapshots, tables
+from shoplens.operators.dated import KeyedTable
+from shoplens.plans.metric_queries import SAMPLES
+from shoplens.plans.registry import ACTIONS, AS_OF_SQL, INVENTORY, NOTIFICATIONS, PRODUCTS, VECTORS, popular_sql, query
 from shoplens.schemas import ACTION_TYPES
 from shoplens.session import durable, scratch_path
 from shoplens.sources import adapters as A
@@ -23,16 +30,19 @@ def shared_traces(spark, d):
          .alias("trace_id"), "event_id", "user_id", "product_id", "action_type", "ts")
 
 
-@query("upsert_behavior", ACTIONS, STORED, sql="""
-SELECT trace_id, event_id, user_id, product_id, action_type FROM shared
-QUALIFY trace_id IS NULL OR row_number() OVER (PARTITION BY trace_id ORDER BY batch DESC, ts DESC, event_id DESC) = 1""")
+@query("upsert_behavior", ACTIONS, STORED, sql=f"""
+SELECT trace_id, event_id, user_id, product_id, action_type FROM (
+  SELECT * FROM shared QUALIFY trace_id IS NULL OR row_number() OVER (PARTITION BY trace_id ORDER BY batch DESC, ts DESC, event_id DESC) = 1)
+WHERE ts >= {AS_OF_SQL} - INTERVAL 7 DAY AND ts <= {AS_OF_SQL}""")
 def _(spark, d):
+    """The last seven days of a table that two batches were merged into; rows of both may share a key on different days."""
     rows, path = shared_traces(spark, d), scratch_path(spark, "behavior")
+    table = KeyedTable(path, rows.schema, "trace_id", "ts", ("ts", "event_id"), buckets=2)
     first = F.col("action_type").isin("VIEW", "CLICK", "SIGNUP")
-    tables.write_batch(rows.filter(first), path, 0)
-    tables.write_batch(rows.filter(~first), path, 1)
-    tables.write_batch(rows.filter(~first), path, 1)  # delivered again: no growth
-    return tables.read_current(spark, path, "trace_id", ["ts", "event_id"], rows.schema).drop("ts")
+    table.merge(rows.filter(first), 0)
+    table.merge(rows.filter(~first), 1)
+    table.merge(rows.filter(~first), 1)  # delivered again: no growth
+    return table.read(spark, A.AS_OF_TIME - dt.timedelta(days=7), A.AS_OF_TIME).drop("ts")
 
 
 @query("save_history", NOTIFICATIONS, sql="""
@@ -41,12 +51,9 @@ SELECT notification_id, event_id, user_id, notification_type,
 QUALIFY row_number() OVER (PARTITION BY notification_id ORDER BY ts DESC, event_id DESC) = 1""")
 def _(spark, d):
     rows = notify.delivery_history(A.notifications(spark, d), F.col("ts"))
-    path, target = scratch_path(spark, "history"), scratch_path(spark, "history-compacted")
-    order = ["ts", "event_id"]
-    tables.write_batch(rows, path, 0)
-    tables.compact(spark, path, target, "notification_id", order, rows.schema)
-    return tables.read_current(spark, target, "notification_id", order, rows.schema).select(
-        "notification_id", "event_id", "user_id", "notification_type", "status")
+    table = KeyedTable(scratch_path(spark, "history"), rows.schema, "notification_id", "ts", ("ts", "event_id"), buckets=2)
+    table.merge(rows, 0)
+    return table.read(spark).select("notification_id", "event_id", "user_id", "notification_type", "status")
 
 
 @query("dead_letter", ACTIONS, sql=f"""
@@ -107,15 +114,29 @@ def _(spark, d):
         "key", "b.notification_id", "b.event_id", "b.notification_type", F.array_join("b.channels", ",").alias("channels"))
 
 
-@query("retention", ACTIONS, sql="""
-SELECT 'user_actions' AS topic, count(*) AS kept FROM ua WHERE ts >= TIMESTAMP '2024-01-24 00:00:00'
-UNION ALL SELECT 'dead_letters', count(*) FROM ua WHERE ts >= TIMESTAMP '2024-01-01 00:00:00'
-UNION ALL SELECT 'metrics', count(*) FROM ua WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'""")
+def _kept_sql(topic, table, ts, days, where="true"):
+    return f"SELECT '{topic}' AS topic, count(*) AS kept FROM {table} WHERE {where} AND {ts} >= {AS_OF_SQL} - INTERVAL {days} DAY"
+
+
+@query("retention", ACTIONS, INVENTORY, NOTIFICATIONS, SAMPLES, sql=" UNION ALL ".join([
+    _kept_sql("user_actions", "ua", "ts", 7), _kept_sql("inventory_events", "inv", "ts", 7), _kept_sql("notifications", "notes", "ts", 1),
+    _kept_sql("dead_letters", "ua", "ts", 30, f"action_type NOT IN {tuple(ACTION_TYPES)}"), _kept_sql("logs", "events", "ts", 7),
+    _kept_sql("metrics", "samples", "make_timestamp(at_sec * 1000000)", 15)]))
 def _(spark, d):
-    rows = A.user_actions(spark, d)
-    parts = [tables.retention(rows, "ts", A.as_of(), tables.RETENTION_DAYS[t]).agg(F.count("*").alias("kept"))
-             .select(F.lit(t).alias("topic"), "kept") for t in ("user_actions", "dead_letters", "metrics")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Six topics as logs by day; days beyond a topic's period are removed, and what is left of them is read back."""
+    actions = A.user_actions(spark, d)
+    topics = {
+        "user_actions": actions, "inventory_events": A.inventory_events(spark, d), "notifications": A.notifications(spark, d),
+        "dead_letters": tables.split_rejects(actions, tables.action_rules(ACTION_TYPES))[1],
+        "logs": A.log_lines(spark, d).withColumn("ts", F.col("ingested_at")), "metrics": A.metric_samples(spark, d)}
+    counts = []
+    for topic, rows in topics.items():
+        path, first = scratch_path(spark, topic), A.AS_OF_TIME - dt.timedelta(days=tables.RETENTION_DAYS[topic])
+        dated.append_days(rows, path, "ts")
+        dated.drop_before(spark, path, first.date())
+        left = dated.read_days(spark, path, T.StructType([rows.schema["ts"]]), "ts", since=first)
+        counts.append(left.agg(F.count("*").alias("kept")).select(F.lit(topic).alias("topic"), "kept"))
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query("apply_changes", """

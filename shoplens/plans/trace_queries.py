@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import actions as FA
 from shoplens.functions import spans as FS
-from shoplens.operators import filters, logs, reports, topk, traces
+from shoplens.operators import dated, filters, logs, reports, topk, traces
 from shoplens.plans.registry import ANOMALIES, SPANS, query
 from shoplens.schemas import ANOMALY_TYPES, SEVERITIES
 from shoplens.session import scratch_path
@@ -30,12 +30,26 @@ def _(spark, d):
     return _flat(traces.trace_summary(A.spans(spark, d)))
 
 
-@query("search_traces", SPANS, SUMMARY, sql="""
+# The longest trace that the given spans may form; what is read back around a window.
+LONGEST_US = 60_000_000
+
+
+def stored_spans(spark, d):
+    """The given spans as a log by the hour, and their schema."""
+    path, spans = scratch_path(spark, "spans"), A.spans(spark, d)
+    dated.append_spans(spans, path)
+    return path, spans.schema
+
+
+@query("search_traces", SPANS, SUMMARY, sql=f"""
 SELECT * FROM summary WHERE services LIKE '%view-service%' AND duration_us BETWEEN 300000 AND 700000
+  AND start_us BETWEEN {A.TRACE_EPOCH_US + 100_000_000} AND {A.TRACE_EPOCH_US + 7_300_000_000}
 ORDER BY start_us DESC, trace_id LIMIT 20""")
 def _(spark, d):
-    found = traces.search_traces(traces.trace_summary(A.spans(spark, d)), service="view-service",
-                                 min_us=300_000, max_us=700_000)
+    """Two hours of a span log."""
+    log, schema = stored_spans(spark, d)
+    found = traces.search_stored_traces(spark, log, schema, A.TRACE_EPOCH_US + 100_000_000, A.TRACE_EPOCH_US + 7_300_000_000,
+                                        LONGEST_US, service="view-service", min_us=300_000, max_us=700_000)
     return _flat(found)
 
 
@@ -125,7 +139,8 @@ def _(spark, d):
 SELECT found.* FROM found WHERE NOT EXISTS (
   SELECT 1 FROM stored s WHERE s.trace_id = found.trace_id AND s.type = found.type AND NOT s.is_bookmark)""")
 def _(spark, d):
-    return traces.anomaly_scan(A.spans(spark, d), A.anomalies(spark, d), until_us=SCAN_UNTIL_US)
+    log, schema = stored_spans(spark, d)
+    return traces.scan_stored_traces(spark, log, schema, A.anomalies(spark, d), SCAN_UNTIL_US, longest_us=LONGEST_US)
 
 
 @query("new_anomalies_only", SPANS, ANOMALIES, """

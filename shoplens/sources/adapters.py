@@ -5,11 +5,14 @@ Every derivation is row-local or a plain join/aggregation, so the frames scale w
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Instant the time-relative operators are evaluated at on the given data.
 AS_OF = "2024-01-31 00:00:00"
+AS_OF_TIME = dt.datetime.fromisoformat(AS_OF)
 
 SPANS_PER_TRACE = 8
 TRACE_EPOCH_US = 1_706_000_000_000_000

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shoplens.operators import notify, traces
+from shoplens.operators import dated, notify, traces
 from shoplens.operators.interest import (
     PRICE_DROP_DAYS, RESTOCK_ACTIONS, price_drop_targets, relevant_actions, restock_targets)
 from shoplens.operators.tables import write_batch
@@ -49,33 +49,33 @@ def log_attempts(events: DataFrame, actions: Callable[[], DataFrame], path: str,
     return start_batches(events, detect, checkpoint, once=once)
 
 
+FINDING = T.StructType([
+    T.StructField("trace_id", T.StringType()), T.StructField("type", T.StringType()), T.StructField("severity", T.StringType()),
+    T.StructField("service_name", T.StringType()), T.StructField("operation_name", T.StringType()),
+    T.StructField("duration_ms", T.LongType()), T.StructField("threshold_ms", T.LongType()),
+    T.StructField("error_message", T.StringType()), T.StructField("span_count", T.LongType()),
+])
+
+
 def scan_spans(spans: DataFrame, span_log: str, anomaly_log: str, checkpoint: str, *,
-               lookback_minutes: int | None = None, once: bool = False) -> StreamingQuery:
-    """Store spans, look at every trace the micro-batch touches as a whole, and store what is new.
+               longest_us: int = traces.LONGEST_TRACE_US, once: bool = False) -> StreamingQuery:
+    """Store spans by the hour, look at every trace the micro-batch touches as a whole, and store what is new.
 
-    With `lookback_minutes`, only spans that start at most so long before the micro-batch are read back, which lets
-    the reader skip the rest of the log; it must be longer than any trace.
+    No trace may last longer than `longest_us`, so only the hours so long before and after the micro-batch are read back.
     """
 
     def scan(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        write_batch(batch, span_log, batch_id)
-        log = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(span_log)
-        touched = log.filter(F.col("batch_id") == batch_id).select("trace_id").distinct()
-        stored = log.filter(F.col("batch_id") <= batch_id)
-        if lookback_minutes is not None:
-            first = log.filter(F.col("batch_id") == batch_id).agg(F.min("start_us")).first()[0]
-            stored = stored.filter(F.col("start_us") >= F.lit((first or 0) - lookback_minutes * 60_000_000))
-        whole = stored.join(touched, "trace_id", "left_semi")
-        found = traces.find_anomalies(whole)
-        try:
-            known = spark.read.parquet(anomaly_log).filter(F.col("batch_id") < batch_id)
-        except Exception as e:  # the first batch has no log yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            known = None
-        if known is not None:
-            found = traces.new_anomalies_only(found, known.withColumn("is_bookmark", F.lit(False)))
-        write_batch(found, anomaly_log, batch_id)
+        dated.append_spans(batch, span_log, batch_id)
+        first, last = batch.agg(F.min("start_us"), F.max("start_us")).first()
+        found = spark.createDataFrame([], FINDING)
+        if first is not None:
+            touched = batch.select("trace_id").distinct()
+            near = dated.spans_between(spark, span_log, batch.schema, first, last, longest_us, batch_id)
+            found = traces.find_anomalies(near.join(touched, "trace_id", "left_semi"))
+        if dated.exists(spark, anomaly_log):
+            known = spark.read.schema(T.StructType([*FINDING.fields, T.StructField("batch_id", T.LongType())])).parquet(anomaly_log)
+            found = traces.new_anomalies_only(found, known.where(F.col("batch_id") < batch_id).withColumn("is_bookmark", F.lit(False)))
+        write_batch(found.select(*FINDING.fieldNames()), anomaly_log, batch_id)
 
     return start_batches(spans, scan, checkpoint, once=once)

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from shoplens.operators.dated import KeyedTable, append_days
 from shoplens.operators.tables import split_rejects, write_batch
 from shoplens.streaming.runner import start_batches
 
 
-def ingest(actions: DataFrame, rules: dict[str, Column], table: str, rejects: str, checkpoint: str, *,
+def ingest(actions: DataFrame, rules: dict[str, Column], table: KeyedTable, rejects: str, checkpoint: str, *,
            once: bool = False) -> StreamingQuery:
-    """Each micro-batch becomes one batch of the table and one of the rejects, under the same id.
+    """Each micro-batch is merged into the table, partition by partition, and its rejects are appended by day.
 
     The checkpoint takes the place of the consumer's commit: it advances only after both writes.
     """
@@ -22,8 +23,8 @@ def ingest(actions: DataFrame, rules: dict[str, Column], table: str, rejects: st
         batch = batch.persist()
         try:
             good, bad = split_rejects(batch, rules)
-            write_batch(good, table, batch_id)
-            write_batch(bad, rejects, batch_id)
+            table.merge(good, batch_id)
+            append_days(bad, rejects, table.ts, batch_id)
         finally:
             batch.unpersist()
 

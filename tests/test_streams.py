@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shoplens.operators.dated import KeyedTable
 from shoplens.operators import gates, tables, traces
 from shoplens.operators import preferences as P
 from shoplens.schemas import ACTION_TYPES
@@ -42,14 +43,13 @@ def batches(spark, path):
 
 
 def test_ingest_is_idempotent(spark, stream, tmp_path):
-    table, rejects = str(tmp_path / "t"), str(tmp_path / "r")
     actions = A.user_actions_of(stream)
+    table, rejects = KeyedTable(str(tmp_path / "t"), actions.schema, "trace_id", "ts", ("ts", "event_id"), buckets=2), str(tmp_path / "r")
     for run in ("one", "two"):  # the second run starts over, as after a lost checkpoint
         drain(ingest(actions, tables.action_rules(ACTION_TYPES), table, rejects, str(tmp_path / run), once=True))
+        assert [len(table.touched_by(spark, k)) > 0 for k in range(FILES + 1)] == [True] * FILES + [False]
     good, bad = tables.split_rejects(A.user_actions(spark, SF), tables.action_rules(ACTION_TYPES))
-    current = tables.read_current(spark, table, "trace_id", ["ts", "event_id"], actions.schema)
-    assert current.count() == good.count() and spark.read.parquet(rejects).count() == bad.count()
-    assert batches(spark, table) == FILES
+    assert table.read(spark).count() == good.count() and spark.read.parquet(rejects).count() == bad.count()
 
 
 def test_taste_state_equals_the_fold(spark, stream, tmp_path):
