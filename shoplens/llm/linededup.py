@@ -28,6 +28,8 @@ PIECES = 16
 # Letters whose counts tell candidates apart (in texts without them, they tell nothing apart, and lose nothing); each costs
 # a pass over every line.
 LETTERS = "eta"
+# Classes of letters whose counts tell apart the few lines that meet others.
+CLASSES = ("a", "e", "i", "o", "u", "n", "s", "t", "r", "l", "d", "ch", "mp", "gbf", "vwky", "jqxz\u00e4\u00e9\u00f6\u00fc")
 
 
 # ---- banded bit-parallel edit distance
@@ -137,6 +139,23 @@ def letters_apart(a: Column, b: Column) -> Column:
     return sum((F.abs(one(a, k) - one(b, k)) for k in range(1, len(LETTERS))), F.abs(one(a, 0) - one(b, 0)))
 
 
+def spelling(line: Column) -> Column:
+    """Counts of the letters of each class, modulo 16, in 4 bits each."""
+    packed, n = F.lit(0).cast("long"), F.char_length(line)
+    for letters_of in CLASSES:
+        packed = F.shiftleft(packed, 4) + (n - F.char_length(F.translate(line, letters_of, ""))) % 16
+    return packed
+
+
+def spelt_apart(a: Column, b: Column) -> Column:
+    """A lower bound of the sum of the differences of two lines' counts; an edit adds two at most."""
+    total = F.lit(0)
+    for k in range(len(CLASSES)):
+        d = F.abs(F.shiftrightunsigned(a, 4 * k).bitwiseAND(F.lit(15)) - F.shiftrightunsigned(b, 4 * k).bitwiseAND(F.lit(15)))
+        total = total + F.least(d, 16 - d)
+    return total
+
+
 def mostly_shared(a: Column, b: Column, distance: int) -> Column:
     """A cheap necessary condition: every edit spoils at most one of the PIECES pieces of b, the rest is in a nearby."""
     n, found = F.char_length(b), F.lit(0)
@@ -166,30 +185,48 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS, min_equal: int | No
 def near_lines(firsts: DataFrame, distance: int, min_chars: int) -> DataFrame:
     """(h1, h2) of the distinct lines within `distance` edits of a line that first occurs before them.
 
-    `firsts` has each distinct line once, at its first occurrence.
+    `firsts` has each distinct line once, at its first occurrence. Lines that meet none under a key are left out by a
+    semi-join, which gives no pairs. Of the rest, each is first compared with the earliest line of its keys alone; a line
+    needs one witness, so only pairs whose later line has none yet are compared then. Crowds of lines that share a segment
+    are told apart by letter counts within the joins.
     """
     put, ask, level = keys(distance, min_chars)
     cut = with_segments(firsts.select("h1", "n", "line", letters(F.col("line"), F.col("n")).alias("letters")), distance)
     index = cut.select(F.col("h1").alias("a"), F.col("letters").alias("la"), F.explode(put).alias("key"))
     asked = cut.select(F.col("h1").alias("b"), F.col("letters").alias("lb"), F.posexplode(ask).alias("at", "key")).where("key is not null") \
         .select("b", "lb", F.col("at").isin(level).alias("level"), "key")
-    # Of lines of equal length, it is enough that one asks. Crowds of lines that share a segment, such as those of near
-    # copies, are told apart here already, by their letters.
-    pairs = durable(asked.join(index, "key").where("(level and a < b) or (not level and a <> b)")
-                    .where(letters_apart(F.col("la"), F.col("lb")) <= 2 * distance).select("a", "b").distinct())
-    named = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    texts = durable(firsts.select("h1", "h2", F.struct("doc_id", "k1", "k2", "at").alias("first"), "line")
-                    .join(maybe_broadcast(named, F.lit(16)), "h1"))
-    one = texts.select(F.col("h1").alias("a"), F.col("first").alias("first_a"), F.col("h2").alias("a2"), F.col("line").alias("line_a"))
-    two = texts.select(F.col("h1").alias("b"), F.col("first").alias("first_b"), F.col("h2").alias("b2"), F.col("line").alias("line_b"))
-    row_bytes = F.octet_length("line") + 80
-    small = fits_broadcast(texts, row_bytes)
-    both = pairs.join(F.broadcast(one) if small else one, "a").join(F.broadcast(two) if small else two, "b")
+    # Of lines of equal length, it is enough that one asks.
+    meets = F.when(F.col("level"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b")) \
+        & (letters_apart(F.col("la"), F.col("lb")) <= 2 * distance)
+    met = durable(asked.alias("x").join(index.alias("y"), (F.col("x.key") == F.col("y.key")) & meets, "left_semi").select("b", "level", "key"))
+    held = durable(index.join(maybe_broadcast(met.select("key").distinct(), F.lit(8)), "key", "left_semi").select("a", "key"))
+    named = met.select(F.col("b").alias("h1")).unionAll(held.select("a")).distinct()
+    texts = durable(firsts.select("h1", "h2", F.struct("doc_id", "k1", "k2", "at").alias("first"), "line", spelling(F.col("line")).alias("spelling"))
+                    .join(maybe_broadcast(named, F.lit(8)), "h1"))
+    small = lambda frame: maybe_broadcast(frame, F.lit(96))
+    about = lambda end: small(texts.select(F.col("h1").alias(end), F.col("first").alias(f"first_{end}"), F.col("spelling").alias(f"s{end}")))
+    holders, askers = durable(held.join(about("a"), "a")), durable(met.join(about("b"), "b"))
+    heads = holders.groupBy("key").agg(F.min_by(F.struct("a", "first_a", "sa"), "first_a").alias("head")).select("key", "head.*")
+    one = durable(_near(askers.join(small(heads), "key"), texts, distance))
+    done = one.select(F.col("h1").alias("seen"))
+    mark = lambda frame, end: frame.join(small(done), F.col(end) == F.col("seen"), "left") \
+        .withColumn(f"done_{end}", F.col("seen").isNotNull()).drop("seen")
+    left = mark(askers, "b").join(mark(holders, "a"), "key") \
+        .where(~F.when(F.col("first_a") < F.col("first_b"), F.col("done_b")).otherwise(F.col("done_a")))
+    return one.unionAll(_near(left, texts, distance)).distinct()
+
+
+def _near(candidates: DataFrame, texts: DataFrame, distance: int) -> DataFrame:
+    """(h1, h2) of the later lines of those candidate pairs (a, b) that are within `distance` edits."""
+    alike = F.when(F.col("level"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b")) & (spelt_apart(F.col("sa"), F.col("sb")) <= 2 * distance)
+    pairs = durable(candidates.where(alike).select("a", "b", (F.col("first_a") < F.col("first_b")).alias("a_first")).distinct())
+    side = lambda end: texts.select(F.col("h1").alias(end), F.col("h2").alias(f"{end}2"), F.col("line").alias(f"line_{end}"))
+    hint = F.broadcast if fits_broadcast(texts, F.octet_length("line") + 80) else lambda frame: frame
+    both = pairs.join(hint(side("a")), "a").join(hint(side("b")), "b")
     near = both.where(F.when(mostly_shared(F.col("line_a"), F.col("line_b"), distance),
                              within(F.col("line_a"), F.col("line_b"), distance)).otherwise(False))
-    a_first = F.col("first_a") < F.col("first_b")
-    return near.select(F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("h1"),
-                       F.when(a_first, F.col("b2")).otherwise(F.col("a2")).alias("h2")).distinct()
+    return near.select(F.when(F.col("a_first"), F.col("b")).otherwise(F.col("a")).alias("h1"),
+                       F.when(F.col("a_first"), F.col("b2")).otherwise(F.col("a2")).alias("h2")).distinct()
 
 
 def repeated_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS, min_equal: int | None = None) -> DataFrame:
