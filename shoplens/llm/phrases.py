@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,9 @@ SLAB_BYTES, WORDS = 3 << 20, 400_000
 BREAK, BREAKS = b".", b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans(BREAKS + UPPER.encode(), BREAK * len(BREAKS) + LOWER.encode())
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+# Buckets of phrases for each shuffle partition; rows of a bucket that are held before they are summed.
+BUCKETS, HELD = 4, 1 << 21
+BLOCKS = "bucket long, lang string, size int, block binary"
 # size 0: the number of words of the language.
 COUNTS = "lang string, size int, phrase string, key long, n long"
 
@@ -88,7 +92,7 @@ def marked(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
 def phrase_keys(hashes: np.ndarray, lang: int) -> list[np.ndarray]:
     """For each size, the 64-bit keys of the phrases that begin at each place."""
     state, out = hashes, []
-    for size in range(1, LONGEST + 1):
+    for size in range(1, min(LONGEST, len(hashes)) + 1):
         if size > 1:
             state = state[:-1] * STEP + hashes[size - 1:]
         key = (state ^ np.uint64(lang)) * MIX
@@ -139,41 +143,108 @@ def count_slab(ids: np.ndarray, words: Words, lang: int, proposed: np.ndarray |
         yield size, [ids[at + k] for k in range(size)], keys[size - 1][at], times
 
 
-def counting(proposed, counted):
-    """Over rows of (lang, text): rows of COUNTS, a phrase once for each slab that holds it."""
+def packed(times: np.ndarray, phrases: pa.Array) -> tuple[bytes, ...]:
+    """Counts, lengths and letters of phrases that stand in one row of bytes each."""
+    ends = np.frombuffer(phrases.buffers()[1], np.int32)[phrases.offset:phrases.offset + len(phrases) + 1]
+    letters = memoryview(phrases.buffers()[2] or b"")[ends[0]:ends[-1]]
+    return np.uint32(len(times)).tobytes(), times.astype("<u4").tobytes(), np.diff(ends).astype("<u4").tobytes(), letters
+
+
+def unpacked(block: bytes) -> pa.Table:
+    n = int(np.frombuffer(block, "<u4", 1)[0])
+    times = np.frombuffer(block, "<u4", n, 4).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(block, "<u4", n, 4 + 4 * n))]).astype(np.int64)
+    phrases = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(block[4 + 8 * n:])])
+    return pa.table({"phrase": phrases, "n": times})
+
+
+def counting(proposed, counted, buckets: int):
+    """Over rows of (lang, text): rows of BLOCKS, a phrase once for each slab that holds it.
+
+    Most phrases of the border are rare, so they are many: they travel as compressed blocks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, old = (None if b is None else b.value for b in (proposed, counted))
+        compress = zstandard.ZstdCompressor(level=1).compress
         known: dict[str, Words] = {}
+
+        def blocks(lang: str, words: Words, slab: bytes) -> Iterator[pa.RecordBatch]:
+            tokens = slab.replace(BREAK, b" . ").split()
+            ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+            names = pa.array(words.names, pa.binary())
+            for size, columns, keys, times in count_slab(ids, words, xxhash.xxh64_intdigest(lang), bits, old):
+                bucket = (keys % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                spoken = [names.take(pa.array(c[order])) for c in columns]
+                phrase = pc.binary_join_element_wise(*spoken, b" ") if len(spoken) > 1 else spoken[0] if spoken else pa.array([b""], pa.binary())
+                used, first = np.unique(bucket[order], return_index=True)
+                ends, times = [*first[1:].tolist(), len(times)], times[order]
+                made = [compress(b"".join(packed(times[i:j], phrase.slice(i, j - i)))) for i, j in zip(first.tolist(), ends)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used), pa.array([lang] * len(used)), pa.array(np.full(len(used), size, np.int32)), pa.array(made, pa.binary())],
+                    ["bucket", "lang", "size", "block"])
+
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            texts = batch.column("text").to_pylist()
+            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
             for lang in dict.fromkeys(langs):
-                seed = xxhash.xxh64_intdigest(lang)
                 for slab in slabs([t for t, x in zip(texts, langs) if x == lang]):
-                    words = known.setdefault(lang, Words())
-                    tokens = slab.replace(BREAK, b" . ").split()
-                    ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
-                    names = pa.array(words.names, pa.binary())
-                    for size, columns, keys, times in count_slab(ids, words, seed, bits, old):
-                        spoken = [names.take(pa.array(c)) for c in columns]
-                        phrase = pc.binary_join_element_wise(*spoken, b" ") if len(spoken) > 1 else spoken[0] if spoken else pa.array([b""])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang]).take(pa.array(np.zeros(len(times), np.int64))), pa.array(np.full(len(times), size, np.int32)),
-                             phrase.cast(pa.string()), pa.array(keys.view(np.int64)), pa.array(times.astype(np.int64))],
-                            ["lang", "size", "phrase", "key", "n"])
+                    yield from blocks(lang, known.setdefault(lang, Words()), slab)
                     if sum(map(len, known.values())) > WORDS:
                         known = {}
 
     return run
 
 
+def summing(min_count: int):
+    """Over rows of BLOCKS sorted by bucket: rows of COUNTS, each phrase once, if it occurs `min_count` times."""
+
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by("phrase").aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
+
+    def rows(held: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, size), tables in held.items():
+            whole = summed(tables)
+            if size:
+                whole = whole.filter(pc.greater_equal(whole.column("n"), min_count))
+            spoken = whole.column("phrase").to_pylist()
+            if not spoken:
+                continue
+            words = np.array([[xxhash.xxh64_intdigest(w) for w in p.split(b" ")] for p in spoken], np.uint64)
+            seed = xxhash.xxh64_intdigest(lang)
+            keys = phrase_keys(words.T, seed)[-1][0] if size else np.zeros(len(spoken), np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(spoken), pa.string()), pa.array(np.full(len(spoken), size, np.int32)),
+                 pa.array(spoken, pa.binary()).cast(pa.string()), pa.array(keys.view(np.int64)), pa.array(whole.column("n").to_numpy())],
+                ["lang", "size", "phrase", "key", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor().decompress
+        held, size, limit, key = {}, 0, HELD, None
+        for batch in batches:
+            for bucket, lang, words, block in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket != key:
+                    yield from rows(held)
+                    held, size, limit, key = {}, 0, HELD, bucket
+                table = unpacked(expand(block))
+                held.setdefault((lang, words), []).append(table)
+                size += len(table)
+                if size > limit:
+                    held = {k: [summed(t)] for k, t in held.items()}
+                    size = sum(len(t) for t, in held.values())
+                    limit = max(HELD, 2 * size)
+        yield from rows(held)
+
+    return run
+
+
 # ---- jobs
 
 
-def _counts(texts: DataFrame, proposed=None, counted=None) -> DataFrame:
-    rows = texts.mapInArrow(counting(proposed, counted), COUNTS)
-    return rows.groupBy("lang", "size", "phrase", "key").agg(F.sum("n").alias("n"))
+def _counts(texts: DataFrame, min_count: int, proposed=None, counted=None) -> DataFrame:
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = texts.mapInArrow(counting(proposed, counted, BUCKETS * parts), BLOCKS)
+    return blocks.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(summing(min_count), COUNTS)
 
 
 def bits_of(found: DataFrame) -> np.ndarray:
@@ -195,11 +266,11 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, one_in: int = SAMPLE_O
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_or_empty().alias("text"), F.xxhash64("doc_id", "text").alias("draw"))
     sample = texts.where(F.pmod("draw", F.lit(one_in)) == 0).select("lang", "text")
     texts = texts.select("lang", "text")
-    proposed = bits_of(_counts(sample).where(F.col("n") >= max(2, min_count // (2 * one_in))))
+    proposed = bits_of(_counts(sample, max(2, min_count // (2 * one_in))))
     counted, found = None, None
     while True:
         shared = [None if b is None else spark.sparkContext.broadcast(b) for b in (proposed, counted)]
-        new = durable(_counts(texts, *shared).where((F.col("n") >= min_count) | (F.col("size") == 0)))
+        new = durable(_counts(texts, min_count, *shared))
         for b in shared:
             if b is not None:
                 b.unpersist()
