@@ -345,7 +345,7 @@ def plain_lm(rows):
 @pytest.mark.parametrize("frequent", [lm.FREQUENT, 3])
 def test_lm_base(docs, given, nothing, monkeypatch, frequent):
     monkeypatch.setattr(lm, "FREQUENT", frequent)
-    monkeypatch.setattr(lm, "STEPS", 5)
+    monkeypatch.setattr(lm, "LEAST_STEPS", 5)
     got = lm.score(docs, RANKS).collect()
     key = lambda r: tuple((x is None, x) for x in r[:4]) + (round(r[5], 6),)
     for mine, want in zip(sorted(map(tuple, got), key=key), sorted(plain_lm(given), key=key), strict=True):
@@ -359,21 +359,39 @@ def test_lm_beats_the_base_on_held_out_documents(spark):
     assert got["s"] > got["b"]
 
 
+def test_lm_does_not_depend_on_the_files(spark, monkeypatch):
+    """Several shards, and the same scores whatever the order of rows and the number of partitions."""
+    monkeypatch.setattr(lm, "SHARD", 100)
+    monkeypatch.setattr(lm, "LEAST_STEPS", 5)
+    rows = spark.read.parquet(f"{SF}/documents.parquet")
+    one, two = ({r["doc_id"]: r["score"] for r in lm.score(d, RANKS).collect()} for d in (rows.coalesce(1), rows.orderBy(F.desc("n_chars")).repartition(7)))
+    assert one.keys() == two.keys() and all(math.isclose(one[k], two[k], rel_tol=1e-6) for k in one)
+
+
+def test_words_that_begin_alike_share_what_their_first_subword_gets():
+    """What known words get for their counts, and what discounts leave for spellings, adds up to one."""
+    counts, first = np.array([5.0, 1.0, 3.0]), 0.25
+    begun, words = counts.sum(), len(counts)
+    left = lm.DISCOUNT * words / begun
+    assert math.isclose(first * ((counts - lm.DISCOUNT) / begun).sum() + first * left, first)
+
+
 def test_attention_sees_only_the_past_and_scores_each_place_once():
     sizes = np.array([1, 30, 200])
     ids = np.arange(231)
     inputs, targets, places = lm.windows(ids, sizes, 999)
     assert sorted(places[places >= 0]) == list(range(231))
     rng = np.random.default_rng(1)
-    own, classes = rng.integers(0, lm.OWN, 1000), rng.integers(0, lm.CLASSES, 1000)
-    model = lm.Attention.fresh(own, classes, np.zeros(1000), np.full(lm.CLASSES, 1 / lm.CLASSES))
+    own, experts = rng.integers(0, lm.OWN, 1000), rng.random((1000, lm.EXPERTS))
+    model = lm.Attention.fresh(own, (experts / experts.sum(axis=0)).astype(np.float32), np.full(lm.EXPERTS, 1 / lm.EXPERTS))
     model.tables()
     one = model.score(ids, sizes, 999)
     later = ids.copy()
     later[100:] = 5
     assert np.allclose(one[:100], model.score(later, sizes, 999)[:100], atol=1e-5)
-    loss, g = model.gradients(inputs, targets)
+    loss, g, held = model.gradients(inputs, targets)
     assert math.isclose(loss, -one.mean(), rel_tol=1e-4)
+    assert np.allclose(held.sum(axis=2), targets[:, lm.CONTEXT:] >= 0, atol=1e-4)
     for name in model.NAMES:
         at = np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
         held, losses = model.p[name][at], []
