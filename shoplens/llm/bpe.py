@@ -25,7 +25,7 @@ from shoplens.llm.perfect_hash import PerfectHash
 
 # Bytes of the pieces and words that a worker remembers, what an entry takes besides its characters and ids, and the
 # characters beyond which a word is not remembered.
-PIECES, WORDS = 80 << 20, 64 << 20
+PIECES, WORDS = 160 << 20, 48 << 20
 ENTRY, REMEMBERED = 220, 64
 
 
