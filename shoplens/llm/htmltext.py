@@ -1,11 +1,11 @@
 """Main text of web pages by composite text density.
 
-A page is read into a tree. Every node has a density, its characters per tag, turned down the more of its characters and
-tags are links; the node whose children's densities have the largest sum is the centre of the main text. The smallest
-density on the way from the body to it is the threshold: what is beside the way belongs to the text if it is a heading or
-anything else, of whatever tag, that reaches it. Where the page marks the centre as part of an <article> or <main>, that
-element is the text whatever the densities in it. Elements that are never main text (menus, forms, comments, ...)
-are cut off first, by tag, role or class.
+A page is read into a tree, character by character once, by HTML's rules for tags, attributes, comments and raw text. What is
+never main text by its tag, role or class (menus, forms, reader comments, ...) is cut off. Every node has a density, its
+characters per tag, turned down the more of its characters and tags are links; inside an article or main element it weighs
+more. The node whose children's densities have the largest sum is the centre of the main text. The smallest density on the
+way from the body to it is the threshold: what is beside the way, of whatever tag, belongs to the text if it reaches the
+threshold, or leads to the centre as a heading; beyond the article or main element of the centre it must reach twice that.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +35,8 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
         "option": ({"option"}, {"select", "datalist"})}
 HEAD = frozenset("title meta link style script base noscript template".split())
 HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
+# Elements that form words, not parts of a page: no tags to the density, and never a centre.
+FORM_WORDS = frozenset("b i em strong u s strike small big sub sup mark br wbr code abbr cite q time font kbd var ins del span".split())
 # Never main text, by tag, role or class.
 CUT_TAGS = frozenset("nav header footer aside form button select dialog menu head object canvas audio video".split()) | RAW
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -44,45 +48,106 @@ CUT_NAMES = re.compile(
 COMMENT_NAMES = re.compile(r"(?:comment|repl(?:y|ies))s?(?:[-_]\w[\w-]*)?", re.ASCII | re.I)
 KEPT_TAGS = frozenset({"html", "body", "main"})
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+# What the densities of nodes in an article or main element count, and how many thresholds what lies outside of it must reach.
+MARKED, OUTSIDE = 1.5, 2.0
+# Names that cut an element only outside of an article, and the deepest nesting; deeper elements are put beside each other.
+PAGE_NAMES = re.compile(r"(?:header|masthead|banner\w*)(?:[-_]\w[\w-]*)?", re.ASCII | re.I)
+DEEPEST = 512
+MARKS = {"main": 1, "article": 2}
+
+TAG_NAME, BEFORE_NAME, NAME = re.compile(r"[a-zA-Z][^\s/>]*"), re.compile(r"[\s/]*"), re.compile(r"=?[^\s/>=]*")
+EQUALS, UNQUOTED = re.compile(r"\s*=\s*"), re.compile(r"[^\s>]*")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "attributes", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "marked")
 
-    def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
-        self.tag, self.parent, self.attributes = tag, parent, attributes
+    def __init__(self, tag: str, parent: Node | None, attributes: dict[str, str] | None = None):
+        self.tag, self.parent, self.attributes = tag, parent, attributes or {}
         self.children: list[Node | str] = []
 
 
+def attributes_at(page: str, at: int) -> tuple[dict[str, str], int]:
+    """Attributes of a tag from behind its name, and the place behind its end; -1 if the page ends within it."""
+    found: dict[str, str] = {}
+    while True:
+        at = BEFORE_NAME.match(page, at).end()
+        if at >= len(page):
+            return found, -1
+        if page[at] == ">":
+            return found, at + 1
+        name = NAME.match(page, at)
+        at = name.end()
+        value = ""
+        if (equals := EQUALS.match(page, at)) is not None:
+            at = equals.end()
+            if at < len(page) and page[at] in "\"'":
+                end = page.find(page[at], at + 1)
+                if end < 0:
+                    return found, -1
+                value, at = page[at + 1:end], end + 1
+            else:
+                plain = UNQUOTED.match(page, at)
+                value, at = plain[0], plain.end()
+        found.setdefault(name[0].lower(), value)
+
+
 def parse(page: str) -> Node:
-    """The tree of a page; forgiving about missing and superfluous end tags."""
+    """The tree of a page; forgiving about missing and superfluous end tags. A tag that the page ends in is left out."""
     root = Node("html", None)
-    stack, at = [root], 0
+    stack, at, text = [root], 0, 0
+    opened = Counter()
     while True:
-        token = TOKEN.search(page, at)
-        if token is None:
-            _text(stack[-1], page[at:])
+        begin = page.find("<", at)
+        if begin < 0 or begin + 1 >= len(page):
+            _text(stack[-1], page[text:])
             return root
-        _text(stack[-1], page[at:token.start()])
-        at = token.end()
-        if not token[2]:
+        after = page[begin + 1]
+        closes = after == "/"
+        name = TAG_NAME.match(page, begin + 1 + closes)
+        if name is None:
+            if after not in "!?/":
+                at = begin + 1  # a mere sign
+                continue
+            _text(stack[-1], page[text:begin])
+            end = page.find("-->", begin + 4) + 2 if page.startswith("<!--", begin) else page.find(">", begin)
+            if end < (begin + 4 if page.startswith("<!--", begin) else 0):
+                return root
+            at = text = end + 1
             continue
-        tag = token[2].lower()
-        if token[1]:
-            _close(stack, tag)
+        attributes, at = attributes_at(page, name.end())
+        _text(stack[-1], page[text:begin])
+        if at < 0:
+            return root
+        text = at
+        tag = name[0].lower()
+        if closes:
+            if opened[tag] > 0:
+                _close(stack, tag, opened)
             continue
-        _make_room(stack, tag)
-        node = Node(tag, stack[-1], token[3])
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        _make_room(stack, tag, opened)
+        if tag in ("html", "body") and (tag == "html" or opened[tag]):
             continue
+        node = Node(tag, stack[-1], attributes)
         stack[-1].children.append(node)
-        if tag in RAW and not (tag in ("svg", "math") and token[3].rstrip().endswith("/")):
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-        elif tag not in VOID:
+        if tag in RAW and not (tag in ("svg", "math") and page[at - 2] == "/"):
+            end = raw_end(tag).search(page, at)
+            at = text = end.end() if end else len(page)
+        elif tag not in VOID and len(stack) < DEEPEST:
             stack.append(node)
+            opened[tag] += 1
+
+
+@lru_cache(maxsize=None)
+def raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I)
+
+
+def _drop(stack: list[Node], k: int, opened: Counter) -> None:
+    """Close the open elements from place k on."""
+    for node in stack[k:]:
+        opened[node.tag] -= 1
+    del stack[k:]
 
 
 def _text(node: Node, text: str) -> None:
@@ -90,61 +155,72 @@ def _text(node: Node, text: str) -> None:
         node.children.append(html.unescape(text))
 
 
-def _make_room(stack: list[Node], tag: str) -> None:
-    if len(stack) > 1 and stack[1].tag == "head" and tag not in HEAD or tag == "body":
-        del stack[1:]
+def _make_room(stack: list[Node], tag: str, opened: Counter) -> None:
+    if len(stack) > 1 and stack[1].tag == "head" and tag not in HEAD or tag == "body" and not opened["body"]:
+        _drop(stack, 1, opened)
     if tag in ENDS:
         ended, bounds = ENDS[tag]
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in bounds:
                 break
             if stack[k].tag in ended:
-                del stack[k:]
+                _drop(stack, k, opened)
                 break
-    if tag in BLOCK:
+    if tag in BLOCK and opened["p"]:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag == "p":
-                del stack[k:]
+                _drop(stack, k, opened)
                 break
             if stack[k].tag in BLOCK:
                 break
 
 
-def _close(stack: list[Node], tag: str) -> None:
+def _close(stack: list[Node], tag: str, opened: Counter) -> None:
     for k in range(len(stack) - 1, 0, -1):
         if stack[k].tag == tag:
             # An inline end tag doesn't end the blocks that were opened in it.
             if tag in BLOCK or not any(n.tag in BLOCK for n in stack[k + 1:]):
-                del stack[k:]
+                _drop(stack, k, opened)
             else:
+                opened[tag] -= 1
                 del stack[k]
             return
         if stack[k].tag in ("td", "th", "article", "main", "body") and tag not in ("table", "tr", "tbody", "article", "main", "body", "html", "section", "div"):
             return
 
 
-def boilerplate(node: Node) -> bool:
+def boilerplate(node: Node, marked: bool) -> bool:
+    """Is the element never main text? `marked`: it lies in an article, where a header is the article's."""
     if node.tag in KEPT_TAGS:
         return False
     if node.tag in CUT_TAGS:
-        return True
-    if not node.attributes:
+        return not (marked and node.tag == "header")
+    found = node.attributes
+    if not found:
         return False
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(node.attributes)}
     names = f"{found.get('class', '')} {found.get('id', '')}".split()
     if node.tag == "article":
         return any(COMMENT_NAMES.fullmatch(n) for n in names)
-    return "hidden" in found or found.get("role", "").lower() in CUT_ROLES or any(CUT_NAMES.fullmatch(n) for n in names)
+    cut = any(CUT_NAMES.fullmatch(n) and not (marked and PAGE_NAMES.fullmatch(n)) for n in names)
+    return cut or "hidden" in found or found.get("role", "").lower() in CUT_ROLES
 
 
 def prune(root: Node) -> list[Node]:
     """Cut boilerplate off; the rest in page order, parents first."""
     order, todo = [], [root]
+    root.marked = MARKS.get(root.tag, 0)
     while todo:
         node = todo.pop()
         order.append(node)
-        node.children = [c for c in node.children if isinstance(c, str) or not boilerplate(c)]
-        todo += [c for c in reversed(node.children) if isinstance(c, Node)]
+        kept = []
+        for c in node.children:
+            if not isinstance(c, str):
+                if boilerplate(c, node.marked == MARKS["article"]):
+                    continue
+                c.marked = max(node.marked, MARKS.get(c.tag, 0))
+            kept.append(c)
+        node.children = kept
+        todo += [c for c in reversed(kept) if isinstance(c, Node)]
     return order
 
 
@@ -153,16 +229,16 @@ def measure(order: list[Node], body: Node) -> None:
     for node in reversed(order):
         inner = [c for c in node.children if isinstance(c, Node)]
         node.chars = sum(len("".join(c.split())) for c in node.children if isinstance(c, str)) + sum(c.chars for c in inner)
-        node.tags = sum(c.tags + 1 for c in inner)
+        node.tags = sum(c.tags + (c.tag not in FORM_WORDS) for c in inner)
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags + 1
         else:
             node.link_chars, node.link_tags = sum(c.link_chars for c in inner), sum(c.link_tags for c in inner)
     share = body.link_chars / max(1, body.chars)
     for node in order:
-        node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, share)
+        node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, share) * (MARKED if node.marked else 1.0)
     for node in order:
-        node.total = sum(c.density for c in node.children if isinstance(c, Node))
+        node.total = 0.0 if node.tag in FORM_WORDS else sum(c.density for c in node.children if isinstance(c, Node) and c.tag not in FORM_WORDS)
 
 
 def density(chars: int, tags: int, link_chars: int, link_tags: int, body_share: float) -> float:
@@ -200,13 +276,10 @@ def main_text(page: str) -> str:
     body = next((n for n in prune(root) if n.tag == "body"), root)
     inside = prune(body)
     measure(inside, body)
-    # Where the page marks articles, the centre is sought in them; the innermost of equals is taken.
-    marked = set()
-    for n in inside:
-        if n.tag in ("article", "main") or n.parent in marked:
-            marked.add(n)
-    chosen = [n for n in inside if n in marked and n.chars] or inside
-    centre = max(reversed(chosen), key=lambda n: n.total)
+    # The innermost of equals is taken.
+    centre = max(reversed(inside), key=lambda n: n.total)
+    if not centre.total:
+        return "\n\n".join(blocks([body]))
     path, node = [], centre
     while node is not None:
         path.append(node)
@@ -214,25 +287,22 @@ def main_text(page: str) -> str:
             break
         node = node.parent
     threshold = min((n.density for n in path if n.chars), default=0.0)
-    article = next((n for n in path if n.tag in ("article", "main")), None)
-    if article is not None:
-        return "\n\n".join(blocks([article]))
-    if not centre.total:
-        return "\n\n".join(blocks([body]))
-    # Without an article, headings that lead to the centre and all that is dense enough beside it belong to it.
     parts: list[Node | str] = [centre]
     for below, above in zip(path, path[1:]):
         at = next(k for k, c in enumerate(above.children) if c is below)
-        parts = [c for c in above.children[:at] if _belongs(c, threshold)] + parts + \
-            [c for c in above.children[at + 1:] if _belongs(c, threshold)]
+        # The way has left the article or main element of the centre.
+        least = threshold * (OUTSIDE if centre.marked and not above.marked else 1.0)
+        inner = bool(centre.marked) == bool(above.marked)
+        parts = [c for c in above.children[:at] if _belongs(c, least, inner)] + parts + \
+            [c for c in above.children[at + 1:] if _belongs(c, least, inner)]
     return "\n\n".join(blocks(parts))
 
 
-def _belongs(item: Node | str, threshold: float) -> bool:
+def _belongs(item: Node | str, least: float, heading: bool) -> bool:
     if isinstance(item, str):
         chars = len("".join(item.split()))
-        return chars > 0 and density(chars, 1, 0, 0, 0.0) >= threshold
-    return item.tag in HEADINGS or item.density > 0 and item.density >= threshold
+        return chars > 0 and density(chars, 1, 0, 0, 0.0) >= least
+    return heading and (item.tag in HEADINGS or item.tag == "header" and item.chars > 0) or item.density > 0 and item.density >= least
 
 
 def main_texts(page: str | Column = "html") -> Column:
