@@ -1,6 +1,9 @@
 """Licence scan: a paragraph classifier over sparse word n-grams, and a comparison with the templates that confirms it.
 
-Scanning uses built-in functions only. The classifier is a multinomial logistic regression, fitted on the driver on
+Scanning uses built-in functions only. A paragraph ends at a blank line, so notices wrapped at any width are put together
+again; it is looked at in overlapping runs of words, longer than any template, so that long ones don't dilute a notice. Of the
+most probable families of a run, the first that a template confirms is its licence; a further one, as in a choice of licences, by a whole name of it that the
+first one's templates don't explain. The classifier is a multinomial logistic regression, fitted on the driver on
 notices made from the templates below and on a bounded sample of the corpus' paragraphs as the class "unknown"; its
 features are n-grams of the templates that hold a telling word, one that the sample doesn't use freely. A text without
 telling words has no features, so only documents with one are cut in paragraphs. The temperature of the probabilities
@@ -57,8 +60,13 @@ NOTICES = {
 }
 UNKNOWN = "unknown"
 FAMILIES = [*sorted(NAMES), UNKNOWN]
-# Paragraphs of the corpus taken for the class "unknown"; a word is telling if at most so large a share of them has it.
-SAMPLE, TELLING_SHARE = 3000, 0.01
+# Lines of the corpus, those with the smallest hashes, taken for the class "unknown", and the characters of each that are; a
+# word is telling if at most so large a share of them has it.
+SAMPLE, SAMPLE_CHARS, TELLING_SHARE = 3000, 2000, 0.01
+# The most probable families of a run of which the first that a template confirms is believed.
+LIKELY = 3
+# Words of a run, and of its step; no template has more words than what two runs share.
+RUN, STEP = 96, 48
 # Longest n-gram, share of false alarms allowed in calibration, share of a template's n-grams that confirms a prediction.
 GRAM, FALSE_ALARMS, CONFIRMED = 3, 0.002, 0.75
 BETWEEN = r"[^\p{L}\p{N}]+"
@@ -78,7 +86,7 @@ def templates() -> list[tuple[str, str]]:
 
 
 class Model:
-    """Weights by n-gram and family; `least` is the calibrated probability from which a licence is believed."""
+    """Weights by n-gram and family; `least` is the calibrated probability of any licence from which one is believed."""
 
     def __init__(self, sample: list[str]):
         rows = [(f, words(t)) for f, t in templates()]
@@ -125,9 +133,10 @@ class Model:
         loss = {t: -np.average(np.log(softmax(logits / t)[np.arange(held.sum()), y[held]].clip(1e-12)), weights=times[held]) for t in (0.5, 0.7, 1.0, 1.5, 2.0, 3.0, 5.0)}
         t = min(loss, key=loss.get)
         self.weights, self.bias = self.weights / t, self.bias / t
-        p = self.probabilities(x[held])[:, :-1].max(axis=1)
+        p = 1 - self.probabilities(x[held])[:, -1]
         others = np.sort(np.repeat(p, times[held])[np.repeat(y[held], times[held]) == FAMILIES.index(UNKNOWN)])[::-1]
-        self.least = max(0.5, float(others[int(FALSE_ALARMS * len(others))]) if len(others) else 0.5)
+        # A template confirms what is believed, so nine tenths are enough whatever the sample holds.
+        self.least = min(0.9, max(0.5, float(others[int(FALSE_ALARMS * len(others))]) if len(others) else 0.5))
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         return softmax(x @ self.weights + self.bias)
@@ -142,11 +151,20 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def sample_paragraphs(docs: DataFrame) -> list[str]:
-    """A bounded sample of paragraphs by the hash of their texts, without those that speak of licences or rights."""
-    lines = docs.select(F.explode(F.split(text_or_empty(), "\n")).alias("line")).where(F.char_length("line") > 20) \
-        .where(~F.lower("line").rlike("licen[cs]|copyright|public domain|gpl|spdx|creative commons")) \
-        .select(F.xxhash64("line").alias("h"), F.substring("line", 1, 2000).alias("line"))
-    return [r["line"] for r in lines.orderBy("h", "line").limit(SAMPLE).collect()]
+    """A bounded sample of lines by the hash of their texts, without those that speak of licences or rights."""
+    texts = docs.select(text_or_empty().alias("text"))
+    total = texts.agg(F.sum(F.size(F.split("text", "\n")).cast("long"))).first()[0] or 0
+    lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).where(F.char_length("line") > 20)
+    quiet = ~F.lower("line").rlike("licen[cs]|copyright|public domain|gpl|spdx|creative commons")
+    share = min(1.0, 8 * SAMPLE / max(1, total))
+    while True:
+        # Only hashes below a bound are looked at, so that no task has more to tell than its part of the sample.
+        bound = -(1 << 63) + int(share * ((1 << 64) - 1)) if share < 1 else (1 << 63) - 1
+        found = lines.withColumn("h", F.xxhash64("line")).where((F.col("h") <= bound) & quiet).select("h", F.substring("line", 1, SAMPLE_CHARS).alias("line")) \
+            .orderBy("h", "line").limit(SAMPLE).collect()
+        if len(found) == SAMPLE or share == 1.0:
+            return [r["line"] for r in found]
+        share = min(1.0, 8 * share)
 
 
 def _runs(size: int) -> Column:
@@ -156,51 +174,74 @@ def _runs(size: int) -> Column:
     return F.when(n >= size, runs).otherwise(F.array().cast("array<string>"))
 
 
+def paragraphs(text: Column) -> Column:
+    """Runs of lines between lines without a word, each as one string."""
+    trimmed = F.regexp_replace(text, r"(?m)^[\x20\x09-\x0D]+$", "")
+    return F.filter(F.split(trimmed, r"\n(?:[\x20\x09-\x0D]*\n)+"), lambda p: F.btrim(p, F.lit(" \t\n\r\x0b\x0c")) != "")
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """(k1, k2, at, family, confidence): paragraphs (lines) of each distinct text that hold a confirmed licence notice.
+    """(k1, k2, at, family, confidence): paragraphs of each distinct text and the licences whose notices they hold.
 
-    k1, k2 are the hashes of the text, `at` the place of the line from 0.
+    k1, k2 are the hashes of the text, `at` the place of the paragraph from 0.
     """
     spark = docs.sparkSession
     model = Model(sample_paragraphs(docs))
     telling = F.array(*[F.lit(w) for w in sorted(model.telling)])
     texts = docs.select(text_or_empty().alias("text")).where(F.arrays_overlap(F.split(F.lower("text"), BETWEEN), telling))
-    lines = texts.select(*text_key("text"), F.posexplode(F.split("text", "\n")).alias("at", "line")) \
-        .withColumn("w", F.filter(F.split(F.lower("line"), BETWEEN), lambda w: w != "")).where(F.arrays_overlap("w", telling)) \
-        .select("k1", "k2", "at", "w").dropDuplicates(["k1", "k2", "at"])
-    lines = durable(lines)
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("p") - (RUN - STEP) - 1), F.lit(STEP))
+    runs = texts.select(*text_key("text"), F.posexplode(paragraphs(F.col("text"))).alias("at", "line")) \
+        .withColumn("p", F.filter(F.split(F.lower("line"), BETWEEN), lambda w: w != "")).where(F.arrays_overlap("p", telling)) \
+        .select("k1", "k2", "at", "p").dropDuplicates(["k1", "k2", "at"]) \
+        .select("k1", "k2", "at", "p", F.explode(starts).alias("start")).withColumn("w", F.slice("p", F.col("start") + 1, RUN)) \
+        .where(F.arrays_overlap("w", telling)).select("k1", "k2", "at", "start", "w")
+    runs = durable(runs)
     told = F.array_distinct(F.concat(*[_runs(k) for k in range(1, GRAM + 1)]))
-    spoken = lines.select("k1", "k2", "at", F.explode(told).alias("gram"))
-    # Both tables have the size of the templates above, whatever the corpus.
+    unit = ["k1", "k2", "at", "start"]
+    spoken = runs.select(*unit, F.explode(told).alias("gram"))
+    # All tables have the size of the templates above, whatever the corpus.
     weights = spark.createDataFrame([(g, [float(v) for v in row]) for g, row in zip(model.vocabulary, model.weights)], "gram string, v array<double>")
     sums = [F.sum(F.get("v", F.lit(k))).alias(f"s{k}") for k in range(len(FAMILIES))]
-    scored = spoken.join(F.broadcast(weights), "gram").groupBy("k1", "k2", "at").agg(*sums)
+    scored = spoken.join(F.broadcast(weights), "gram").groupBy(*unit).agg(*sums)
     logits = F.array(*[F.col(f"s{k}") + F.lit(float(model.bias[k])) for k in range(len(FAMILIES))])
     top = F.array_max("z")
-    share = F.exp(F.get("z", F.col("best")) - top) / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    guessed = scored.select("k1", "k2", "at", logits.alias("z")) \
-        .withColumn("best", (F.array_position(F.slice("z", 1, len(FAMILIES) - 1), F.array_max(F.slice("z", 1, len(FAMILIES) - 1))) - 1).cast("int")) \
-        .select("k1", "k2", "at", F.get(F.array(*map(F.lit, FAMILIES)), F.col("best")).alias("family"), share.alias("confidence")) \
-        .where(F.col("confidence") >= model.least)
+    # The probability of any licence: a choice of two is none the less sure.
+    licensed = 1 - F.exp(F.get("z", F.lit(len(FAMILIES) - 1)) - top) / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - top))
+    ranked = F.array_sort(F.transform(F.slice("z", 1, len(FAMILIES) - 1), lambda x, k: F.struct((-x).alias("z"), k.alias("k"))))
+    guessed = scored.select(*unit, logits.alias("z")).select(*unit, "z", licensed.alias("confidence")).where(F.col("confidence") >= model.least) \
+        .select(*unit, "confidence", F.posexplode(F.slice(ranked, 1, LIKELY)).alias("rank", "r")) \
+        .select(*unit, "confidence", "rank", F.get(F.array(*map(F.lit, FAMILIES)), F.col("r.k")).alias("family"))
+    guessed = durable(guessed)
+    met = guessed.join(spoken, unit)
     shapes = [(k, f, grams(words(t), model.telling)) for k, (f, t) in enumerate(templates())]
     parts = spark.createDataFrame([(k, f, len(gs), g) for k, f, gs in shapes for g in sorted(gs)], "template int, family string, size int, gram string")
-    confirmed = guessed.join(spoken, ["k1", "k2", "at"]).join(F.broadcast(parts), ["family", "gram"]) \
-        .groupBy("k1", "k2", "at", "family", "confidence", "template").agg(F.count("*").alias("n"), F.first("size").alias("size")) \
-        .where(F.col("n") >= CONFIRMED * F.col("size"))
-    return confirmed.groupBy("k1", "k2", "at", "family", "confidence").agg(F.max(F.col("n") / F.col("size")).alias("likeness"))
+    confirmed = met.join(F.broadcast(parts), ["family", "gram"]) \
+        .groupBy(*unit, "rank", "family", "confidence", "template").agg(F.count("*").alias("n"), F.first("size").alias("size")) \
+        .where(F.col("n") >= CONFIRMED * F.col("size")) \
+        .groupBy(*unit).agg(F.min_by(F.struct("family", "confidence"), "rank").alias("best")).select(*unit, "best.*")
+    confirmed = durable(confirmed)
+    own = {f: set().union(*(gs for _, g, gs in shapes if g == f)) for f in NAMES}
+    names = [(k, first, f, g) for first in sorted(NAMES) for k, (f, name) in enumerate((f, n) for f in sorted(NAMES) for n in NAMES[f])
+             if f != first and len(words(name)) > 1 for g in sorted(grams(words(name), model.telling) - own[first])]
+    sizes = Counter((k, first) for k, first, _, _ in names)
+    others = spark.createDataFrame([(k, first, f, g, sizes[k, first]) for k, first, f, g in names], "name int, family string, other string, gram string, size int")
+    further = confirmed.join(spoken, unit).join(F.broadcast(others), ["family", "gram"]) \
+        .groupBy(*unit, "confidence", "other", "name").agg(F.count("*").alias("n"), F.first("size").alias("size")).where("n = size") \
+        .select("k1", "k2", "at", F.col("other").alias("family"), "confidence")
+    return confirmed.select("k1", "k2", "at", "family", "confidence").unionByName(further) \
+        .groupBy("k1", "k2", "at", "family").agg(F.max("confidence").alias("confidence"))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_paragraphs (lines with a word), n_licensed, families (sorted, comma-joined), confidence.
+    """Per row: doc_id, n_paragraphs, n_licensed (those with a licence), families (sorted, comma-joined), confidence.
 
     A null text has no paragraphs; families is empty and confidence 0 where nothing was found. A null doc_id stays null,
     repeated rows give repeated results, an empty table none; other columns are not looked at.
     """
     found = durable(scan(docs)).groupBy("k1", "k2").agg(
-        F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("f"), F.max("confidence").alias("c"))
+        F.count_distinct("at").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("f"), F.max("confidence").alias("c"))
     text = text_or_empty()
-    # Runs of line feeds and white space hold no word: count the lines that begin with something else.
-    rows = docs.select("doc_id", *text_key(text), F.size(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")).cast("long").alias("n_paragraphs"))
+    rows = docs.select("doc_id", *text_key(text), F.size(paragraphs(text)).cast("long").alias("n_paragraphs"))
     return rows.join(found, ["k1", "k2"], "left").select(
         "doc_id", "n_paragraphs", F.coalesce("n", F.lit(0)).alias("n_licensed"), F.coalesce("f", F.lit("")).alias("families"),
         F.round(F.coalesce("c", F.lit(0.0)), 6).alias("confidence"))
