@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.common import fresh, text_or_empty
 from shoplens.llm.decontaminate import maybe_broadcast, text_key
-from shoplens.session import durable, fits_broadcast
+from shoplens.session import durable, fits_broadcast, scratch_path
 
 DISTANCE = 2
 # Shorter lines are not compared by edits: a few make other lines of them.
@@ -241,8 +241,12 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = M
     repeated = maybe_broadcast(durable(repeated), F.lit(64))
     placed = lines.join(repeated, ["h1", "h2"], "left")
     later = F.col("first").isNotNull() & ~F.struct("doc_id", "k1", "k2", "at").eqNullSafe(F.col("first"))
-    # Equal rows of documents hold the same first occurrence.
-    near = durable(near_lines(placed.where(~later & (F.col("n") >= min_chars)).drop("first"), distance, min_chars)).withColumn("near", F.lit(True))
+    # Equal rows of documents hold the same first occurrence. Several passes read these lines, so they are written down.
+    firsts = placed.where(~later & (F.col("n") >= min_chars)).drop("first").select("h1", "h2", "doc_id", "k1", "k2", "at", "n", "line")
+    path = scratch_path(docs.sparkSession, "lines")
+    firsts.write.parquet(path)
+    firsts = docs.sparkSession.read.schema(firsts.schema).parquet(path)
+    near = durable(near_lines(firsts, distance, min_chars)).withColumn("near", F.lit(True))
     return placed.select("doc_id", "k1", "k2", "at", "h1", "h2", later.alias("later")) \
         .join(maybe_broadcast(near, F.lit(32)), ["h1", "h2"], "left").where("later or near") \
         .select("doc_id", "k1", "k2", "at").distinct().groupBy("doc_id", "k1", "k2").agg(F.collect_list("at").alias("drop"))
@@ -269,6 +273,6 @@ def dedup_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_
 
 def counted(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_lines, n_kept_lines and the text that is left."""
-    n_lines = lambda c: F.size(F.split(c, "\n")).cast("long")
-    given = docs.select("doc_id", "text", F.coalesce(n_lines("text"), F.lit(0)).alias("n_lines"))
+    n_lines = (F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
+    given = docs.select("doc_id", "text", F.coalesce(n_lines, F.lit(0)).alias("n_lines"))
     return dedup_lines(given, min_equal=MIN_EQUAL).select("doc_id", "n_lines", "text")
