@@ -70,10 +70,19 @@ def duplicate_gate(attempts: DataFrame, hours: int = DUPLICATE_HOURS, *, hot_row
 
 
 def duplicate_gate_capped(capped: DataFrame, hours: int = DUPLICATE_HOURS) -> DataFrame:
-    """The same gate with array functions, for attempts that passed the daily cap (few per user and day)."""
+    """The same gate without Python, for attempts that passed the daily cap.
+
+    The first attempt after a pause of `hours` is admitted whatever went before, so a key falls into islands between pauses
+    that don't know of each other. With `limit` attempts a day and `limit * hours` below a day, no island can bridge a whole
+    day: it holds at most twice the limit, however many attempts the key has. Only islands are gathered.
+    """
     rest = [c for c in capped.columns if c not in (*GATE_KEYS, "ts", "seq")]
     ttl = hours * 3_600_000_000
-    per_key = capped.groupBy(*GATE_KEYS).agg(F.sort_array(F.collect_list(F.struct("ts", "seq", *rest))).alias("attempts"))
+    by_time = Window.partitionBy(*GATE_KEYS).orderBy("ts", "seq")
+    pause = F.coalesce(F.unix_micros("ts") - F.lag(F.unix_micros("ts")).over(by_time) >= ttl, F.lit(True))
+    parted = capped.withColumn("_pause", pause.cast("int")) \
+        .withColumn("_island", F.sum("_pause").over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    per_island = parted.groupBy(*GATE_KEYS, "_island").agg(F.sort_array(F.collect_list(F.struct("ts", "seq", *rest))).alias("attempts"))
     start = F.struct(F.lit(None).cast("bigint").alias("last"), F.filter("attempts", lambda a: F.lit(False)).alias("sent"))
 
     def visit(state, attempt):
@@ -82,10 +91,14 @@ def duplicate_gate_capped(capped: DataFrame, hours: int = DUPLICATE_HOURS) -> Da
         return F.struct(F.when(free, us).otherwise(state["last"]).alias("last"),
                         F.when(free, F.array_append(state["sent"], attempt)).otherwise(state["sent"]).alias("sent"))
 
-    admitted = per_key.select(*GATE_KEYS, F.explode(F.aggregate("attempts", start, visit)["sent"]).alias("a"))
+    admitted = per_island.select(*GATE_KEYS, F.explode(F.aggregate("attempts", start, visit)["sent"]).alias("a"))
     return admitted.select(*GATE_KEYS, "a.*").select(*capped.columns)
 
 
 def can_send(attempts: DataFrame, limit: int = DAILY_LIMIT, hours: int = DUPLICATE_HOURS) -> DataFrame:
     """Attempts that pass the daily cap and then the duplicate gate."""
-    return duplicate_gate_capped(within_daily_cap(attempts, limit), hours)
+    capped = within_daily_cap(attempts, limit)
+    if limit * hours < 24:
+        return duplicate_gate_capped(capped, hours)
+    # Islands may be long: rows are folded in order instead of gathered.
+    return capped.join(duplicate_gate(capped, hours).select("attempt_id"), "attempt_id", "left_semi")

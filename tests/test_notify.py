@@ -55,6 +55,20 @@ def test_duplicates_use_up_the_daily_quota(spark):
     assert ids(gates.can_send(attempts(spark, items))) == ["a0", "a6", "a7", "a8", "a9"]
 
 
+def test_a_key_of_many_attempts_is_gathered_by_islands(spark):
+    """Ten attempts a day of one user for one product, 40 minutes apart, for ten years."""
+    df = spark.range(36_500).select(
+        F.concat(F.lit("a"), "id").alias("attempt_id"), F.lit(1).cast("long").alias("user_id"), F.lit(1).cast("long").alias("product_id"),
+        F.lit("PRICE_DROP").alias("notification_type"), F.col("id").alias("seq"),
+        F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("id") / 10) * 86400 + F.col("id") % 10 * 2400).alias("ts"))
+    got = gates.can_send(df)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" in plan and "_island" in plan and "ArrowEval" not in plan
+    assert ids(got) == ids(gates.duplicate_gate(df)) and got.count() == 3650 * 5
+    # Longer pauses make islands that bridge days; they are folded in order.
+    assert ids(gates.can_send(df.where("seq < 400"), hours=24)) == ids(gates.duplicate_gate(df.where("seq < 400"), hours=24))
+
+
 @pytest.fixture(scope="module")
 def noisy():
     rnd = random.Random(4)
