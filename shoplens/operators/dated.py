@@ -10,7 +10,8 @@ removes whole days.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,23 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(at, True)
 
 
+@contextmanager
+def take_lease(spark: SparkSession, path: str, older_than: float) -> Iterator[bool]:
+    """Is the lease at `path` ours? It is a file that only one caller can make, and that goes when the block ends.
+
+    One that was made before `older_than` (seconds of the epoch) was left by a caller that died, and is taken over.
+    """
+    at, fs = _folder(spark, path)
+    if fs.exists(at) and fs.getFileStatus(at).getModificationTime() < older_than * 1000:
+        fs.delete(at, False)
+    mine = fs.createNewFile(at)
+    try:
+        yield mine
+    finally:
+        if mine:
+            fs.delete(at, False)
+
+
 def day_of(ts: str) -> Column:
     return F.coalesce(F.to_date(ts), F.lit(NO_DAY))
 

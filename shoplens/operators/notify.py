@@ -9,6 +9,7 @@ from shoplens.functions import text
 from shoplens.functions.actions import drop_percentage, is_price_drop, is_restock
 from shoplens.operators.gates import can_send
 from shoplens.operators.interest import RESTOCK_ACTIONS, active_users, price_drop_targets, restock_targets
+from shoplens.session import durable
 
 # Send in chunks of 100 with a 50 ms pause; products per daily message; gate key of the daily message.
 CHUNK_SIZE, CHUNK_PAUSE_MS = 100, 50
@@ -109,6 +110,27 @@ def send_all(events: DataFrame, actions: DataFrame, as_of: Column, action_types:
     return can_send(kinds[0].unionByName(kinds[1]).unionByName(kinds[2])).select(*columns)
 
 
+def notification_funnel(events: DataFrame, actions: DataFrame, goods: DataFrame, action_types: list[str] = RESTOCK_ACTIONS,
+                        limit: int | None = None) -> DataFrame:
+    """One row: drops and restocks detected, messages triggered, attempts limited, messages sent and failed, history rows saved.
+
+    Each stage is computed once and counted where it lies.
+    """
+    drops, back = durable(price_drops(events)), durable(restocks(events))
+    attempts = durable(attempts_of(price_drop_targets(drops, actions, limit), drops, "PRICE_DROP").unionByName(
+        attempts_of(restock_targets(back, actions, action_types, limit), back, "BACK_IN_STOCK")))
+    admitted = durable(can_send(attempts))
+    kind = F.col("notification_type")
+    history = delivery_history(price_drop_notifications(admitted.filter(kind == "PRICE_DROP"), drops, goods).unionByName(
+        restock_notifications(admitted.filter(kind == "BACK_IN_STOCK"), back, goods)), F.col("ts"))
+    count = lambda df: df.agg(F.count("*")).scalar()
+    return history.agg(
+        F.count_if(F.col("status") == "SENT").alias("sent"), F.count_if(F.col("status") == "FAILED").alias("send_failed"),
+        F.count("*").alias("saved")).select(
+        (count(drops) + count(back)).alias("detected"), count(admitted).alias("triggered"),
+        (count(attempts) - count(admitted)).alias("rate_limited"), "sent", "send_failed", "saved")
+
+
 def send_schedule(ranked: DataFrame, size: int = CHUNK_SIZE, pause_ms: int = CHUNK_PAUSE_MS) -> DataFrame:
     """Chunk number and delay of each ranked receiver (`rank` from 1)."""
     chunk = F.call_function("div", F.col("rank") - 1, F.lit(size))

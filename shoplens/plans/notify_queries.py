@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from shoplens.functions import actions as FA
 from shoplens.functions import text as FT
 from shoplens.operators import gates, interest, notify, reports
+from shoplens.operators.preferences import attach_vectors
 from shoplens.plans.recommend_queries import EVERYONE, everyone
 from shoplens.plans.registry import (
-    ACTIONS, ACTIVE, AS_OF_SQL, ATTEMPTS, CART_ACTIONS, DROPS, INVENTORY, NOTIFICATIONS, PRODUCTS, RESTOCKS,
+    ACTIONS, ACTIVE, AS_OF_SQL, ATTEMPTS, CART_ACTIONS, DIMS, DROPS, INVENTORY, NOTIFICATIONS, PRODUCTS, RESTOCKS, VECTORS,
     duplicates_sql, gate_sql, query, target_attempts_sql, targets_sql)
+from shoplens.schemas import ACTION_TYPES
 from shoplens.session import durable
 from shoplens.sources import adapters as A
 
@@ -215,6 +217,32 @@ def _(spark, d):
     return notify.send_all(A.inventory_events(spark, d), A.user_actions(spark, d), A.as_of(), CART_ACTIONS, interest.MAX_USERS)
 
 
+INGEST_FUNNEL = f"""
+ingested AS (SELECT count(*) AS processed, count(*) FILTER (known) AS indexed, count(*) FILTER (NOT known) AS failed,
+    count(*) FILTER (known AND usable) AS preference_success, count(*) FILTER (known AND NOT usable) AS preference_skipped,
+    count(*) FILTER (NOT known) AS dlq_sent
+  FROM (SELECT action_type IN {tuple(ACTION_TYPES)} AS known, coalesce(len(product_vector) = {DIMS}, false) AS usable
+        FROM ua LEFT JOIN vectors USING (product_id)))"""
+
+
+@query("pipeline_funnel", ACTIONS, VECTORS, INVENTORY, DROPS, RESTOCKS, INGEST_FUNNEL, DROP_KIND[0], BACK_KIND[0],
+       f"attempts AS ({DROP_KIND[1]} UNION ALL {BACK_KIND[1]})", gate_sql(), sql="""
+SELECT ingested.*, (SELECT count(*) FROM drops) + (SELECT count(*) FROM restocks) AS detected,
+  (SELECT count(*) FROM admitted) AS triggered, (SELECT count(*) FROM attempts) - (SELECT count(*) FROM admitted) AS rate_limited,
+  (SELECT count(*) FROM admitted) AS sent, 0 AS send_failed, (SELECT count(*) FROM admitted) AS saved FROM ingested""")
+def _(spark, d):
+    """Both halves: what became of the actions, and of the messages that price drops and restocks led to."""
+    actions = A.user_actions(spark, d)
+    rows = attach_vectors(actions, A.product_vectors(spark, d), DIMS)
+    known, skipped = F.col("action_type").isin(ACTION_TYPES), F.col("skipped")
+    ingested = reports.processing_funnel(rows, {
+        "processed": F.lit(True), "indexed": known, "failed": ~known, "preference_success": known & ~skipped,
+        "preference_skipped": known & skipped, "dlq_sent": ~known})
+    told = notify.notification_funnel(A.inventory_events(spark, d), actions, A.catalog(spark, d), CART_ACTIONS, interest.MAX_USERS)
+    one = F.lit(1).alias("_one")
+    return ingested.select("*", one).join(told.select("*", one), "_one").drop("_one")
+
+
 DAILY_MESSAGES = f"""
 lists AS (SELECT user_id, strategy, string_agg(product_id::VARCHAR, ',' ORDER BY rank) AS ids,
             string_agg(product_name, ', ' ORDER BY rank) AS names, arg_min(product_id, rank) AS product_id, count(*) AS n

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplens.functions import spans
-from shoplens.operators import logs, metrics, reports, snapshots, tables, traces
+from shoplens.operators import dated, logs, metrics, reports, snapshots, tables, traces
 from shoplens.sources import files
 
 T0 = dt.datetime(2024, 3, 1)
@@ -57,6 +57,28 @@ def test_snapshot_expires(spark, tmp_path):
     assert [r["product_id"] for r in snapshots.read_snapshot(spark, path, at(9)).collect()] == [2]
 
 
+def test_a_list_is_computed_once_in_ten_minutes(spark, tmp_path):
+    path, calls = str(tmp_path / "s"), []
+    df = spark.createDataFrame([(1, 1)], "product_id int, rank int")
+
+    def ask(minute, rows=df):
+        got = snapshots.refresh_snapshot(spark, path, df.schema, lambda: calls.append(minute) or rows, T0 + dt.timedelta(minutes=minute))
+        return [r["product_id"] for r in got.collect()]
+
+    empty = df.where("false")
+    assert ask(0, empty) == [] and ask(1, empty) == []  # an empty list isn't stored
+    assert ask(2) == ask(11) == [1] and calls == [0, 1, 2]
+    assert ask(12, df.withColumn("product_id", F.lit(2))) == [2] and calls[-1] == 12
+    # While another caller computes, the newest list is shown though it has expired.
+    with dated.take_lease(spark, f"{path}-lease", 0) as mine:
+        assert mine and ask(40) == [2] and calls[-1] == 12
+    assert ask(40) == [1] and calls[-1] == 40
+    # A caller that died leaves its lease; it is taken over after its time.
+    spark._jvm.java.io.File(f"{path}-lease").createNewFile()
+    spark._jvm.java.io.File(f"{path}-lease").setLastModified(1000)
+    assert ask(60) == [1] and calls[-1] == 60
+
+
 def test_unreadable_run_files_are_skipped(spark, tmp_path):
     (tmp_path / "a.json").write_text('{\n "id": "r1", "durationSec": 5,\n "finalMetrics": {"totalErrors": 2}}')
     (tmp_path / "b.json").write_text('{ "id": "r2", ')
