@@ -38,8 +38,8 @@ BREAK, BREAKS = b".", b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans(BREAKS + UPPER.encode(), BREAK * len(BREAKS) + LOWER.encode())
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 # Buckets of phrases for each shuffle partition; rows of a bucket that are held before they are summed.
-BUCKETS, HELD = 4, 1 << 21
-BLOCKS = "bucket long, lang string, size int, block binary"
+BUCKETS, HELD = 1, 1 << 21
+BLOCKS = "bucket long, block binary"
 # size 0: the number of words of the language.
 COUNTS = "lang string, size int, phrase string, key long, n long"
 
@@ -159,7 +159,7 @@ def unpacked(block: bytes) -> pa.Table:
 
 
 def counting(proposed, counted, buckets: int):
-    """Over rows of (lang, text): rows of BLOCKS, a phrase once for each slab that holds it.
+    """Over rows of (lang, text): rows of BLOCKS, one for each batch and bucket, with each phrase once for each slab that holds it.
 
     Most phrases of the border are rare, so they are many: they travel as compressed blocks.
     """
@@ -169,10 +169,11 @@ def counting(proposed, counted, buckets: int):
         compress = zstandard.ZstdCompressor(level=1).compress
         known: dict[str, Words] = {}
 
-        def blocks(lang: str, words: Words, slab: bytes) -> Iterator[pa.RecordBatch]:
+        def blocks(lang: str, words: Words, slab: bytes, held: dict[int, list[bytes]]) -> None:
             tokens = slab.replace(BREAK, b" . ").split()
             ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
             names = pa.array(words.names, pa.binary())
+            name = lang.encode()
             for size, columns, keys, times in count_slab(ids, words, xxhash.xxh64_intdigest(lang), bits, old):
                 bucket = (keys % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
@@ -180,22 +181,33 @@ def counting(proposed, counted, buckets: int):
                 phrase = pc.binary_join_element_wise(*spoken, b" ") if len(spoken) > 1 else spoken[0] if spoken else pa.array([b""], pa.binary())
                 used, first = np.unique(bucket[order], return_index=True)
                 ends, times = [*first[1:].tolist(), len(times)], times[order]
-                made = [compress(b"".join(packed(times[i:j], phrase.slice(i, j - i)))) for i, j in zip(first.tolist(), ends)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(used), pa.array([lang] * len(used)), pa.array(np.full(len(used), size, np.int32)), pa.array(made, pa.binary())],
-                    ["bucket", "lang", "size", "block"])
+                for which, i, j in zip(used.tolist(), first.tolist(), ends):
+                    body = compress(b"".join(packed(times[i:j], phrase.slice(i, j - i))))
+                    held.setdefault(which, []).append(b"".join([np.array([len(name), size, len(body)], "<u4").tobytes(), name, body]))
 
         for batch in batches:
             langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
+            held: dict[int, list[bytes]] = {}
             for lang in dict.fromkeys(langs):
                 for slab in slabs([t for t, x in zip(texts, langs) if x == lang]):
-                    yield from blocks(lang, known.setdefault(lang, Words()), slab)
+                    blocks(lang, known.setdefault(lang, Words()), slab, held)
                     if sum(map(len, known.values())) > WORDS:
                         known = {}
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(list(map(b"".join, held.values())), pa.binary())], ["bucket", "block"])
 
     return run
 
 
+def parts_of(block: bytes, expand) -> Iterator[tuple[str, int, pa.Table]]:
+    """(lang, size, counts) of the parts of a block."""
+    at = 0
+    while at < len(block):
+        name, size, body = np.frombuffer(block, "<u4", 3, at).tolist()
+        at += 12
+        yield block[at:at + name].decode(), size, unpacked(expand(block[at + name:at + name + body]))
+        at += name + body
+
+
 def summing(min_count: int):
     """Over rows of BLOCKS sorted by bucket: rows of COUNTS, each phrase once, if it occurs `min_count` times."""
 
@@ -222,13 +234,13 @@ def summing(min_count: int):
         expand = zstandard.ZstdDecompressor().decompress
         held, size, limit, key = {}, 0, HELD, None
         for batch in batches:
-            for bucket, lang, words, block in zip(*(c.to_pylist() for c in batch.columns)):
+            for bucket, block in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != key:
                     yield from rows(held)
                     held, size, limit, key = {}, 0, HELD, bucket
-                table = unpacked(expand(block))
-                held.setdefault((lang, words), []).append(table)
-                size += len(table)
+                for lang, words, table in parts_of(block, expand):
+                    held.setdefault((lang, words), []).append(table)
+                    size += len(table)
                 if size > limit:
                     held = {k: [summed(t)] for k, t in held.items()}
                     size = sum(len(t) for t, in held.values())
