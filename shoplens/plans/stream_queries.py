@@ -30,9 +30,13 @@ def event_stream(spark, d):
 
 
 def event_files(spark, d, files=3):
-    """The events as a stream of several files, one a micro-batch, so that state and tables are carried over."""
+    """The events as a stream of several files, one a micro-batch, so that state and tables are carried over.
+
+    A trace lies in one file: what is found in a part of it would stand, whatever the rest.
+    """
     path = scratch_path(spark, "events")
-    A.table(spark, d, "events").repartitionByRange(files, "event_id").write.parquet(path)
+    trace = F.call_function("div", F.col("event_id"), F.lit(A.SPANS_PER_TRACE))
+    A.table(spark, d, "events").repartitionByRange(files, trace).write.parquet(path)
     return streams.read_files(spark, path, streams.EVENTS_SCHEMA, files_per_trigger=1)
 
 
