@@ -35,10 +35,10 @@ def maybe_broadcast(df: DataFrame, row_bytes: Column) -> DataFrame:
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item, win): the distinct windows of each item, words joined by blanks; items without id or words have none."""
+    """(item, win): the distinct windows of each item, words joined by blanks; those of items without id have a null item."""
     n = F.size("_w")
     starts = F.when(n >= window, F.sequence(F.lit(1), n - window + 1)).otherwise(F.array(F.lit(1)))
-    return items.where("item_id is not null").select(F.col("item_id").cast("string").alias("item"), words().alias("_w")) \
+    return items.select(F.col("item_id").cast("string").alias("item"), words().alias("_w")) \
         .where(n > 0).select("item", "_w", F.explode(starts).alias("_s")) \
         .select("item", F.array_join(F.slice("_w", F.col("_s"), window), " ").alias("win")).distinct()
 
@@ -93,6 +93,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     covered = F.flatten(F.transform("c", lambda x: F.sequence(x["start"], x["start"] + x["size"] - 1)))
     held = durable(held.select("k1", "k2", F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
                                F.array_sort(F.array_distinct(place)).alias("spans"), F.transform("c", lambda x: x["win"]).alias("wins")))
+    # An item without id has no place in the list.
     named = held.select("k1", "k2", F.explode("wins").alias("win")).distinct().join(windows, "win") \
         .select("k1", "k2", "item").distinct().groupBy("k1", "k2").agg(F.array_sort(F.collect_list("item")).alias("item_ids"))
     return durable(held.join(named, ["k1", "k2"]).select("k1", "k2", "n_hit", "item_ids", "spans"))
@@ -107,8 +108,9 @@ def text_key(text: str | Column) -> tuple[Column, Column]:
 def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
-    A null text has no words and no hits, a null doc_id stays null, repeated rows give repeated results; empty tables
-    give no rows (documents) or no hits (items). Other columns are not looked at.
+    Windows of items without id make hits too, but such items are not counted or listed. A null text has no words and no hits,
+    a null doc_id stays null, repeated rows give repeated results; empty tables give no rows (documents) or no hits (items).
+    Other columns are not looked at.
     """
     found = hits(docs, items, window).select("k1", "k2", "n_hit", "item_ids")
     rows = docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", *text_key("text"), F.size(words("text")).cast("long").alias("n_words"))
@@ -120,7 +122,7 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of `docs`, whatever their columns, whose texts hold no window of an item, be its id null or not."""
-    found = hits(docs, items.withColumn("item_id", F.lit("")), window).select("k1", "k2")
+    found = hits(docs, items, window).select("k1", "k2")
     a, b = fresh(docs.columns, "_k1", "_k2")
     found = maybe_broadcast(found.toDF(a, b), F.lit(32))
     k1, k2 = text_key(text_or_empty())

@@ -64,14 +64,14 @@ WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 
 @query("op10_decontamination", sql=f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS_SQL} AS w FROM benchmark),
 win AS (SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(list_slice(w, p, p + 9), ' ') AS win
         FROM b, unnest(generate_series(1, greatest(1, len(w) - 9))) AS t(p) WHERE len(w) > 0),
 spot AS (SELECT r, p, size, array_to_string(list_slice(w, p, p + size - 1), ' ') AS win
          FROM d, (SELECT DISTINCT size FROM win), unnest(generate_series(1, len(w) - size + 1)) AS t(p)),
 met AS (SELECT r, p, spot.size, item FROM spot JOIN win USING (win)),
 covered AS (SELECT r, count(DISTINCT q) AS n_hit FROM met, unnest(generate_series(p, p + size - 1)) AS t(q) GROUP BY r),
-named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM met) GROUP BY r)
+named AS (SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM met) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""")

@@ -444,9 +444,9 @@ def plain_hits(rows, items):
     found = collections.defaultdict(set)
     for item, text in items:
         w = ALNUM.findall(low(text or ""))
-        if item is not None and w:
+        if w:
             for k in range(max(1, len(w) - 9)):
-                found[tuple(w[k:k + 10])].add(str(item))
+                found[tuple(w[k:k + 10])] |= set() if item is None else {str(item)}
     out = []
     for key, text in rows:
         w, hit, ids = ALNUM.findall(low(text or "")), set(), set()
