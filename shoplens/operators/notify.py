@@ -50,13 +50,16 @@ def notification_id(*parts) -> Column:
 def attempts_of(targets: DataFrame, events: DataFrame, notification_type: str) -> DataFrame:
     """One send attempt per (event, user), in the order of the events and, of one event, of the ranks.
 
-    `seq` holds the event's number (below 2^32) above the rank (below 2^31), so no limit on ranks is needed.
+    `seq` holds the event's number above the rank (below 2^31), so no limit on ranks is needed; a number of 2^32 or more
+    is an error.
     """
+    number = F.col("event_seq").cast("bigint")
+    number = F.when(number < 1 << 32, number).when(number.isNotNull(), F.raise_error(F.lit("event numbers must be below 2^32")).cast("bigint"))
     return targets.join(events.select("inventory_event_id", "product_id", "ts", F.col("seq").alias("event_seq")),
                         "inventory_event_id").select(
         F.concat_ws("|", "inventory_event_id", "user_id").alias("attempt_id"), "inventory_event_id", "user_id",
         "product_id", F.lit(notification_type).alias("notification_type"), "ts",
-        (F.shiftleft(F.col("event_seq").cast("bigint"), 31) + F.col("rank")).alias("seq"), "rank")
+        (F.shiftleft(number, 31) + F.col("rank")).alias("seq"), "rank")
 
 
 def _message(sent: DataFrame, goods: DataFrame, body, data, channels: list[str]) -> DataFrame:
@@ -105,7 +108,7 @@ def send_all(events: DataFrame, actions: DataFrame, as_of: Column, action_types:
     columns = ["attempt_id", "user_id", "product_id", "notification_type", "ts", "seq"]
     kinds = [attempts_of(price_drop_targets(drops, actions, limit), drops, "PRICE_DROP"),
              attempts_of(restock_targets(back, actions, action_types, limit), back, "BACK_IN_STOCK"),
-             daily_attempts(actions, as_of)]
+             daily_attempts(actions, as_of, limit)]
     kinds = [k.select(*columns).withColumn("product_id", F.col("product_id").cast("string")) for k in kinds]
     return can_send(kinds[0].unionByName(kinds[1]).unionByName(kinds[2])).select(*columns)
 
@@ -137,8 +140,9 @@ def send_schedule(ranked: DataFrame, size: int = CHUNK_SIZE, pause_ms: int = CHU
     return ranked.withColumn("chunk", chunk).withColumn("delay_ms", chunk * pause_ms)
 
 
-def daily_attempts(actions: DataFrame, as_of: Column) -> DataFrame:
-    users = active_users(actions, as_of)
+def daily_attempts(actions: DataFrame, as_of: Column, limit: int | None = None) -> DataFrame:
+    """An attempt for each active user, at most `limit` of them, the most active first."""
+    users = active_users(actions, as_of, limit=limit)
     return users.select(
         F.concat_ws("|", F.lit("daily"), "user_id").alias("attempt_id"), "user_id",
         F.lit(DAILY_GATE_KEY).alias("product_id"), F.lit("RECOMMENDATION").alias("notification_type"),

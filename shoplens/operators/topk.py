@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoplens.session import durable
+
+_POSITION_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 # Up to this rank Spark itself cuts each task's part of a group before the shuffle (window group limit).
 PUSHED_RANK_LIMIT = 1000
 
@@ -27,9 +30,20 @@ def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int |
     return df.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= n)
 
 
-def top_overall(df: DataFrame, order: list[Column], n: int, rank: str = "rank") -> DataFrame:
-    """First `n` rows of the whole frame with their rank: a distributed top-n, then a window over `n` rows."""
-    return df.orderBy(*order).limit(n).withColumn(rank, F.row_number().over(Window.orderBy(*order)))
+def top_overall(df: DataFrame, order: list[Column], n: int | None, rank: str = "rank") -> DataFrame:
+    """First `n` rows of the whole frame (None: all) with their rank: a distributed top-n, then a window over `n` rows.
+
+    All rows are ranked where a range partitioning puts them, after the number of rows in the partitions before.
+    """
+    if n is not None:
+        return df.orderBy(*order).limit(n).withColumn(rank, F.row_number().over(Window.orderBy(*order)))
+    laid = durable(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part, within = F.shiftright("_at", _POSITION_BITS), F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    # One row per partition.
+    sizes = laid.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    return laid.withColumn("_part", part).join(F.broadcast(before), "_part") \
+        .withColumn(rank, (F.col("_before") + within + 1).cast("int")).drop("_at", "_part", "_before")
 
 
 def page(df: DataFrame, order: list[Column], page_no: int, size: int) -> DataFrame:

@@ -131,7 +131,7 @@ def _(spark, d):
 
 @query("active_users", ACTIONS, ACTIVE, sql="SELECT user_id, n, rank FROM active")
 def _(spark, d):
-    return interest.active_users(A.user_actions(spark, d), A.as_of())
+    return interest.active_users(A.user_actions(spark, d), A.as_of(), limit=interest.MAX_USERS)
 
 
 @query("recent_viewed", ACTIONS, VIEWED, sql="SELECT user_id, product_id, rank FROM viewed")

@@ -142,7 +142,7 @@ def _(spark, d):
 @query("send_schedule", ACTIONS, ACTIVE,
        sql="SELECT user_id, rank, (rank - 1) // 100 AS chunk, (rank - 1) // 100 * 50 AS delay_ms FROM active")
 def _(spark, d):
-    ranked = interest.active_users(A.user_actions(spark, d), A.as_of())
+    ranked = interest.active_users(A.user_actions(spark, d), A.as_of(), limit=interest.MAX_USERS)
     return notify.send_schedule(ranked).select("user_id", "rank", "chunk", "delay_ms")
 
 
@@ -255,7 +255,7 @@ messages AS (SELECT user_id, lists.product_id, 'RECOMMENDATION' AS notification_
 
 def _daily(spark, d):
     actions = A.user_actions(spark, d)
-    attempts = notify.daily_attempts(actions, A.as_of())
+    attempts = notify.daily_attempts(actions, A.as_of(), interest.MAX_USERS)
     # Only users whose attempt is admitted get recommendations computed.
     admitted = durable(gates.can_send(attempts))
     messages = notify.daily_recommendations(admitted, everyone(spark, d, notify.DAILY_PRODUCTS, users=admitted))

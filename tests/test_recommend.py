@@ -241,6 +241,16 @@ def test_large_top_n_is_spread_without_loss(spark):
     assert spread.exceptAll(plain).isEmpty() and spread.count() == 1500
 
 
+def test_all_rows_are_ranked_over_partitions(spark):
+    df = spark.range(3000).repartition(7).select(F.col("id"), (F.col("id") % 41).alias("n"))
+    order = [F.desc("n"), F.asc("id")]
+    ranked = topk.top_overall(df, order, None)
+    assert [r["rank"] for r in ranked.orderBy(*order).collect()] == list(range(1, 3001))
+    assert "SinglePartition" not in ranked._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    assert topk.top_overall(df.where("false"), order, None).count() == 0
+    assert ranked.where("rank <= 50").exceptAll(topk.top_overall(df, order, 50)).isEmpty()
+
+
 def test_pages(spark):
     df = spark.range(10)
     got = list(itertools.chain.from_iterable([r["id"] for r in topk.page(df, [F.asc("id")], p, 4).collect()] for p in range(3)))
