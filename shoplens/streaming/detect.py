@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.operators import dated, notify, traces
-from shoplens.operators.interest import (
-    PRICE_DROP_DAYS, RESTOCK_ACTIONS, price_drop_targets, relevant_actions, restock_targets)
+from shoplens.operators.interest import PRICE_DROP_DAYS, RESTOCK_ACTIONS, relevant_actions
 from shoplens.operators.tables import write_batch
 from shoplens.streaming.runner import start_batches
 
@@ -30,7 +29,8 @@ ATTEMPT = T.StructType([
 
 def log_attempts(events: DataFrame, actions: Callable[[], DataFrame], path: str, checkpoint: str, *,
                  cart_actions: list[str] = RESTOCK_ACTIONS, limit: int | None = None, once: bool = False) -> StreamingQuery:
-    """Price drops and restocks of each micro-batch, with the users to tell, as batches of an attempt log.
+    """Price drops and restocks of each micro-batch, with the users to tell, as batches of an attempt log; of a micro-batch,
+    attempts that the daily cap must hold back may be left out.
 
     `actions` is called per micro-batch, so it sees what has been stored by then.
     """
@@ -40,8 +40,8 @@ def log_attempts(events: DataFrame, actions: Callable[[], DataFrame], path: str,
         try:
             drops, back = notify.price_drops(batch), notify.restocks(batch)
             seen = relevant_actions(actions(), batch, PRICE_DROP_DAYS)
-            attempts = notify.attempts_of(price_drop_targets(drops, seen, limit), drops, "PRICE_DROP").unionByName(
-                notify.attempts_of(restock_targets(back, seen, cart_actions, limit), back, "BACK_IN_STOCK"))
+            of_drops, of_restocks = notify.first_attempts(drops, back, seen, cart_actions, limit)
+            attempts = of_drops.unionByName(of_restocks)
             write_batch(attempts.select(*ATTEMPT.fieldNames()), path, batch_id)
         finally:
             batch.unpersist()
