@@ -30,19 +30,18 @@ def shared_traces(spark, d):
          .alias("trace_id"), "event_id", "user_id", "product_id", "action_type", "ts")
 
 
-@query("upsert_behavior", ACTIONS, STORED, sql=f"""
-SELECT trace_id, event_id, user_id, product_id, action_type FROM (
-  SELECT * FROM shared QUALIFY trace_id IS NULL OR row_number() OVER (PARTITION BY trace_id ORDER BY batch DESC, ts DESC, event_id DESC) = 1)
-WHERE ts >= {AS_OF_SQL} - INTERVAL 7 DAY AND ts <= {AS_OF_SQL}""")
+@query("upsert_behavior", ACTIONS, STORED, sql="""
+SELECT trace_id, event_id, user_id, product_id, action_type FROM shared
+QUALIFY trace_id IS NULL OR row_number() OVER (PARTITION BY trace_id ORDER BY batch DESC, ts DESC, event_id DESC) = 1""")
 def _(spark, d):
-    """The last seven days of a table that two batches were merged into; rows of both may share a key on different days."""
+    """The whole of a table that two batches were merged into; rows of both may share a key on different days."""
     rows, path = shared_traces(spark, d), scratch_path(spark, "behavior")
     table = KeyedTable(path, rows.schema, "trace_id", "ts", ("ts", "event_id"), buckets=2)
     first = F.col("action_type").isin("VIEW", "CLICK", "SIGNUP")
     table.merge(rows.filter(first), 0)
     table.merge(rows.filter(~first), 1)
     table.merge(rows.filter(~first), 1)  # delivered again: no growth
-    return table.read(spark, A.AS_OF_TIME - dt.timedelta(days=7), A.AS_OF_TIME).drop("ts")
+    return table.read(spark).drop("ts")
 
 
 @query("save_history", NOTIFICATIONS, sql="""
