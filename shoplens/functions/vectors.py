@@ -18,10 +18,17 @@ def norm(vec: Column) -> Column:
     return F.sqrt(F.aggregate(as_doubles(vec), F.lit(0.0), lambda s, x: s + x * x))
 
 
+def _once(value: Column, use) -> Column:
+    """`use(value)` with the value computed once a row: named inside a lambda, an expression is computed for each element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def l2_normalize(vec: Column) -> Column:
     """Unit vector; the zero vector is returned unchanged."""
-    n = norm(vec)
-    return F.when(n > 0, F.transform(as_doubles(vec), lambda x: x / n)).otherwise(as_doubles(vec))
+    def scaled(v: Column) -> Column:
+        return _once(norm(v), lambda n: F.when(n > 0, F.transform(v, lambda x: x / n)).otherwise(v))
+
+    return _once(as_doubles(vec), scaled)
 
 
 def ema_step(current: Column, product: Column, alpha: Column) -> Column:
