@@ -45,19 +45,21 @@ class TasteProcessor(StatefulProcessor):
         # Only (product, rate, time) is kept per row, and one vector per distinct product.
         vectors, slim = {}, []
         for part in rows:
-            for product, vector in part.drop_duplicates("product_id")[["product_id", "product_vector"]].itertuples(index=False):
-                vectors.setdefault(product, np.asarray(vector, dtype=np.float64))
-            slim.append(part[["product_id", "alpha", "us", "event_id"]])
-        batch = pd.concat(slim).sort_values(["us", "event_id"])
-        n = len(batch)
+            for product, vector in zip(part["product_id"].tolist(), part["product_vector"].array):
+                if product not in vectors:
+                    vectors[product] = np.asarray(vector, dtype=np.float64)
+            slim.append([part[c].to_numpy() for c in ("product_id", "alpha", "us", "event_id")])
+        product, alpha, us, event = (np.concatenate(c) for c in zip(*slim))
+        order = np.lexsort((event, us))
+        n = len(order)
         known = self.taste.get() if self.taste.exists() else None
         state = None if known is None else {"preference_vector": np.asarray(known[0]), "action_count": known[1]}
-        data = _Lookup(vectors, batch["product_id"].tolist()), batch["alpha"].tolist(), range(n + 1)
+        data = _Lookup(vectors, product[order].tolist()), alpha[order].tolist(), range(n + 1)
         state, _ = TasteFold().step(state, data, 0, n)
         vector = state["preference_vector"].tolist()
         self.taste.update((vector, state["action_count"]))
         yield pd.DataFrame({"user_id": [key[0]], "preference_vector": [vector], "action_count": [state["action_count"]],
-                            "updated_us": [batch["us"].iloc[-1]]})
+                            "updated_us": [us[order[-1]]]})
 
     def close(self) -> None:
         pass
