@@ -198,6 +198,14 @@ def append_spans(spans: DataFrame, path: str, batch_id: int = 0) -> None:
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hour", "batch_id").parquet(path)
 
 
+def spans_of_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """Spans that one batch has appended."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    whole = T.StructType([*schema.fields, T.StructField("hour", T.LongType()), T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(whole).parquet(path).where(F.col("batch_id") == batch_id).select(*schema.fieldNames())
+
+
 def spans_between(spark: SparkSession, path: str, schema: T.StructType, since_us: int, until_us: int, longest_us: int,
                   newest_batch: int | None = None) -> DataFrame:
     """Spans of all traces that may start in [since_us, until_us], from the hours in which they can lie.

@@ -29,15 +29,20 @@ def event_stream(spark, d):
     return streams.read_files(spark, f"{d}/events.parquet*", streams.EVENTS_SCHEMA)
 
 
-def event_files(spark, d, files=3):
-    """The events as a stream of several files, one a micro-batch, so that state and tables are carried over.
+ROWS_A_FILE = 200_000
 
-    A trace lies in one file: what is found in a part of it would stand, whatever the rest.
+
+def event_files(spark, d, batches=3):
+    """The events as a stream of several micro-batches, so that state and tables are carried over.
+
+    A trace lies in one file: what is found in a part of it would stand, whatever the rest. A micro-batch has more files
+    the more events there are, so that as many tasks write and read it.
     """
-    path = scratch_path(spark, "events")
+    path, events = scratch_path(spark, "events"), A.table(spark, d, "events")
     trace = F.call_function("div", F.col("event_id"), F.lit(A.SPANS_PER_TRACE))
-    A.table(spark, d, "events").repartitionByRange(files, trace).write.parquet(path)
-    return streams.read_files(spark, path, streams.EVENTS_SCHEMA, files_per_trigger=1)
+    a_batch = max(1, -(-events.count() // (batches * ROWS_A_FILE)))
+    events.repartitionByRange(batches * a_batch, trace).write.parquet(path)
+    return streams.read_files(spark, path, streams.EVENTS_SCHEMA, files_per_trigger=a_batch)
 
 
 def _paths(spark, *names):

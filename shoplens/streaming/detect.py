@@ -67,10 +67,12 @@ def scan_spans(spans: DataFrame, span_log: str, anomaly_log: str, checkpoint: st
     def scan(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         dated.append_spans(batch, span_log, batch_id)
-        first, last = batch.agg(F.min("start_us"), F.max("start_us")).first()
+        # Read back rather than derived again.
+        stored = dated.spans_of_batch(spark, span_log, batch.schema, batch_id)
+        first, last = stored.agg(F.min("start_us"), F.max("start_us")).first()
         found = spark.createDataFrame([], FINDING)
         if first is not None:
-            touched = batch.select("trace_id").distinct()
+            touched = stored.select("trace_id").distinct()
             near = dated.spans_between(spark, span_log, batch.schema, first, last, longest_us, batch_id)
             found = traces.find_anomalies(near.join(touched, "trace_id", "left_semi"))
         if dated.exists(spark, anomaly_log):
