@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shoplens.operators import popularity, recommend, topk
+from shoplens.operators import knn, popularity, recommend, topk
 from shoplens.operators import preferences as P
 from shoplens.operators.knn import knn_candidates, knn_join
 
@@ -193,6 +193,23 @@ def test_blocks_that_cannot_beat_the_kth_score_are_skipped(spark):
     assert share(5.0) <= 1.0
 
 
+def test_a_user_is_copied_once_a_round_however_small_blocks_are(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    item = {i: rng.normal(size=8).tolist() for i in range(600)}
+    users = spark.createDataFrame([(u, rng.normal(size=8).tolist(), [u, u + 1]) for u in range(40)],
+                                  "user_id long, preference_vector array<double>, exclude array<bigint>")
+    sent, scored = [], knn._scored
+    monkeypatch.setattr(knn, "_scored", lambda routed, *rest: sent.append(routed.count()) or scored(routed, *rest))
+    groups = spark.sparkContext.defaultParallelism
+    found = {}
+    for block_rows in (1000, 3):
+        got = knn_join(users, knn_candidates(goods(spark, range(600), vectors=item), 8), 5, 8, block_rows=block_rows, chunk_users=50)
+        found[block_rows] = [tuple(r) for r in got.select("user_id", "rank", "product_id", "score").orderBy("user_id", "rank").collect()]
+    assert found[3] == found[1000] and len(found[3]) == 200
+    # Two hundred blocks or more, most of which a user asks for.
+    assert len(sent) == 4 and max(sent) <= 40 * (groups + 1)
+
+
 def test_knn_ranks_on_the_whole_score_and_takes_text_ids(spark):
     near = [math.cos(a) for a in (0.0, 4e-4, 3e-4)], [math.sin(a) for a in (0.0, 4e-4, 3e-4)]
     rows = [(f"PROD-{i}", 5, "C", [float(near[0][i]), float(near[1][i])]) for i in range(3)]
