@@ -2,10 +2,11 @@
 
 The attention model works on subword ids (longest match in a public vocabulary). One causal attention layer weighs a fixed
 number of experts, each a distribution over all subwords, so what it predicts are subwords themselves. It is trained in
-numpy on windows of every training document, in proportion to its length: windows are dealt by their content to shards of
-equal size, each task descends over its shard, and after every pass the parameters of all shards are averaged and the
-experts taken anew from the subwords that each was held responsible for, smoothed with the counts of the whole corpus.
-Sums over shards are sums of integers, so the model doesn't depend on how the table is cut in files.
+numpy on all windows of all training documents, so that every subword of theirs is predicted once a pass: stretches of
+windows are dealt by content and doc_id to shards of like size, each task descends over its shards, and after every pass the
+parameters of all shards are averaged and the experts taken anew from the subwords that each was held responsible for,
+smoothed with the counts of the whole corpus. Sums over shards are sums of integers, so the model doesn't depend on how the
+table is cut in files.
 
 Documents are read in windows that overlap by `CONTEXT` positions; each subword is scored in the one window in which it is
 not context. The attention model gives the probability of the first subword of every word. The rest of the word follows from
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.bpe import read_ranks
@@ -34,13 +35,11 @@ from shoplens.session import durable
 # Width of the model, experts, embedding rows of single subwords and those that the others share, window, overlap.
 WIDTH, EXPERTS, SINGLE, SHARED, WINDOW, CONTEXT = 16, 32, 3072, 1024, 32, 8
 OWN = SINGLE + SHARED
-# One window in so many of each training document is trained on, one at least; windows of a shard and of a step; passes, or
-# more where a shard is so small that these give fewer steps.
-EVERY, SHARD, BATCH, PASSES, LEAST_STEPS = 16, 19_200, 64, 1, 300
-# Words for which one window is reckoned.
-WINDOW_WORDS = 10
-# Windows from which the experts get their first form; subwords that the corpus' counts stand for in each expert.
-FIRST_WINDOWS, PRIOR = 4096, 800
+# Windows that travel as one row, those of a shard and of a step; passes, or more where a shard is so small that these give
+# fewer steps.
+STRETCH, SHARD, BATCH, PASSES, LEAST_STEPS = 16, 153_600, 128, 1, 300
+# Stretches from which the experts get their first form; subwords that the corpus' counts stand for in each expert.
+FIRST_STRETCHES, PRIOR = 512, 800
 # Sums over shards are taken of multiples of this.
 GRAIN = 2.0 ** -24
 # Frequent words in the table that goes to the tasks; what every known word's count gives up for the spelling of others; the
@@ -158,6 +157,14 @@ def windows(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, n
     return np.where(real, inputs, -1), np.where(real, ids[np.clip(at, 0, len(ids) - 1)], -1), np.where(real, at, -1)[:, CONTEXT:]
 
 
+def add_rows(total: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> None:
+    """Add each row to the row of `total` that its key names."""
+    by = np.argsort(keys.astype(np.uint16) if len(total) <= 1 << 16 else keys, kind="stable")
+    keys = keys[by]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    total[keys[first]] += np.add.reduceat(rows[by], first)
+
+
 class Attention:
     """One layer of causal self-attention with a residual, whose output weighs the experts.
 
@@ -180,90 +187,104 @@ class Attention:
              for n, s in shapes.items()}
         return cls(own, experts, p | {"bias": np.log(share.clip(1e-9)).astype(np.float32)})
 
+    def folded(self) -> tuple[np.ndarray, np.ndarray]:
+        """Queries with keys, and values with what is made of them, as no step is between them."""
+        p = self.p
+        return p["wq"] @ p["wk"].T * np.float32(1 / math.sqrt(WIDTH)), p["wv"] @ p["wo"]
+
     def tables(self) -> None:
-        """Queries, keys and values by embedding row and by place, as no step is between them; row -1 has no value."""
-        p, scale = self.p, np.float32(1 / math.sqrt(WIDTH))
-        one = lambda x: np.concatenate([x @ p["wv"], np.ones((len(x), 1), np.float32)], axis=1)
-        self.rows = np.concatenate([p["embed"], p["embed"] @ p["wk"], one(p["embed"])], axis=1)
-        self.rows = np.concatenate([self.rows, np.zeros((1, self.rows.shape[1]), np.float32)])
-        self.places = np.concatenate([p["place"], p["place"] @ p["wk"], one(p["place"])], axis=1)
-        self.places[:, -1] = 0
-        self.query = p["wq"] * scale
+        """Embedding rows and places with a column that counts; row -1 counts nothing."""
+        embed, place = self.p["embed"], self.p["place"]
+        self.rows = np.concatenate([np.concatenate([embed, np.ones((len(embed), 1), np.float32)], axis=1), np.zeros((1, WIDTH + 1), np.float32)])
+        self.places = np.concatenate([place, np.zeros((WINDOW, 1), np.float32)], axis=1)
+        self.see, self.tell = self.folded()
 
     def log_probabilities(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Of the targets beyond the context, with batched masked attention; whatever for places without one."""
-        rows = np.where(inputs < 0, -1, self.own[inputs])
-        x = self.rows[rows] + self.places
+        x = self.rows[np.where(inputs < 0, -1, self.own[inputs])]
+        x += self.places
         x[inputs < 0] = 0
-        mine = x[:, CONTEXT:, :WIDTH]
-        attention = np.matmul(np.matmul(mine, self.query), x[:, :, WIDTH:2 * WIDTH].transpose(0, 2, 1))
+        mine = x[:, CONTEXT:, :WIDTH].reshape(-1, WIDTH)
+        attention = np.matmul((mine @ self.see).reshape(len(x), -1, WIDTH), x[:, :, :WIDTH].transpose(0, 2, 1))
         np.exp(np.clip(attention, -30, 30, out=attention), out=attention)
         attention *= self.causal[CONTEXT:]
-        mixed = np.matmul(attention, x[:, :, 2 * WIDTH:])
-        h = mixed[:, :, :WIDTH] / np.maximum(mixed[:, :, WIDTH:], 1e-20)
-        h = (mine + np.matmul(h, self.p["wo"])).reshape(-1, WIDTH)
-        weights = h @ self.p["out"] + self.p["bias"]
+        mixed = np.matmul(attention, x).reshape(-1, WIDTH + 1)
+        h = mine + (mixed[:, :WIDTH] / np.maximum(mixed[:, WIDTH:], 1e-20)) @ self.tell
+        weights = h @ self.p["out"]
+        weights += self.p["bias"]
         np.exp(np.clip(weights, -60, 60, out=weights), out=weights)
         told = np.einsum("ij,ij->i", weights, self.experts[targets[:, CONTEXT:].ravel()])
-        return np.log(np.maximum(told / weights.sum(axis=1), 1e-30)).reshape(len(targets), -1)
+        return np.log(np.maximum(told / np.einsum("ij->i", weights), 1e-30)).reshape(len(targets), -1)
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
         """Mean loss of the targets beyond the context, its gradients, and each expert's responsibility for each target."""
         p, scale = self.p, np.float32(1 / math.sqrt(WIDTH))
-        there = (inputs >= 0)[:, :, None].astype(np.float32)
+        see, tell = self.folded()
+        there = (inputs >= 0).astype(np.float32)
         rows = self.own[np.maximum(inputs, 0)]
-        x = (p["embed"][rows] + p["place"]) * there
-        mine = x[:, CONTEXT:]
-        q, k, v = mine @ p["wq"], x @ p["wk"], x @ p["wv"]
-        e = np.exp(np.clip(q @ k.transpose(0, 2, 1) * scale, -30, 30)) * self.causal[CONTEXT:] * there.transpose(0, 2, 1)
-        a = e / np.maximum(e.sum(axis=2, keepdims=True), 1e-20)
-        o = a @ v
-        h = mine + o @ p["wo"]
-        logits = h @ p["out"] + p["bias"]
-        weight = np.exp(logits - logits.max(axis=2, keepdims=True))
-        weight /= weight.sum(axis=2, keepdims=True)
-        goal = targets[:, CONTEXT:]
+        x = p["embed"][rows]
+        x += p["place"]
+        x *= there[:, :, None]
+        deep = lambda y: y.reshape(len(x), -1, WIDTH)
+        mine, turned = x[:, CONTEXT:].reshape(-1, WIDTH), x.transpose(0, 2, 1)
+        asked = mine @ see
+        a = deep(asked) @ turned
+        np.exp(np.clip(a, -30, 30, out=a), out=a)
+        a *= self.causal[CONTEXT:]
+        a *= there[:, None, :]
+        a /= np.maximum(np.einsum("bij->bi", a), 1e-20)[:, :, None]
+        o = (a @ x).reshape(-1, WIDTH)
+        h = mine + o @ tell
+        weight = h @ p["out"]
+        weight += p["bias"]
+        np.exp(np.clip(weight, -60, 60, out=weight), out=weight)
+        weight /= np.einsum("ij->i", weight)[:, None]
+        goal = targets[:, CONTEXT:].ravel()
         counted = (goal >= 0).astype(np.float32)
         held = weight * self.experts[np.maximum(goal, 0)]
-        told = np.maximum(held.sum(axis=2, keepdims=True), 1e-30)
-        held = held / told * counted[:, :, None]
+        told = np.maximum(np.einsum("ij->i", held), 1e-30)
+        held *= (counted / told)[:, None]
         n = max(1.0, float(counted.sum()))
-        loss = float(-(np.log(told[:, :, 0]) * counted).sum() / n)
-        d = (weight * counted[:, :, None] - held) / np.float32(n)
-        flat = lambda y: y.reshape(-1, y.shape[-1])
-        g = {"out": flat(h).T @ flat(d), "bias": flat(d).sum(axis=0)}
+        loss = float(-(np.log(told) * counted).sum() / n)
+        weight *= counted[:, None]
+        weight -= held
+        weight /= np.float32(n)
+        d = weight
+        g = {"out": h.T @ d, "bias": np.ones(len(d), np.float32) @ d}
         dh = d @ p["out"].T
-        g["wo"] = flat(o).T @ flat(dh)
-        do = dh @ p["wo"].T
-        da = do @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * scale
-        dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do
-        g |= {"wq": flat(mine).T @ flat(dq), "wk": flat(x).T @ flat(dk), "wv": flat(x).T @ flat(dv)}
-        dx = dk @ p["wk"].T + dv @ p["wv"].T
-        dx[:, CONTEXT:] += dh + dq @ p["wq"].T
-        dx *= there
+        dtell = o.T @ dh
+        g |= {"wv": dtell @ p["wo"].T, "wo": p["wv"].T @ dtell}
+        do = dh @ tell.T
+        ds = deep(do) @ turned
+        ds -= np.einsum("bij,bij->bi", ds, a)[:, :, None]
+        ds *= a
+        dasked = (ds @ x).reshape(-1, WIDTH)
+        dsee = mine.T @ dasked * scale
+        g |= {"wq": dsee @ p["wk"], "wk": dsee.T @ p["wq"]}
+        dx = a.transpose(0, 2, 1) @ deep(do)
+        dx += ds.transpose(0, 2, 1) @ deep(asked)
+        dx[:, CONTEXT:] += deep(dh + dasked @ see.T)
+        dx *= there[:, :, None]
         g["place"] = dx.sum(axis=0)
         g["embed"] = np.zeros_like(p["embed"])
-        np.add.at(g["embed"], rows.ravel(), flat(dx))
-        return loss, g, held
+        add_rows(g["embed"], rows.ravel(), dx.reshape(-1, WIDTH))
+        return loss, g, held.reshape(len(targets), -1, EXPERTS)
 
-    def descend(self, inputs: np.ndarray, targets: np.ndarray, rate: float) -> tuple[float, np.ndarray, np.ndarray]:
-        """One pass of Adam over windows in their order; the mean loss, the ids met and the experts' responsibilities for them."""
+    def descend(self, inputs: np.ndarray, targets: np.ndarray, rate: float) -> tuple[float, np.ndarray]:
+        """One pass of Adam over windows in their order; the mean loss, and by id the experts' responsibilities for it."""
         m, v = ({n: np.zeros_like(x) for n, x in self.p.items()} for _ in range(2))
-        ids = np.unique(targets[:, CONTEXT:])
-        ids = ids[ids >= 0]
-        held, losses = np.zeros((len(ids), EXPERTS), np.float32), []
+        held, losses = np.zeros(self.experts.shape, np.float32), []
         for step, at in enumerate(range(0, len(inputs), BATCH), 1):
             goal = targets[at:at + BATCH]
             loss, g, share = self.gradients(inputs[at:at + BATCH], goal)
             losses.append(loss)
-            some = goal[:, CONTEXT:].ravel()
-            np.add.at(held, np.searchsorted(ids, some[some >= 0]), share.reshape(-1, EXPERTS)[some >= 0])
+            # Places without a target have no responsibilities.
+            add_rows(held, np.maximum(goal[:, CONTEXT:].ravel(), 0), share.reshape(-1, EXPERTS))
             for n in self.NAMES:
                 m[n] = 0.9 * m[n] + 0.1 * g[n]
                 v[n] = 0.99 * v[n] + 0.01 * g[n] ** 2
                 self.p[n] = self.p[n] - (rate * min(1, step / 10) * (m[n] / (1 - 0.9 ** step)) / (np.sqrt(v[n] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
-        return float(np.mean(losses)) if losses else 0.0, ids, held
+        return float(np.mean(losses)) if losses else 0.0, held
 
     def score(self, ids: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
         """Log probability of every subword of texts of the given sizes."""
@@ -376,41 +397,54 @@ def subword_counts(counts: DataFrame, tokens: list[bytes]) -> tuple[np.ndarray,
     return tuple(out)
 
 
-def spans(words: list[bytes]) -> list[tuple[bool, list[bytes]]]:
-    """Stretches of words for one window each, one in EVERY, evenly spread, one at least; and whether it begins the text."""
-    starts = np.linspace(0, max(0, len(words) - WINDOW - 1), -(-len(words) // (EVERY * WINDOW_WORDS))).astype(int)
-    return [(at == 0, words[at:at + WINDOW + 1]) for at in starts.tolist()]
-
-
-def training_windows(texts: DataFrame, tokens: list[bytes]) -> DataFrame:
-    """(window): packed inputs and targets of the spans of each text; -1 beyond the text.
+def training_windows(docs: DataFrame, tokens: list[bytes]) -> DataFrame:
+    """(doc_id, stretch): the subwords of each text, cut in stretches of STRETCH windows.
 
-    The first window of a text has no context before its beginning, the others have subwords of theirs.
+    Before its own subwords, a stretch has the input of its first target and the context of its first window.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(tokens)
+    shared = docs.sparkSession.sparkContext.broadcast(tokens)
+    whole, lead = STRETCH * (WINDOW - CONTEXT), CONTEXT + 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cutter = _subwords(shared.value)
-            chosen = [span for t in batch.column("text").to_pylist() for span in spans(words_of(t))]
-            if not chosen:
+            _, _, per_text, per_word, flat = stream(batch.column("text").to_pylist(), cutter)
+            if not len(per_text):
                 continue
-            _, _, per_span, per_word, flat = stream_words([w for _, w in chosen], cutter)
-            sizes = np.add.reduceat(per_word, np.cumsum(per_span) - per_span)
-            begin = np.cumsum(sizes) - sizes
-            opens = np.array([first for first, _ in chosen])
-            at = begin[:, None] + np.arange(WINDOW + 1) - np.where(opens, CONTEXT + 1, 0)[:, None]
-            ids = np.where((at >= begin[:, None]) & (at < (begin + sizes)[:, None]), flat[np.clip(at, 0, len(flat) - 1)], -1)
-            ids[at == begin[:, None] - 1] = cutter.end
-            both = np.concatenate([ids[:, :-1], np.where(ids[:, :-1] >= 0, ids[:, 1:], -1)], axis=1).astype("<i4")
-            yield pa.RecordBatch.from_arrays([pa.array([row.tobytes() for row in both], pa.binary())], ["window"])
+            sizes = np.add.reduceat(per_word, np.cumsum(per_text) - per_text)
+            stops = np.cumsum(sizes)
+            kind = _stretch_type(cutter.end)
+            before = np.array([cutter.end + 1] * CONTEXT + [cutter.end], kind)
+            flat, which, out = flat.astype(kind), [], []
+            for k, (low, high) in enumerate(zip((stops - sizes).tolist(), stops.tolist())):
+                text = np.concatenate([before, flat[low:high]])
+                for at in range(0, high - low, whole):
+                    out.append(text[at:at + whole + lead].tobytes())
+                    which.append(k)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(which)), pa.array(out, pa.binary())], ["doc_id", "stretch"])
+
+    return docs.mapInArrow(cut, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, stretch binary")
+
 
-    return texts.mapInArrow(cut, "window binary")
+def _stretch_type(end: int) -> str:
+    """The end and the number after it, which stands for no subword, must fit."""
+    return "<u2" if end + 1 < 1 << 16 else "<u4"
 
 
-def _unpack(windows_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(b"".join(windows_), "<i4").reshape(len(windows_), 2 * WINDOW).astype(np.int64)
-    return both[:, :WINDOW], both[:, WINDOW:]
+def unpack(stretches: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and targets of all windows of the stretches, as of `windows`."""
+    step = WINDOW - CONTEXT
+    flat = np.frombuffer(b"".join(stretches), _stretch_type(end)).astype(np.int32)
+    flat[flat > end] = -1
+    sizes = np.fromiter(map(len, stretches), np.int64, len(stretches)) // np.dtype(_stretch_type(end)).itemsize
+    many = -(-(sizes - CONTEXT - 1) // step)
+    stops = np.cumsum(sizes)
+    number = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    at = (np.repeat(stops - sizes, many) + number * step)[:, None] + np.arange(WINDOW + 1)[None, :]
+    ids = np.where(at < np.repeat(stops, many)[:, None], flat[np.minimum(at, max(0, len(flat) - 1))], np.int32(-1))
+    inputs, targets = ids[:, :-1], ids[:, 1:]
+    real = (inputs >= 0) & (targets >= 0)
+    return np.where(real, inputs, -1), np.where(real, targets, -1)
 
 
 def summed(parts: DataFrame) -> tuple[list[int], np.ndarray]:
@@ -431,52 +465,64 @@ def summed(parts: DataFrame) -> tuple[list[int], np.ndarray]:
     return [keys[k] for k in order], [np.frombuffer(packed[k], "<i8") for k in order]
 
 
-def fit(texts: DataFrame, ids: np.ndarray, tokens: list[bytes]) -> Attention:
+def fit(docs: DataFrame, ids: np.ndarray, tokens: list[bytes]) -> Attention:
     """The model for training texts and the counts of their subwords."""
-    spark = texts.sparkSession
-    drawn = durable(training_windows(texts, tokens).select("window", F.xxhash64("window").alias("draw")))
-    n = drawn.count()
+    spark, end = docs.sparkSession, len(tokens)
+    # About as many windows; the last of a text may be shorter.
+    n = -(-int(ids.sum()) // (WINDOW - CONTEXT))
     shards = max(1, n // SHARD)
-    # Only draws below a bound, so that no task has more to tell than its part of the first windows.
-    share = min(1.0, 8 * FIRST_WINDOWS / max(1, n))
-    few = drawn.where(F.col("draw") <= int(-(1 << 63) + share * ((1 << 64) - 1))) if share < 1 else drawn
-    first = [r["window"] for r in few.orderBy("draw", "window").limit(FIRST_WINDOWS).collect()]
-    experts, share = first_experts(ids, tokens, *_unpack([bytes(w) for w in first]))
+    draw = F.xxhash64("stretch", F.col("doc_id").cast("string"))
+    # Only texts below a bound, so that no task has more to tell than its part of the first stretches.
+    share = min(1.0, 8 * FIRST_STRETCHES * STRETCH / max(1, n))
+    few = docs.where(F.xxhash64("text", F.col("doc_id").cast("string")) <= int(-(1 << 63) + share * ((1 << 64) - 1))) if share < 1 else docs
+    first = training_windows(few, tokens).withColumn("draw", draw).orderBy("draw", "stretch").limit(FIRST_STRETCHES)
+    experts, share = first_experts(ids, tokens, *unpack([bytes(r["stretch"]) for r in first.collect()], end))
     model = Attention.fresh(embedding_rows(ids), experts, share)
     if not n:
         return model
-    # Equal windows, however many, are dealt out by a number of their own, which no order of rows decides on.
-    dealt = drawn.withColumn("again", F.row_number().over(Window.partitionBy("draw", "window").orderBy("draw"))) \
-        .withColumn("shard", F.pmod(F.xxhash64("draw", "again"), F.lit(shards)))
-    dealt = durable(dealt.select("shard", "draw", "again", "window").repartition(min(shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))), "shard")
-                    .sortWithinPartitions("shard", F.xxhash64("draw", "again"), "window").select("shard", "window"))
     passes = max(PASSES, -(-LEAST_STEPS * BATCH * shards // n))
+    dealt = training_windows(docs, tokens).withColumn("draw", draw).withColumn("shard", F.pmod("draw", F.lit(shards))) \
+        .repartition(min(shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))), "shard") \
+        .sortWithinPartitions("shard", "draw", "stretch").select("shard", "stretch")
+    if passes > 1:
+        dealt = durable(dealt)
     names = Attention.NAMES
     for turn in range(passes):
         shared = spark.sparkContext.broadcast((model.own, model.experts, model.p))
         rate = 0.02 * (1 - 0.85 * turn / max(1, passes - 1))
 
         def step(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate) -> Iterator[pa.RecordBatch]:
-            def one(rows: list[bytes]) -> Iterator[pa.RecordBatch]:
-                own, experts, parameters = shared.value
+            own, experts, parameters = shared.value
+            whole = lambda x: np.rint(x.astype(np.float64) / GRAIN).astype("<i8")
+            total, sums, many = np.zeros(experts.shape, "<i8"), [np.zeros(parameters[k].size, "<i8") for k in names], 0
+
+            def add(rows: list[bytes]) -> int:
                 mine = Attention(own, experts, {k: x.copy() for k, x in parameters.items()})
-                inputs, targets = _unpack(rows)
-                _, met, held = mine.descend(inputs, targets, rate)
-                whole = lambda x: np.rint(x.astype(np.float64) / GRAIN).astype("<i8")
-                sums = [*(whole(x) for x in held), *(whole(mine.p[k].ravel()) * len(rows) for k in names)]
-                keys = [*met.tolist(), *(-1 - k for k in range(len(names)))]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([x.tobytes() for x in sums], pa.binary())], ["key", "sums"])
-
-            held, shard = [], None
+                inputs, targets = unpack(rows, end)
+                # Windows of a text are set apart.
+                order = np.random.default_rng(13).permutation(len(inputs))
+                np.add(total, whole(mine.descend(inputs[order], targets[order], rate)[1]), out=total)
+                for k, x in zip(names, sums):
+                    x += whole(mine.p[k].ravel()) * len(inputs)
+                return len(inputs)
+
+            held, size, shard = [], 0, None
             for batch in batches:
-                for key, window in zip(batch.column("shard").to_pylist(), batch.column("window").to_pylist()):
-                    if key != shard and held:
-                        yield from one(held)
-                        held = []
+                for key, stretch in zip(batch.column("shard").to_pylist(), batch.column("stretch").to_pylist()):
+                    # Equal rows share a shard, however many: it is taken in parts that memory holds.
+                    if held and (key != shard or size > 4 * SHARD * (WINDOW - CONTEXT) * 2):
+                        many += add(held)
+                        held, size = [], 0
                     shard = key
-                    held.append(window)
+                    held.append(stretch)
+                    size += len(stretch)
             if held:
-                yield from one(held)
+                many += add(held)
+            if many:
+                met = np.flatnonzero(total.any(axis=1))
+                keys = [*met.tolist(), *(-1 - k for k in range(len(names) + 1))]
+                rows = [*total[met], *sums, np.array([many], "<i8")]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([x.tobytes() for x in rows], pa.binary())], ["key", "sums"])
 
         keys, sums = summed(dealt.mapInArrow(step, "key long, sums binary"))
         shared.unpersist()
@@ -485,7 +531,8 @@ def fit(texts: DataFrame, ids: np.ndarray, tokens: list[bytes]) -> Attention:
         met = [k for k in keys if k >= 0]
         held[met] = np.array([found[k] for k in met]) * GRAIN
         model.experts, _ = taken(held, ids)
-        model.p = {name: (found[-1 - k] * GRAIN / n).reshape(model.p[name].shape).astype(np.float32) for k, name in enumerate(names)}
+        many = int(found[-1 - len(names)][0])
+        model.p = {name: (found[-1 - k] * GRAIN / many).reshape(model.p[name].shape).astype(np.float32) for k, name in enumerate(names)}
     return model
 
 
@@ -498,8 +545,8 @@ def score(docs: DataFrame, vocabulary: str) -> DataFrame:
     spark = docs.sparkSession
     tokens = read_ranks(vocabulary)
     rows = docs.select("doc_id", held_out().alias("held_out"), text_or_empty().alias("text"))
-    training = rows.where("not held_out").select("text")
-    counts = durable(word_counts(training))
+    training = rows.where("not held_out").select("doc_id", "text")
+    counts = durable(word_counts(training.select("text")))
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = totals["n"] or 0, totals["v"]
     frequent = frequent_words(counts)

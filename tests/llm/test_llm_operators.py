@@ -368,6 +368,33 @@ def test_lm_does_not_depend_on_the_files(spark, monkeypatch):
     assert one.keys() == two.keys() and all(math.isclose(one[k], two[k], rel_tol=1e-6) for k in one)
 
 
+def test_lm_learns_from_every_subword_of_every_training_text(spark):
+    texts = [" ".join(f"word{i}x{k}" for i in range(n)) for k, n in enumerate((0, 1, 5, 300, 2000))] + [None, "a" * 20_000, "\u00e9t\u00e9 \n " * 500]
+    docs = spark.createDataFrame(list(enumerate(t or "" for t in texts)), "doc_id long, text string").repartition(3)
+    tokens = lm.read_ranks(RANKS)
+    end, cutter = len(tokens), lm.Subwords(tokens)
+    rows = lm.training_windows(docs, tokens).collect()
+    inputs, targets = lm.unpack([bytes(r["stretch"]) for r in rows], end)
+    goals = targets[:, lm.CONTEXT:]
+    _, _, _, _, flat = lm.stream([t or "" for t in texts], cutter)
+    assert np.array_equal(np.bincount(goals[goals >= 0], minlength=end + 1), np.bincount(flat, minlength=end + 1))
+    # The windows are those in which texts are scored.
+    _, _, per_text, per_word, flat = lm.stream([t or "" for t in texts], cutter)
+    sizes = np.add.reduceat(per_word, np.cumsum(per_text) - per_text)
+    want = lm.windows(flat, sizes, end)[:2]
+    both = lambda x: sorted(map(tuple, np.concatenate(x, axis=1).tolist()))
+    assert both((inputs, targets)) == both(want)
+
+
+def test_lm_shards_may_be_taken_in_parts(spark, monkeypatch):
+    """Equal rows share a shard; what is learned counts each of their windows."""
+    monkeypatch.setattr(lm, "SHARD", 2)
+    monkeypatch.setattr(lm, "LEAST_STEPS", 1)
+    docs = spark.createDataFrame([(7, "one two three four " * 40)] * 30, "doc_id long, text string")
+    got = lm.score(docs, RANKS).collect()
+    assert len(got) == 30 and len({(r["score"], r["base_score"]) for r in got}) == 1 and got[0]["score"] < 0
+
+
 def test_words_that_begin_alike_share_what_their_first_subword_gets():
     """What known words get for their counts, and what discounts leave for spellings, adds up to one."""
     counts, first = np.array([5.0, 1.0, 3.0]), 0.25
