@@ -124,11 +124,12 @@ def keys(distance: int, min_chars: int) -> tuple[Column, Column, list[int]]:
     return F.array(*put), F.array(*ask), level
 
 
-def letters(line: Column, length: Column) -> Column:
+def letters(line: Column) -> Column:
     """Counts of some frequent letters, up to 127 each, in 7 bits each. An edit changes two of them by one at most."""
     packed = F.lit(0).cast("long")
     for letter in LETTERS:
-        many = F.least(length - F.char_length(F.replace(line, F.lit(letter), F.lit(""))), F.lit(127))
+        # Letters of one byte each, so bytes tell their number, which need no walk over the characters.
+        many = F.least(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit(""))), F.lit(127))
         packed = F.shiftleft(packed, 7) + many
     return packed
 
@@ -185,13 +186,13 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS, min_equal: int | No
 def near_lines(firsts: DataFrame, distance: int, min_chars: int) -> DataFrame:
     """(h1, h2) of the distinct lines within `distance` edits of a line that first occurs before them.
 
-    `firsts` has each distinct line once, at its first occurrence. Lines that meet none under a key are left out by a
+    `firsts` has each distinct line once, at its first occurrence, with its `letters`. Lines that meet none under a key are left out by a
     semi-join, which gives no pairs. Of the rest, each is first compared with the earliest line of its keys alone; a line
     needs one witness, so only pairs whose later line has none yet are compared then. Crowds of lines that share a segment
     are told apart by letter counts within the joins.
     """
     put, ask, level = keys(distance, min_chars)
-    cut = with_segments(firsts.select("h1", "n", "line", letters(F.col("line"), F.col("n")).alias("letters")), distance)
+    cut = with_segments(firsts.select("h1", "n", "line", "letters"), distance)
     index = cut.select(F.col("h1").alias("a"), F.col("letters").alias("la"), F.explode(put).alias("key"))
     asked = cut.select(F.col("h1").alias("b"), F.col("letters").alias("lb"), F.posexplode(ask).alias("at", "key")).where("key is not null") \
         .select("b", "lb", F.col("at").isin(level).alias("level"), "key")
@@ -242,7 +243,8 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = M
     placed = lines.join(repeated, ["h1", "h2"], "left")
     later = F.col("first").isNotNull() & ~F.struct("doc_id", "k1", "k2", "at").eqNullSafe(F.col("first"))
     # Equal rows of documents hold the same first occurrence. Several passes read these lines, so they are written down.
-    firsts = placed.where(~later & (F.col("n") >= min_chars)).drop("first").select("h1", "h2", "doc_id", "k1", "k2", "at", "n", "line")
+    firsts = placed.where(~later & (F.col("n") >= min_chars)).drop("first") \
+        .select("h1", "h2", "doc_id", "k1", "k2", "at", "n", "line", letters(F.col("line")).alias("letters"))
     path = scratch_path(docs.sparkSession, "lines")
     firsts.write.parquet(path)
     firsts = docs.sparkSession.read.schema(firsts.schema).parquet(path)
@@ -265,14 +267,15 @@ def dedup_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_
     drop = durable(repeated_lines(docs, distance, min_chars, min_equal)).toDF(given, f"{a}r", f"{b}r", gone)
     drop = maybe_broadcast(drop, F.size(gone) * 4 + 64)
     same = F.col("doc_id").eqNullSafe(F.col(given)) & (F.col(a) == F.col(f"{a}r")) & (F.col(b) == F.col(f"{b}r"))
-    lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
-    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    # Cut once, not once for each line that is kept.
+    kept = lambda lines: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone)), lambda i: F.get(lines, i))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(let(F.split("text", "\n"), kept), "\n"))
     return rows.join(drop, same, "left").withColumn("text", text).select(*docs.columns)
 
 
 def counted(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_lines, n_kept_lines and the text that is left."""
-    n_lines = (F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
+    n_lines = (F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
     given = docs.select("doc_id", "text", F.coalesce(n_lines, F.lit(0)).alias("n_lines"))
     return dedup_lines(given, min_equal=MIN_EQUAL).select("doc_id", "n_lines", "text")

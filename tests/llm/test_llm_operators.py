@@ -333,6 +333,13 @@ def test_gray_index_is_exact_for_crowded_fingerprints(spark, monkeypatch):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
 
 
+def test_line_dedup_cuts_a_text_once_not_for_each_line_kept(spark):
+    docs = spark.createDataFrame([(1, "one\ntwo\nthree"), (2, "four\ntwo\n\nfive\none"), (3, None), (4, "one\ntwo")], "doc_id long, text string")
+    got = linededup.dedup_lines(docs, min_equal=1)
+    assert "get(split(" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "one\ntwo\nthree", 2: "four\n\nfive", 3: None, 4: ""}
+
+
 def plain_lm(rows):
     tokens = [[*SPACE_WORD.findall(low(t or "")), ""] for _, t in rows]
     held = [k is not None and zlib.crc32(str(k).encode()) % 5 == 1 for k, _ in rows]
