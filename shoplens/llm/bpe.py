@@ -25,7 +25,7 @@ from shoplens.llm.perfect_hash import PerfectHash
 
 # Bytes of the pieces and words that a worker remembers, what an entry takes besides its characters and ids, and the
 # characters beyond which a word is not remembered.
-PIECES, WORDS = 160 << 20, 48 << 20
+PIECES, WORDS = 48 << 20, 96 << 20
 ENTRY, REMEMBERED = 220, 64
 
 
@@ -127,7 +127,11 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         if not regular(word):
             raise Irregular
-        return self.by_pattern(" " + word)
+        parts = self.pattern.findall(" " + word)
+        if len(parts) > 1:
+            return b"".join(map(self.pieces.__getitem__, parts))
+        # Remembered as a word, not as a piece too.
+        return self.pieces.get(parts[0]) or self._piece(parts[0])
 
     def by_pattern(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))

@@ -27,7 +27,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def worker_state(name: str) -> dict:
     """A dictionary that lives in the Python worker until another operator asks for its own, for tables that are costly to build.
 
-    Workers serve one job after the other; what an earlier operator has built must not take the memory of the next.
+    Workers serve one job after the other; what an earlier operator has built must not take the memory of the next. So an
+    operator that keeps nothing asks as well, at the start of a task.
     """
     holder = sys.modules.setdefault("_shoplens_worker_state", types.ModuleType("_shoplens_worker_state")).__dict__.setdefault("states", {})
     if name not in holder:

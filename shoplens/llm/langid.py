@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import fresh, text_or_empty
+from shoplens.llm.common import fresh, text_or_empty, worker_state
 from shoplens.llm.decontaminate import maybe_broadcast
 from shoplens.session import durable
 
@@ -48,6 +48,7 @@ def trigrams(text: str) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(declared, bucket, n), in parts: the counts of at most SLAB declarations are held at a time."""
+    worker_state("langid")
     counts: dict[str, np.ndarray] = {}
 
     def parts() -> Iterator[pa.RecordBatch]:
@@ -91,6 +92,7 @@ def likelihoods(df: DataFrame, table: np.ndarray) -> Column:
     shared = df.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_state("langid")
         for texts in batches:
             out = []
             for text in texts.to_pylist():

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import fresh, text_or_empty
+from shoplens.llm.common import fresh, text_or_empty, worker_state
 from shoplens.llm.decontaminate import maybe_broadcast
 from shoplens.session import durable
 
@@ -58,6 +58,7 @@ def fingerprints(text: str | Column = "text", words: int = 3) -> Column:
     """Fingerprint of a text as a signed long; null counts as empty."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_state("simhash")
         for texts in batches:
             packed = b"".join([fingerprint(t, words) for t in texts.to_pylist()])
             yield pa.array(np.frombuffer(packed, ">u8").astype(np.uint64).view(np.int64), pa.int64())
@@ -139,6 +140,7 @@ def _forests(radius: int):
     """Over rows sorted by bucket: the forest of each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("simhash")
         held_key, held = None, []
         for batch in batches:
             keys = batch.column("_key").to_numpy(zero_copy_only=False)

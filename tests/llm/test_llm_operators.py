@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shoplens.llm import bpe, decontaminate, htmltext, langid, licenses, linededup, lm, quality, simhash, tokenstore
-from shoplens.llm.common import prepare
+from shoplens.llm.common import prepare, worker_state
 from shoplens.llm.perfect_hash import PerfectHash, hash_keys
 from shoplens.session import scratch_path
 
@@ -312,6 +313,28 @@ def test_simhash(docs, given, nothing):
     assert simhash.components(nothing).count() == 0
 
 
+def test_operators_forget_what_an_earlier_one_has_built():
+    """A worker serves one stage after the other; tables of the stage before must not stay in its memory."""
+    nothing = pa.RecordBatch.from_pydict({"text": pa.array([], pa.string()), "declared": pa.array([], pa.string())})
+    codes = pa.RecordBatch.from_pydict({"_key": pa.array([1, 1]), "fp": pa.array([1, 3])})
+    for task in (lambda: langid._count(iter([nothing])), lambda: simhash._forests(2)(iter([codes]))):
+        earlier = worker_state("bpe")
+        earlier["table"] = bytes(10)
+        list(task())
+        assert worker_state("bpe") is not earlier and not worker_state("bpe")
+
+
+def test_bpe_remembers_a_word_of_one_piece_once():
+    tokens = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoder = bpe.Encoder(bpe.Vocabulary(tokens, PerfectHash.build(tokens)), public_tokenizers.PATTERN)
+    text = "Once qvxzzy upon, a time qvxzzy there's 12 \u00fcber-words"
+    assert encoder.encode(text) == encoder.by_pattern(text)
+    encoder.pieces.clear()
+    encoder.words.clear()
+    encoder.encode(text)
+    assert {"qvxzzy", "a", "time"} <= set(encoder.words) and not {" " + w for w in encoder.words} & set(encoder.pieces)
+
+
 def test_gray_index_is_exact_for_crowded_fingerprints(spark, monkeypatch):
     """Buckets larger than one piece are dealt again by their other bits."""
     monkeypatch.setattr(simhash, "BUCKET", 16)
