@@ -68,16 +68,20 @@ class Subwords:
     """Longest matches of a vocabulary in words with the blank before them; the end has the id after the last.
 
     Tokens of at most 8 bytes are taken, so that a token is a number; all words of a batch are cut side by side, by
-    binary search in the sorted tokens of each length.
+    binary search in the sorted tokens of each length. A table of the tokens' hashes spares it for most of what is none.
     """
 
+    MIX, SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 17)
+
     def __init__(self, tokens: list[bytes]):
         self.end = len(tokens)
         self.of_length = []
         for size in range(1, LONGEST + 1):
             found = [(int.from_bytes(t, "little"), i) for i, t in enumerate(tokens) if len(t) == size]
             keys, ids = (np.array([f[k] for f in sorted(found)], kind) for k, kind in ((0, np.uint64), (1, np.int32)))
-            self.of_length.append((keys, ids, np.uint64((1 << 8 * size) - 1)))
+            hashed = np.zeros(1 << 17, bool)
+            hashed[keys * self.MIX >> self.SHIFT] = True
+            self.of_length.append((keys, ids, np.uint64((1 << 8 * size) - 1), hashed))
 
     def cut(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Number of subwords of each word, and all subwords."""
@@ -94,11 +98,13 @@ class Subwords:
             ids, taken = np.full(len(active), -1, np.int32), np.zeros(len(active), np.int64)
             open_ = np.arange(len(active))
             for size in range(LONGEST, 0, -1):
-                keys, names, mask = self.of_length[size - 1]
+                keys, names, mask, hashed = self.of_length[size - 1]
                 fits = open_[room[open_] >= size]
                 if not len(fits) or not len(keys):
                     continue
                 wanted = chunk[fits] & mask
+                likely = np.flatnonzero(hashed[wanted * self.MIX >> self.SHIFT])
+                fits, wanted = fits[likely], wanted[likely]
                 place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
                 hit = keys[place] == wanted
                 ids[fits[hit]], taken[fits[hit]] = names[place[hit]], size
@@ -125,9 +131,10 @@ def stream(texts: list[str], subwords: Subwords) -> tuple[np.ndarray, list[bytes
 
 def stream_words(per_text: list[list[bytes]], subwords: Subwords) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """As `stream`, of texts that are cut in words."""
-    encoded = pa.array([w for ws in per_text for w in ws], pa.binary()).dictionary_encode()
-    distinct = encoded.dictionary.to_pylist()
-    codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    words = [w for ws in per_text for w in ws]
+    distinct = list(dict.fromkeys(words))
+    code = dict(zip(distinct, range(len(distinct))))
+    codes = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
     sizes, pool = subwords.cut(distinct)
     first = np.cumsum(sizes) - sizes
     counts = sizes[codes]

@@ -383,6 +383,27 @@ def test_lm_base(docs, given, nothing, monkeypatch, frequent):
     assert lm.score(nothing, RANKS).count() == 0
 
 
+def test_subwords_are_the_longest_matches_and_few_places_are_searched(monkeypatch):
+    tokens = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    cutter, known = lm.Subwords(tokens), {t: i for i, t in enumerate(tokens) if len(t) <= lm.LONGEST}
+    rng = np.random.default_rng(8)
+    words = [b"", b"\x00\x00", "\u00fcber\u65e5\u672c".encode(), b"q" * 300, b""]
+    words += [bytes(rng.choice(list(b"etaoinshrdlu"), rng.integers(1, 12)).tolist()) for _ in range(3000)]
+    want = []
+    for word in words:
+        text, found = b" " + word if word else b"", [] if word else [cutter.end]
+        while text:
+            size = max(k for k in range(1, lm.LONGEST + 1) if text[:k] in known and k <= len(text))
+            found.append(known[text[:size]])
+            text = text[size:]
+        want.append(found)
+    searched, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *more: searched.append(len(v)) or search(a, v, *more))
+    sizes, flat = cutter.cut(words)
+    assert sizes.tolist() == [len(f) for f in want] and flat.tolist() == [i for f in want for i in f]
+    assert sum(searched) < 2 * len(flat)
+
+
 def test_lm_beats_the_base_on_held_out_documents(spark):
     got = lm.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), RANKS).where("held_out").agg(
         F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
